@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from skygrain import schema as S
 from skygrain.functions.index import with_aqi
+from skygrain.session import tune
 
 ORDER = ["timestamp", "event_id"]
 MEASURES = S.POLLUTANTS + S.WEATHER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:

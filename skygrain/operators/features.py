@@ -38,64 +38,66 @@ def with_rolling(
 
     The current row counts, a shorter start is allowed, and missing values are
     skipped. Spark evaluates a sliding frame anew for every row, so a frame of 48
-    costs 48 updates. Only the smallest frame is evaluated that way; a frame twice
-    the size of the one before is the merge of that one at this row and at the row
+    costs 48 updates. Only the smallest frame is evaluated that way; a frame twice the
+    size of the one before is the merge of that one at this row and at the row
     ``size / 2`` earlier. Count, sum and squared deviations merge without
     cancellation, so a constant window still has deviation 0. All windows share one
     specification: the merge costs no further shuffle or sort.
     """
-    plain = [F.col(f"`{c}`") for c in df.columns]
-    made: dict[str, Column] = {}
-    previous = None
-
-    def part(kind: str, c: str, size: int) -> str:
-        return f"_{kind}_{size}_{c}"
+    kept = list(df.columns)
+    deviations = "std" in stats
+    kinds = ("n", "s", "q") if deviations else ("n", "s")
+
+    def state(kind: str, c: str) -> Column:
+        return F.col(f"_{kind}_{c}")
+
+    def older(kind: str, c: str) -> Column:
+        return F.coalesce(F.col(f"_old{kind}_{c}"), F.lit(0 if kind == "n" else 0.0))
+
+    def merged(c: str) -> dict[str, Column]:
+        n1, s1 = state("n", c), state("s", c)
+        n2, s2 = older("n", c), older("s", c)
+        out = {f"_n_{c}": n1 + n2, f"_s_{c}": s1 + s2}
+        if deviations:
+            gap = s2 / n2 - s1 / n1
+            apart = F.when((n1 > 0) & (n2 > 0), gap * gap * n1 * n2 / (n1 + n2)).otherwise(F.lit(0.0))
+            out[f"_q_{c}"] = state("q", c) + older("q", c) + apart
+        return out
+
+    def results(c: str, size: int) -> dict[str, Column]:
+        out, n = {}, state("n", c)
+        if "mean" in stats:
+            out[S.rolling_name(c, "mean", size)] = F.when(n > 0, state("s", c) / n)
+        if deviations:
+            out[S.rolling_name(c, "std", size)] = F.when(n > 1, F.sqrt(state("q", c) / (n - 1)))
+        return out
 
-    state = df
-    kinds = ("n", "s", "q") if "std" in stats else ("n", "s")
+    previous = None
     for size in sorted(sizes):
-        if previous is not None and size == 2 * previous:
-            older = {
-                part(f"old{k}", c, size): F.lag(part(k, c, previous), previous).over(window)
-                for c in columns for k in kinds}
-            state = state.select("*", *[e.alias(n) for n, e in older.items()])
-            merged = []
-            for c in columns:
-                n1 = F.col(part("n", c, previous))
-                n2 = F.coalesce(F.col(part("oldn", c, size)), F.lit(0))
-                s1 = F.coalesce(F.col(part("s", c, previous)), F.lit(0.0))
-                s2 = F.coalesce(F.col(part("olds", c, size)), F.lit(0.0))
-                n = n1 + n2
-                merged += [n.alias(part("n", c, size)), (s1 + s2).alias(part("s", c, size))]
-                if "q" in kinds:
-                    q1 = F.coalesce(F.col(part("q", c, previous)), F.lit(0.0))
-                    q2 = F.coalesce(F.col(part("oldq", c, size)), F.lit(0.0))
-                    gap = s2 / n2 - s1 / n1
-                    apart = F.when((n1 > 0) & (n2 > 0), gap * gap * n1 * n2 / n).otherwise(F.lit(0.0))
-                    merged.append((q1 + q2 + apart).alias(part("q", c, size)))
-            state = state.select("*", *merged)
+        carried = [F.col(f"`{c}`") for c in kept]
+        if size == 2 * (previous or 0):
+            states = [state(k, c) for c in columns for k in kinds]
+            lags = [F.lag(state(k, c), previous).over(window).alias(f"_old{k}_{c}")
+                    for c in columns for k in kinds]
+            new = {name: e for c in columns for name, e in merged(c).items()}
+            df = df.select(*carried, *states, *lags)
         else:
             frame = window.rowsBetween(1 - size, 0)
-            direct = []
+            new = {}
             for c in columns:
                 v = F.col(c).cast("double")
-                direct += [F.count(v).over(frame).alias(part("n", c, size)),
-                           F.sum(v).over(frame).alias(part("s", c, size))]
-                if "q" in kinds:
-                    direct.append((F.var_pop(v).over(frame) * F.count(v).over(frame))
-                                  .alias(part("q", c, size)))
-            state = state.select("*", *direct)
+                n = F.count(v).over(frame)
+                new[f"_n_{c}"] = n
+                new[f"_s_{c}"] = F.coalesce(F.sum(v).over(frame), F.lit(0.0))
+                if deviations:
+                    new[f"_q_{c}"] = F.coalesce(F.var_pop(v).over(frame), F.lit(0.0)) * n
+        df = df.select(*carried, *[e.alias(name) for name, e in new.items()])
+        made = {name: e for c in columns for name, e in results(c, size).items()}
+        df = df.select("*", *[e.alias(name) for name, e in made.items()])
+        kept += list(made)
         previous = size
-
-    for c in columns:
-        for size in sizes:
-            n, s = F.col(part("n", c, size)), F.col(part("s", c, size))
-            if "mean" in stats:
-                made[S.rolling_name(c, "mean", size)] = F.when(n > 0, s / n)
-            if "std" in stats:
-                made[S.rolling_name(c, "std", size)] = F.when(
-                    n > 1, F.sqrt(F.col(part("q", c, size)) / (n - 1)))
-    return state.select(*plain, *[e.alias(name) for name, e in made.items()])
+    made = [S.rolling_name(c, s, size) for c in columns for size in sizes for s in stats]
+    return df.select(*[F.col(f"`{c}`") for c in kept if c not in made], *made)
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -117,11 +119,10 @@ def engineer(
     them. Every window has the same specification, so the plan has one exchange and
     one sort. ``order`` ends in a tie-break where times repeat within a key.
     """
-    base = with_calendar(with_aqi(observations, gap_policy), order[0], zone)
-    base = base.withColumns(derived_columns(base))
     reach_back = max(max(S.ROLLING_WINDOWS) - 1, max(S.LAG_HOURS))
-    o = ordered(base, keys, order, reach_back, target_hours, limit)
-    df = o.frame
+    o = ordered(observations, keys, order, reach_back, target_hours, limit)
+    df = with_calendar(with_aqi(o.frame, gap_policy), order[0], zone)
+    df = df.withColumns(derived_columns(df))
     shifted = {
         **change_column(o.window),
         **lag_columns(_present(df, S.LAG_COLUMNS), o.window),

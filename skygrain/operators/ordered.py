@@ -169,7 +169,9 @@ def cut_large_groups(
 class Ordered:
     """A frame ready for row-positional windows.
 
-    Build columns on ``frame`` over ``window`` and pass the result to ``finish``.
+    Build columns on ``frame`` over ``window`` and pass the result to ``finish``. The
+    frame is already shuffled and sorted for the window: row expressions that are
+    added to it are neither shuffled nor sorted along.
     """
 
     frame: DataFrame
@@ -199,8 +201,9 @@ def ordered(
     slots = cut_large_groups(df, keys, order, limit)
     if slots is None:
         window = Window.partitionBy(*keys).orderBy(*order)
+        placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
         return Ordered(
-            df, window, F.row_number().over(window) - 1,
+            placed, window, F.row_number().over(window) - 1,
             F.count(F.lit(1)).over(Window.partitionBy(*keys)), False)
 
     target = max(limit // 2, 1)
@@ -243,6 +246,7 @@ def ordered(
                 F.coalesce(f"_t.{_FIRST}", F.lit(0)).alias(_FIRST),
                 F.col(f"_t.{_SIZE}").alias(_SIZE))
     )
+    routed = routed.repartition(*keys, _CHUNK).sortWithinPartitions(*keys, _CHUNK, *order)
     window = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     whole = F.count(F.lit(1)).over(Window.partitionBy(*keys, _CHUNK))
     return Ordered(

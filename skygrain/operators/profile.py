@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from skygrain import schema as S
 from skygrain.functions.numbers import pearson
 from skygrain.operators.ordered import GROUP_LIMIT
 from skygrain.operators.quantiles import quantiles
+from skygrain.session import durable, small_side
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -91,6 +93,11 @@ def outlier_bounds(
         "upper": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
 
 
+def _bounds_side(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Without keys there is one row per column name; with keys, count first."""
+    return small_side(durable(bounds, "bounds")) if keys else F.broadcast(bounds)
+
+
 def outliers(
     df: DataFrame,
     columns: Sequence[str],
@@ -101,7 +108,7 @@ def outliers(
     """Values outside the fences, with the ``carry`` columns of their rows."""
     bounds = outlier_bounds(df, columns, keys, limit)
     long = long_form(df, columns, list(dict.fromkeys([*keys, *carry])))
-    return long.join(bounds, [*keys, "column"]).filter(
+    return long.join(_bounds_side(bounds, keys), [*keys, "column"]).filter(
         (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     ).select(*dict.fromkeys([*keys, *carry]), "column", "value", "lower", "upper")
 
@@ -112,36 +119,78 @@ def outlier_counts(
     """Number of values outside the fences per column, zero included."""
     bounds = outlier_bounds(df, columns, keys, limit)
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    return (long_form(df, columns, keys).join(bounds, [*keys, "column"])
+    return (long_form(df, columns, keys).join(_bounds_side(bounds, keys), [*keys, "column"])
             .groupBy(*keys, "column")
             .agg(F.first("q1").alias("q1"), F.first("q3").alias("q3"),
                  F.first("lower").alias("lower"), F.first("upper").alias("upper"),
                  F.sum(outside.cast("long")).alias("outliers_count")))
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, upper triangle, in one pass."""
+def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sums over the rows where both columns are present, for every ``i <= j``.
+
+    All pairs as SQL aggregates are p * p expressions per row. A matrix product per
+    Arrow batch gives the same sums; each task hands on p * (p + 1) / 2 rows. Values
+    are shifted by the column mean first, so the sums keep their digits.
+    """
     columns = list(columns)
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = F.array(*[
-        F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
-                 F.lit(columns.index(a)).alias("i"), F.lit(columns.index(b)).alias("j"),
-                 F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)])
-    return row.select(F.explode(entries).alias("e")).select("e.*")
+    centre = df.agg(*[
+        F.when(F.min(F.col(c).cast("double")) == F.max(F.col(c).cast("double")),
+               F.min(F.col(c).cast("double"))).otherwise(F.avg(F.col(c).cast("double"))).alias(c)
+        for c in columns]).first()  # one row, one number per column
+    shift = np.array([0.0 if v is None else v for v in centre], dtype=float)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = len(shift)
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - shift
+            here = np.isfinite(x)
+            x = np.where(here, x, 0.0)
+            m = here.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, x.T @ x, (x * x).T @ m])
+        i, j = np.triu_indices(p)
+        n, sx, sxy, sxx = total
+        yield pd.DataFrame({
+            "i": i, "j": j, "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
+            "sxy": sxy[i, j], "sxx": sxx[i, j], "syy": sxx[j, i]})
+
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    sums = ["n", "sx", "sy", "sxy", "sxx", "syy"]
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in sums)
+    return doubles.mapInPandas(products, schema).groupBy("i", "j").agg(
+        *[F.sum(s).alias(s) for s in sums])
+
+
+def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    # what is left of a constant column is rounding noise
+    varies = (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
+    r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx) / F.sqrt(vy)))
+    return _pair_sums(df, columns).select(
+        names[F.col("i")].alias("var1"), names[F.col("j")].alias("var2"),
+        F.when(varies, r).alias("correlation"))
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair of columns, upper triangle.
+
+    A pair uses the rows where both values are present; a constant column
+    correlates with nothing (NULL).
+    """
+    return _correlations(df, columns).filter(F.col("var1") != F.col("var2"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Both triangles and the diagonal; a constant column correlates with nothing."""
-    upper = correlation_pairs(df, columns).select("var1", "var2", "correlation")
-    lower = upper.select(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "correlation")
-    # single-column statistics decide the diagonal
-    spread = df.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
-    diagonal = spread.unpivot([], list(columns), "var1", "_sd").select(
-        "var1", F.col("var1").alias("var2"),
-        F.when(F.col("_sd") > 0, 1.0).alias("correlation"))
-    return upper.unionByName(lower).unionByName(diagonal)
+    """Both triangles and the diagonal."""
+    half = _correlations(df, columns)
+    both = F.array(F.struct("var1", "var2"), F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2")))
+    return half.select(F.explode(F.array_distinct(both)).alias("v"), "correlation").select(
+        "v.var1", "v.var2", "correlation")
 
 
 def strong_correlations(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -156,7 +205,9 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str = "aq
 
 
 def top_correlations(correlations: DataFrame, n: int = 10) -> DataFrame:
-    return correlations.orderBy(F.desc_nulls_last(F.abs("correlation")), "variable").limit(n)
+    """The ``n`` strongest; equal to nine decimals counts as a tie, decided by name."""
+    strength = F.round(F.abs("correlation"), 9)
+    return correlations.orderBy(F.desc_nulls_last(strength), "variable").limit(n)
 
 
 def missing_by_column(df: DataFrame, only_missing: bool = True) -> DataFrame:

@@ -14,13 +14,30 @@ _local_folders: dict[str, str] = {}
 BROADCAST_ROWS = 200_000
 
 
+# Runtime settings the plans of this library are written for.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # Java does not compile methods beyond 8000 bytes; the default lets the band
+    # ladders grow past that and run interpreted, at less than half the speed
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``SETTINGS`` to a running session."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
+    return spark
+
+
 def local_session(cpus: int | str = 8, name: str = "skygrain") -> SparkSession:
-    return (
+    return tune(
         SparkSession.builder.master(f"local[{cpus}]").appName(name)
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
