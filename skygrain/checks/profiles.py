@@ -34,7 +34,8 @@ def latest_change(spark, sf):
 
 
 def hourly_resample_smooth(spark, sf):
-    return _r(T.hourly_series(V.obs_aqi(spark, sf), SERIES), *SERIES, "aqi_smooth")
+    series = T.hourly_series(V.obs_aqi(spark, sf), SERIES)
+    return _r(_r(series, *SERIES, digits=9), "aqi_smooth")
 
 
 def seasonality(spark, sf):
@@ -139,7 +140,7 @@ HOURLY = f"""{OBS}, h as (
   g as (select cal.city, cal.timestamp, {', '.join(SERIES)} from cal left join h using (city, timestamp)),
   n as (select *, {', '.join(_near(c) for c in SERIES)} from g),
   f as (select city, timestamp, {', '.join(f'{_filled(c)} as {c}' for c in SERIES)} from n)
-  select city, timestamp, {', '.join(f'round({c}, 6) as {c}' for c in SERIES)},
+  select city, timestamp, {', '.join(f'round({c}, 9) as {c}' for c in SERIES)},
     round(avg(aqi) over (partition by city order by timestamp rows between 5 preceding and current row), 6)
       as aqi_smooth from f"""
 

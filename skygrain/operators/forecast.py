@@ -19,8 +19,8 @@ from skygrain.functions.numbers import clip
 from skygrain.operators.features import as_doubles, feature_columns, with_targets
 from skygrain.operators.metrics import regression_metrics
 from skygrain.operators.ordered import GROUP_LIMIT
-from skygrain.operators.series import chronological_split
-from skygrain.session import durable
+from skygrain.operators.series import split_boundaries
+from skygrain.session import durable, small_side
 
 # Model settings.
 FOREST = {"numTrees": 50, "maxDepth": 5, "minInstancesPerNode": 5, "seed": 42}
@@ -70,17 +70,22 @@ def prepare(
     a forest depends on how rows are spread.
     """
     columns = [c for c in feature_columns(features) if c not in {*keys, *order}]
-    labelled = with_targets(features, keys, order, horizons, limit)
-    complete = labelled.na.drop("any", subset=columns)
-    split = chronological_split(complete, keys, order, share, embargo, limit)
     targets = {h: S.horizon_name(h) for h in horizons}
-    narrow = assemble(split, columns).select(
-        *keys, *order, "split", VECTOR, *[F.col(t).cast("double").alias(t) for t in targets.values()])
-    rows = durable(
-        narrow.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order), "training")
+    labelled = with_targets(features, keys, order, horizons, limit)
+    narrow = assemble(labelled.na.drop("any", subset=columns), columns).select(
+        *keys, *order, VECTOR, *[F.col(t).cast("double").alias(t) for t in targets.values()])
+    # spread by the hash of the whole key: even for one very long city, and without
+    # the sampling pass of a range layout
+    spread = narrow.repartition(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = durable(spread, "training")
     if rows.limit(LEAST_ROWS).count() < LEAST_ROWS:
         return None
-    return TrainingSet(rows, tuple(columns), targets)
+    cuts = durable(split_boundaries(rows, keys, order, share, embargo, limit), "cuts")
+    here = F.struct(*order)
+    label = F.when(here >= F.col("_test"), "test").when(here < F.col("_train_end"), "train")
+    marked = rows.join(small_side(cuts), list(keys), "left").withColumn("split", label)
+    return TrainingSet(marked.drop("_test", "_train_end").filter(F.col("split").isNotNull()),
+                       tuple(columns), targets)
 
 
 def _ridge_strengths(train: DataFrame, targets: Sequence[str]) -> dict[str, float]:

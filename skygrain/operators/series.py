@@ -33,6 +33,29 @@ def chronological_split(
     return out.filter(F.col("split").isNotNull()) if embargo else out
 
 
+def split_boundaries(
+    df: DataFrame,
+    keys: Sequence[str] = S.KEYS,
+    order: Sequence[str] = (S.TIME,),
+    share: float = S.TRAIN_SHARE,
+    embargo: int = 0,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Per key where testing begins and where training ends, as structs of ``order``.
+
+    Only keys and order columns are shuffled. Where ``order`` is unique within a key,
+    ``order >= _test`` and ``order < _train_end`` mark the same rows as
+    ``chronological_split``.
+    """
+    o = ordered(df.select(*keys, *order), keys, order, limit=limit)
+    cut = F.floor(o.size.cast("double") * F.lit(float(share)))
+    placed = o.finish(o.frame.select("*", (o.position - cut).alias("_from_cut")))
+    here = F.struct(*order)
+    return placed.filter(F.col("_from_cut").isin(0, -embargo)).groupBy(*keys).agg(
+        F.max(F.when(F.col("_from_cut") == 0, here)).alias("_test"),
+        F.max(F.when(F.col("_from_cut") == -embargo, here)).alias("_train_end"))
+
+
 def newest(
     df: DataFrame, n: int | None = 1000, keys: Sequence[str] = (), order: Sequence[str] = (S.TIME,)
 ) -> DataFrame:

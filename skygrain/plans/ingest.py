@@ -57,7 +57,7 @@ def read_features(spark: SparkSession, store: Store) -> DataFrame:
 def build_features(spark: SparkSession, store: Store, as_of: datetime, limit: int = GROUP_LIMIT) -> None:
     """All features from all observations."""
     rows = feature_rows(read_observations(spark, store), limit)
-    upsert(spark, store.features, rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")))
+    upsert(spark, store.features, rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")), unique=True)
 
 
 def _rows_before(
@@ -123,4 +123,4 @@ def update_features(
         "_emit", F.col("_back") <= TARGET_REACH).drop("_back")
     tail = durable(later.unionByName(before).drop("_first", MONTH), "tail")
     rows = feature_rows(tail, limit).filter(F.col("_emit")).drop("_emit")
-    upsert(spark, store.features, rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")))
+    upsert(spark, store.features, rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")), unique=True)

@@ -20,6 +20,7 @@ from skygrain.session import durable
 from skygrain.sources import registry
 from skygrain.sources.feature_table import sample_rows, table_exists
 
+SUMMARY_HOURS = 24
 HISTORY = (
     "city string, timestamp timestamp, aqi_value double, severity string, source string, message string, "
     "threshold_exceeded string, recommendations array<string>")
@@ -65,20 +66,27 @@ def alert_check(
     predictions = forecast_latest(spark, store, latest)
     if predictions is not None:
         predictions = predictions.withColumnRenamed(S.TIME, "_at").withColumn("as_of", moment).drop("_at")
-    history = read_alerts(spark, store)
+    since = as_of - timedelta(hours=SUMMARY_HOURS)
+    history = read_alerts(spark, store, since=since)
     found = AL.build_alerts(AL.candidates(current, predictions))
     fresh = durable(AL.new_alerts(found, history, as_of), "alerts").select(*history.columns)
     fresh.withColumn("alert_day", F.to_date("timestamp")).write.mode("append").partitionBy(
         "alert_day").parquet(store.alerts)
-    summary = AL.alert_summary(read_alerts(spark, store), as_of, 24, S.KEYS)
+    summary = AL.alert_summary(read_alerts(spark, store, since=since), as_of, SUMMARY_HOURS, S.KEYS)
     return fresh, summary
 
 
-def read_alerts(spark: SparkSession, store: Store, n: int | None = AL.RETAINED) -> DataFrame:
-    """The alert history, the newest ``n`` per city."""
+def read_alerts(
+    spark: SparkSession, store: Store, n: int | None = AL.RETAINED, since: datetime | None = None
+) -> DataFrame:
+    """The alert history, the newest ``n`` per city; ``since`` prunes older days."""
     if not table_exists(spark, store.alerts):
         return spark.createDataFrame([], HISTORY)
-    history = spark.read.schema(HISTORY + ", alert_day date").parquet(store.alerts).drop("alert_day")
+    history = spark.read.schema(HISTORY + ", alert_day date").parquet(store.alerts)
+    if since is not None:
+        history = history.filter(
+            (F.col("alert_day") >= F.lit(since.date())) & (F.col("timestamp") >= F.lit(since)))
+    history = history.drop("alert_day")
     return AL.retained(history, n, S.KEYS) if n is not None else history
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
 from skygrain.operators.features import feature_columns
 from skygrain.operators.series import newest
-from skygrain.session import durable
+from skygrain.session import durable, small_side
 
 PRIMARY_KEY = ("city", S.TIME)
 INGESTED = "ingest_ts"
@@ -36,27 +37,37 @@ def with_month(df: DataFrame, time: str = S.TIME) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def upsert(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str] = PRIMARY_KEY,
-    time: str = S.TIME,
+    time: str = S.TIME, unique: bool = False,
 ) -> None:
     """Insert rows or replace those with the same key; create the table if needed.
 
-    Only the months of the batch are read and rewritten. The merged rows are staged
-    first, as the table must not be overwritten while it is read, and are laid out
-    by range, so a month that holds most rows is written by many tasks.
+    Of copies within the batch the latest version counts; ``unique`` says there are
+    none. Only the months of the batch are read and rewritten, and stored rows are
+    only compared by key: a batch counted small is broadcast, and the stored rows
+    are not shuffled for it. The result is staged first, as the table must not be
+    overwritten while it is read, and is laid out by range, so a month that holds
+    most rows is written by many tasks.
     """
-    batch = with_month(batch, time)
-    merged = batch
+    batch = with_month(batch if unique else latest_versions(batch, keys), time)
     if table_exists(spark, path):
+        batch = durable(batch, "batch")
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # a calendar's worth
-        stored = spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("string"))
-        merged = stored.filter(F.col(MONTH).isin(months)).unionByName(batch, allowMissingColumns=True)
-    staged = durable(latest_versions(merged, keys), "upsert")
+        stored = read_table(spark, path).filter(F.col(MONTH).isin(months))
+        replaced = small_side(batch.select(*keys))
+        kept = stored.join(replaced, list(keys), "left_anti")
+        batch = kept.unionByName(batch, allowMissingColumns=True)
+    staged = durable(batch, "upsert")
     (staged.repartitionByRange(MONTH, *keys).sortWithinPartitions(MONTH, *keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(path))

@@ -121,3 +121,15 @@ def test_profile_is_the_same_when_cut(spark, obs):
         a, b = (build(obs, columns, limit=n).toPandas().sort_values("column").reset_index(drop=True)
                 for n in (50, 1_000_000))
         pd.testing.assert_frame_equal(a, b, rtol=1e-9)
+
+
+@pytest.mark.parametrize("embargo", [0, 30])
+def test_boundaries_mark_the_same_rows(spark, obs, embargo):
+    for limit in (60, 10_000):
+        expected = {r.event_id: r.split for r in T.chronological_split(
+            obs, ["city"], V.ORDER, embargo=embargo).select("event_id", "split").collect()}
+        cuts = T.split_boundaries(obs, ["city"], V.ORDER, embargo=embargo, limit=limit)
+        here = F.struct(*V.ORDER)
+        got = obs.join(cuts, "city").withColumn("split", F.when(here >= F.col("_test"), "test").when(
+            here < F.col("_train_end"), "train")).filter("split is not null")
+        assert {r.event_id: r.split for r in got.select("event_id", "split").collect()} == expected
