@@ -40,6 +40,33 @@ def naive_forecast_metrics(spark, sf):
     return _round(M.regression_metrics(_naive(spark, sf), ["algorithm", "horizon"]), "mse", "mae", "r2")
 
 
+def _split_metrics(spark, sf):
+    """The naive forecasts scored apart before and after a city's chronological cut."""
+    split = T.chronological_split(V.obs_aqi(spark, sf), ["city"], V.ORDER)
+    o = ordered(split, ["city"], V.ORDER, back=6, ahead=max(S.HORIZONS))
+    wide = o.finish(o.frame.select(
+        "*", F.lag("aqi", 6).over(o.window).alias("lag_6"),
+        *[t.alias(n) for n, t in FE.target_columns(o.window).items()]))
+    entries = [F.struct(F.lit(a).alias("algorithm"), F.lit(h).alias("horizon"),
+                        (F.col(c) * w).alias("prediction"), F.col(S.horizon_name(h)).alias("actual"))
+               # the last two overshoot 500 and are bounded before scoring
+               for a, c, w, hs in (("persistence", "aqi", 1, S.HORIZONS), ("lag_6", "lag_6", 1, (12, 24)),
+                                   ("triple", "aqi", 3, (1, 6)))
+               for h in hs]
+    long = wide.select("split", F.explode(F.array(*entries)).alias("e")).select("split", "e.*")
+    return M.regression_metrics(long, ["algorithm", "horizon", "split"])
+
+
+def summary_by_model(spark, sf):
+    names = [f"{s}_{m}" for s in ("train", "test") for m in ("mse", "mae", "r2")]
+    return _round(M.summary_by_model(_split_metrics(spark, sf)), *names)
+
+
+def representative_metrics(spark, sf):
+    test = _split_metrics(spark, sf).filter("split = 'test'")
+    return _round(M.representative(test), "mse", "mae", "r2")
+
+
 def _records(spark, sf):
     """One metric record per algorithm, horizon and city, trained when the city's data ends."""
     metrics = M.regression_metrics(_naive(spark, sf), ["algorithm", "horizon", "city"])
@@ -173,7 +200,7 @@ def tree_attribution(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    naive_forecast_metrics, best_model, model_ranking, comparison_table, horizon_rollup,
+    naive_forecast_metrics, summary_by_model, representative_metrics, best_model, model_ranking, comparison_table, horizon_rollup,
     latest_per_algorithm, linear_attribution, importance_topk, row_explanation, ridge_forecast,
     forest_forecast, single_horizon_forecast, forest_importance, tree_attribution)}
 
@@ -195,6 +222,18 @@ def _metrics(by: str) -> str:
         from f where p is not null and y is not null group by {by}"""
 
 
+SPLIT_SQL = f"""{OBS}, s as (select *, row_number() over ({W}) - 1 as pos,
+      floor(cast(count(*) over (partition by city) as double) * 0.8::double) as cut from o),
+    n as (select case when pos < cut then 'train' else 'test' end as split, aqi,
+      lag(aqi, 6) over ({W}) as lag_6, """ + ", ".join(
+    f"lead(aqi, {h}) over ({W}) as h{h}" for h in S.HORIZONS) + """ from s),
+    f as (""" + " union all ".join(
+    [f"select split, 'persistence' as algorithm, {h} as horizon, aqi as p, h{h} as y from n" for h in S.HORIZONS]
+    + [f"select split, 'lag_6', {h}, lag_6, h{h} from n" for h in (12, 24)]
+    + [f"select split, 'triple', {h}, least(aqi * 3, 500), h{h} from n" for h in (1, 6)]) + """),
+    g as (select algorithm, horizon, split, count(*) as n, round(avg((p - y) * (p - y)), 6) as mse,
+      round(avg(abs(p - y)), 6) as mae, round(1 - avg((p - y) * (p - y)) / var_pop(y), 6) as r2
+      from f where p is not null and y is not null group by 1, 2, 3)"""
 RECORDS = f"""{NAIVE_SQL}, m as ({_metrics('algorithm, horizon, city')}),
     ends as (select city, strftime(max(timestamp), '%Y-%m-%dT%H:%M:%S') as training_timestamp,
       strftime(max(timestamp), '%Y-%m-%d %H:%M') as trained from obs group by city),
@@ -214,6 +253,12 @@ LINEAR_SQL = f"""with {V.OBS_SQL}, s as (select *, row_number() over ({W}) - 1 a
 
 ORACLES = {
     "naive_forecast_metrics": f"{NAIVE_SQL} {_metrics('algorithm, horizon')}",
+    "summary_by_model": f"{SPLIT_SQL} select algorithm, horizon, " + ", ".join(
+        f"max({m}) filter (split = '{s}') as {s}_{m}" for s in ("train", "test") for m in ("n", "mse", "mae", "r2"))
+        + " from g group by 1, 2",
+    "representative_metrics": f"""{SPLIT_SQL} select algorithm, horizon, mse, mae, r2 from (
+        select *, row_number() over (partition by algorithm order by horizon <> 6, horizon) as rn
+        from g where split = 'test') where rn = 1""",
     "best_model": f"""{RECORDS} select count(*) as total_models,
         arg_min(model_name, (mae, model_name)) as best_mae_model, min(mae) as best_mae,
         arg_min(model_name, (-r2, model_name)) as best_r2_model, max(r2) as best_r2 from r""",

@@ -48,56 +48,51 @@ def with_rolling(
     deviations = "std" in stats
     kinds = ("n", "s", "q") if deviations else ("n", "s")
 
-    def state(kind: str, c: str) -> Column:
-        return F.col(f"_{kind}_{c}")
-
-    def older(kind: str, c: str) -> Column:
-        return F.coalesce(F.col(f"_old{kind}_{c}"), F.lit(0 if kind == "n" else 0.0))
-
-    def merged(c: str) -> dict[str, Column]:
-        n1, s1 = state("n", c), state("s", c)
-        n2, s2 = older("n", c), older("s", c)
-        out = {f"_n_{c}": n1 + n2, f"_s_{c}": s1 + s2}
+    # SQL text where plain arithmetic repeats for every column: a plan of this width
+    # takes longer to build from single Column calls than to run
+    def merged(c: str) -> list[str]:
+        n1, s1, n2, s2 = f"`_n_{c}`", f"`_s_{c}`", f"coalesce(`_oldn_{c}`, 0L)", f"coalesce(`_olds_{c}`, 0D)"
+        out = [f"{n1} + {n2} as `_n_{c}`", f"{s1} + {s2} as `_s_{c}`"]
         if deviations:
-            gap = s2 / n2 - s1 / n1
-            apart = F.when((n1 > 0) & (n2 > 0), gap * gap * n1 * n2 / (n1 + n2)).otherwise(F.lit(0.0))
-            out[f"_q_{c}"] = state("q", c) + older("q", c) + apart
+            gap = f"pow({s2} / {n2} - {s1} / {n1}, 2)"
+            apart = f"case when {n1} > 0 and {n2} > 0 then {gap} * {n1} * {n2} / ({n1} + {n2}) else 0D end"
+            out.append(f"`_q_{c}` + coalesce(`_oldq_{c}`, 0D) + {apart} as `_q_{c}`")
         return out
 
-    def results(c: str, size: int) -> dict[str, Column]:
-        out, n = {}, state("n", c)
+    def results(c: str, size: int) -> dict[str, str]:
+        out, n = {}, f"`_n_{c}`"
         if "mean" in stats:
-            out[S.rolling_name(c, "mean", size)] = F.when(n > 0, state("s", c) / n)
+            out[S.rolling_name(c, "mean", size)] = f"case when {n} > 0 then `_s_{c}` / {n} end"
         if deviations:
-            out[S.rolling_name(c, "std", size)] = F.when(n > 1, F.sqrt(state("q", c) / (n - 1)))
+            out[S.rolling_name(c, "std", size)] = f"case when {n} > 1 then sqrt(`_q_{c}` / ({n} - 1)) end"
         return out
 
     previous = None
     for size in sorted(sizes):
-        carried = [F.col(f"`{c}`") for c in kept]
+        carried = [f"`{c}`" for c in kept]
         if size == 2 * (previous or 0):
-            states = [state(k, c) for c in columns for k in kinds]
-            lags = [F.lag(state(k, c), previous).over(window).alias(f"_old{k}_{c}")
+            lags = [F.lag(f"`_{k}_{c}`", previous).over(window).alias(f"_old{k}_{c}")
                     for c in columns for k in kinds]
-            new = {name: e for c in columns for name, e in merged(c).items()}
+            states = [f"`_{k}_{c}`" for c in columns for k in kinds]
             df = df.select(*carried, *states, *lags)
+            df = df.selectExpr(*carried, *[e for c in columns for e in merged(c)])
         else:
             frame = window.rowsBetween(1 - size, 0)
-            new = {}
+            direct = []
             for c in columns:
-                v = F.col(c).cast("double")
-                n = F.count(v).over(frame)
-                new[f"_n_{c}"] = n
-                new[f"_s_{c}"] = F.coalesce(F.sum(v).over(frame), F.lit(0.0))
+                direct += [F.count(f"`{c}`").over(frame).alias(f"_n_{c}"),
+                           F.sum(F.col(f"`{c}`").cast("double")).over(frame).alias(f"_s_{c}")]
                 if deviations:
-                    new[f"_q_{c}"] = F.coalesce(F.var_pop(v).over(frame), F.lit(0.0)) * n
-        df = df.select(*carried, *[e.alias(name) for name, e in new.items()])
+                    direct.append(F.var_pop(f"`{c}`").over(frame).alias(f"_q_{c}"))
+            df = df.select(*carried, *direct).selectExpr(*carried, *[e for c in columns for e in (
+                f"`_n_{c}`", f"coalesce(`_s_{c}`, 0D) as `_s_{c}`",
+                *([f"coalesce(`_q_{c}` * `_n_{c}`, 0D) as `_q_{c}`"] if deviations else []))])
         made = {name: e for c in columns for name, e in results(c, size).items()}
-        df = df.select("*", *[e.alias(name) for name, e in made.items()])
+        df = df.selectExpr("*", *[f"{e} as `{name}`" for name, e in made.items()])
         kept += list(made)
         previous = size
     made = [S.rolling_name(c, s, size) for c in columns for size in sizes for s in stats]
-    return df.select(*[F.col(f"`{c}`") for c in kept if c not in made], *made)
+    return df.select(*[f"`{c}`" for c in kept if c not in made], *made)
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -121,16 +116,16 @@ def engineer(
     """
     reach_back = max(max(S.ROLLING_WINDOWS) - 1, max(S.LAG_HOURS))
     o = ordered(observations, keys, order, reach_back, target_hours, limit)
-    df = with_calendar(with_aqi(o.frame, gap_policy), order[0], zone)
-    df = df.withColumns(derived_columns(df))
+    df = with_aqi(o.frame, gap_policy)
+    # the widest windows first: whatever one row alone determines is added after them
+    df = with_rolling(df, _present(df, S.ROLLING_COLUMNS), o.window)
     shifted = {
         **change_column(o.window),
         **lag_columns(_present(df, S.LAG_COLUMNS), o.window),
         S.TARGET: F.lead("aqi", target_hours).over(o.window),
     }
-    df = df.select("*", *[e.alias(n) for n, e in shifted.items()])
-    df = with_rolling(df, _present(df, S.ROLLING_COLUMNS), o.window)
-    return o.finish(df)
+    df = o.finish(df.select("*", *[e.alias(n) for n, e in shifted.items()]))
+    return with_calendar(df.withColumns(derived_columns(df)), order[0], zone)
 
 
 def complete_rows(df: DataFrame, except_for: Sequence[str] = ()) -> DataFrame:

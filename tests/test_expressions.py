@@ -12,7 +12,7 @@ from skygrain.operators import profile as P
 
 def _sub(spark, bands, decimals, values, policy="cap"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c double")
-    rows = df.select("i", index.sub_index(F.col("c"), bands, decimals, policy).alias("x")).collect()
+    rows = df.select("i", index.sub_index("c", bands, decimals, policy).alias("x")).collect()
     return [r.x for r in sorted(rows, key=lambda r: r.i)]
 
 
