@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
@@ -13,8 +15,8 @@ from skygrain.operators import forecast as FC
 from skygrain.operators import metrics as M
 from skygrain.operators import series as T
 from skygrain.operators.ordered import ordered
-from skygrain.session import durable
-from skygrain.sources import registry
+from skygrain.session import durable, scratch_root
+from skygrain.sources import feature_table
 
 NAIVE = {"persistence": 0, "lag_1": 1, "lag_6": 6}
 
@@ -74,8 +76,7 @@ def _records(spark, sf):
     named = metrics.join(ends, "city").withColumn("algorithm", F.concat_ws("_", "algorithm", "city"))
     rounded = _round(named, "mse", "mae", "r2")
     return M.flat_records(M.metric_records(
-        rounded.withColumn("horizon", F.col("horizon")),
-        F.date_format("trained", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("none"))).withColumn(
+        rounded, F.date_format("trained", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("none"))).withColumn(
         "model_name", F.concat("model_name", F.lit("_h"), "horizon"))
 
 
@@ -166,8 +167,6 @@ def forest_forecast(spark, sf):
 
 
 def single_horizon_forecast(spark, sf):
-    from skygrain.sources import feature_table
-
     features = durable(FE.complete_rows(FE.engineer(
         V.obs(spark, sf).drop("event_type"), ["city"], V.ORDER)), "features")
     rows, columns = feature_table.training_frame(features)
@@ -185,9 +184,6 @@ def forest_importance(spark, sf):
 
 def tree_attribution(spark, sf):
     """Mean absolute tree contributions over all test rows, ten strongest features."""
-    from skygrain.session import scratch_root
-    import uuid
-
     training = _training(spark, sf)
     one = FC.TrainingSet(training.rows, training.features, {6: training.targets[6]})
     fitted = FC.fit(one, ["random_forest"])[0]

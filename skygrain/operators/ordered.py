@@ -107,10 +107,17 @@ class Slots:
 
 
 def cut_large_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = GROUP_LIMIT
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = GROUP_LIMIT,
+    at_most: int | None = None,
 ) -> Slots | None:
-    """Slots for the groups of more than ``limit`` rows, or None if there are none."""
+    """Slots for the groups of more than ``limit`` rows, or None if there are none.
+
+    ``at_most`` is a known bound of a group's rows. Without it the table is counted,
+    for stored Parquet from its footers; groups are counted only if it is larger.
+    """
     keys, order = tuple(keys), tuple(order)
+    if (df.count() if at_most is None else at_most) <= limit:
+        return None
     numbers = [f"_o{i}" for i in range(len(order))]
     narrow = df.select(*keys, *[_as_number(df, c).alias(n) for n, c in zip(numbers, order)])
     slot_rows = max(1, limit // 8)

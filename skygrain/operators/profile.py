@@ -48,45 +48,50 @@ def overview(df: DataFrame) -> DataFrame:
     return names.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("row_count"))))
 
 
-def _moments(long: DataFrame) -> DataFrame:
+def _statistics(
+    df: DataFrame, columns: Sequence[str], shares: dict[str, float], limit: int
+) -> DataFrame:
+    """Count, moments and quantiles per column; all in one pass if the table is small."""
+    long, rows = long_form(df, columns), df.count()
     v = F.col("value")
-    several = F.col("count") > 1
-    return long.groupBy("column").agg(
+    moments = [
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
-        F.skewness(v).alias("_skew"), F.kurtosis(v).alias("_kurt"),
-    ).select("column", "count", "mean", "std", "min", "max",
-             F.when(several, F.col("_skew")).otherwise(0.0).alias("skewness"),
-             F.when(several, F.col("_kurt")).otherwise(0.0).alias("kurtosis"))
-
-
-def _with_quantiles(long: DataFrame, base: DataFrame, names: dict[str, float], limit: int) -> DataFrame:
-    q = quantiles(long, ["column"], "value", list(names.values()), limit)
-    picked = q.select("column", *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
-    return base.join(F.broadcast(picked), "column")  # one row per column name
+        F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")]
+    wanted = list(shares.values())
+    if rows <= limit:
+        together = F.percentile(v, F.array(*[F.lit(s) for s in wanted])).alias("quantiles")
+        out = long.groupBy("column").agg(*moments, together)
+    else:
+        apart = quantiles(long, ["column"], "value", wanted, limit, rows)
+        out = long.groupBy("column").agg(*moments).join(F.broadcast(apart), "column")  # a row per column
+    several = F.col("count") > 1
+    return out.withColumns({
+        "skewness": F.when(several, F.col("skewness")).otherwise(0.0),
+        "kurtosis": F.when(several, F.col("kurtosis")).otherwise(0.0),
+        **{name: F.col("quantiles")[i] for i, name in enumerate(shares)}})
 
 
 def describe(df: DataFrame, columns: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
     """Count, mean, std, min, quartiles and max per column."""
-    long = long_form(df, columns)
-    return _with_quantiles(
-        long, _moments(long).drop("skewness", "kurtosis"),
-        {"p25": 0.25, "p50": 0.5, "p75": 0.75}, limit)
+    stats = _statistics(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, limit)
+    return stats.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def distributions(df: DataFrame, columns: Sequence[str], limit: int = GROUP_LIMIT) -> DataFrame:
     """Mean, median, std, min, max, skewness, excess kurtosis and upper percentiles."""
-    long = long_form(df, columns)
-    return _with_quantiles(
-        long, _moments(long).drop("count"),
-        {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.9, "p95": 0.95}, limit)
+    stats = _statistics(
+        df, columns, {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.9, "p95": 0.95}, limit)
+    return stats.select("column", "mean", "median", "std", "min", "max", "skewness", "kurtosis",
+                        "p25", "p75", "p90", "p95")
 
 
 def outlier_bounds(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """Quartiles and the fences 1.5 interquartile ranges beyond them."""
-    q = quantiles(long_form(df, columns, keys), [*keys, "column"], "value", [0.25, 0.75], limit)
+    q = quantiles(
+        long_form(df, columns, keys), [*keys, "column"], "value", [0.25, 0.75], limit, df.count())
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
     return q.select(*keys, "column", q1.alias("q1"), q3.alias("q3")).withColumns({
         "lower": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),

@@ -17,18 +17,19 @@ def quantiles(
     value: str,
     shares: Sequence[float],
     limit: int = GROUP_LIMIT,
+    at_most: int | None = None,
 ) -> DataFrame:
     """One row per group with ``quantiles``: one double per entry of ``shares``.
 
     Groups up to ``limit`` rows use ``percentile``, which keeps all distinct values
     of a group in one task. A larger group is counted by value range first; the
     counts say which few ranges hold the wanted ranks, and only those are sorted.
-    Missing values are left out.
+    Missing values are left out. ``at_most`` is a known bound of a group's rows.
     """
     keys, shares = list(keys), [float(s) for s in shares]
     rows = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"))
-    slots = cut_large_groups(rows, keys, ["_v"], limit)
+    slots = cut_large_groups(rows, keys, ["_v"], limit, at_most)
     in_one_task = F.percentile("_v", F.array(*[F.lit(s) for s in shares])).alias("quantiles")
     if slots is None:
         return rows.groupBy(*keys).agg(in_one_task)

@@ -13,8 +13,9 @@ from skygrain.session import durable, tune
 from skygrain.sources import payload
 
 
-def _fetch(spark, air_path, weather_path, locations, span) -> DataFrame:
-    return durable(payload.observations(spark, air_path, weather_path, locations, *span), "batch")
+def _fetch(spark, air_path, weather_path, locations, span, modified_after=None) -> DataFrame:
+    return durable(payload.observations(
+        spark, air_path, weather_path, locations, *span, modified_after), "batch")
 
 
 def setup(
@@ -42,11 +43,15 @@ def setup(
 def update(
     spark: SparkSession, store: Store, air_path: str, weather_path: str, locations: DataFrame,
     as_of: datetime, start: str | None = None, end: str | None = None,
+    modified_after: str | None = None,
 ) -> bool:
-    """New files of the last day, or of the given days; without any there is nothing to do."""
+    """Readings of the last day, or of the given days; without any there is nothing to do.
+
+    ``modified_after`` limits the landed files that are opened.
+    """
     tune(spark)
     span = day_range(start, end, as_of, 1)
-    batch = _fetch(spark, air_path, weather_path, locations, span)
+    batch = _fetch(spark, air_path, weather_path, locations, span, modified_after)
     if batch.isEmpty():
         return True
     report.write_report(spark, store, with_aqi(batch), "daily_update", as_of)

@@ -15,12 +15,20 @@ from skygrain.session import small_side
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
 
-def read_payloads(spark: SparkSession, path: str, variables: Sequence[str]) -> DataFrame:
-    """Raw objects of all files below ``path``; unreadable ones come as NULLs."""
-    return (spark.read.schema(S.payload_schema(list(variables)))
-            .option("multiLine", True).option("mode", "PERMISSIVE")
-            .option("recursiveFileLookup", True).json(path)
-            .withColumn("file", F.input_file_name()))
+def read_payloads(
+    spark: SparkSession, path: str, variables: Sequence[str], modified_after: str | None = None
+) -> DataFrame:
+    """Raw objects of all files below ``path``; unreadable ones come as NULLs.
+
+    ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``) skips older files without opening
+    them, so an update need not read the whole landing folder again.
+    """
+    reader = (spark.read.schema(S.payload_schema(list(variables)))
+              .option("multiLine", True).option("mode", "PERMISSIVE")
+              .option("recursiveFileLookup", True))
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.json(path).withColumn("file", F.input_file_name())
 
 
 def is_usable(variables: Sequence[str]) -> Column:
@@ -50,12 +58,12 @@ def rejected(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
     return payloads.filter(~is_usable(variables)).select("file", "city")
 
 
-def read_air(spark: SparkSession, path: str) -> DataFrame:
-    return payload_rows(read_payloads(spark, path, S.POLLUTANTS), S.POLLUTANTS)
+def read_air(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    return payload_rows(read_payloads(spark, path, S.POLLUTANTS, modified_after), S.POLLUTANTS)
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    return payload_rows(read_payloads(spark, path, S.WEATHER), S.WEATHER)
+def read_weather(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    return payload_rows(read_payloads(spark, path, S.WEATHER, modified_after), S.WEATHER)
 
 
 def join_inputs(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("city", S.TIME)) -> DataFrame:
@@ -70,10 +78,11 @@ def with_location(df: DataFrame, locations: DataFrame) -> DataFrame:
 
 def observations(
     spark: SparkSession, air_path: str, weather_path: str, locations: DataFrame,
-    start: str | None = None, end: str | None = None,
+    start: str | None = None, end: str | None = None, modified_after: str | None = None,
 ) -> DataFrame:
     """The observation table from both landing folders, optionally for a range of days."""
-    air, weather = read_air(spark, air_path), read_weather(spark, weather_path)
+    air = read_air(spark, air_path, modified_after)
+    weather = read_weather(spark, weather_path, modified_after)
     if start and end:
         air, weather = in_days(air, start, end), in_days(weather, start, end)
     joined = with_location(join_inputs(air, weather), locations)

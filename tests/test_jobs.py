@@ -63,6 +63,7 @@ def test_payloads(spark, landed, observations):
     assert observations.count() == 2 * 496
     row = observations.filter("city = 'Rome'").orderBy("timestamp").first()
     assert row.timestamp == START and row.ozone == _value("ozone", 0) and row.latitude == 41.9
+    assert payload.read_air(spark, landed[0], "2099-01-01T00:00:00").isEmpty()
     files = payload.rejected(payload.read_payloads(spark, landed[0], S.POLLUTANTS), S.POLLUTANTS)
     names = {r.file.rsplit("/", 1)[1] for r in files.collect()}
     assert names == {"empty.json", "missing.json", "broken.json", "uneven.json"}
