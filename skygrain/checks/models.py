@@ -227,9 +227,10 @@ SPLIT_SQL = f"""{OBS}, s as (select *, row_number() over ({W}) - 1 as pos,
     [f"select split, 'persistence' as algorithm, {h} as horizon, aqi as p, h{h} as y from n" for h in S.HORIZONS]
     + [f"select split, 'lag_6', {h}, lag_6, h{h} from n" for h in (12, 24)]
     + [f"select split, 'triple', {h}, least(aqi * 3, 500), h{h} from n" for h in (1, 6)]) + """),
-    g as (select algorithm, horizon, split, count(*) as n, round(avg((p - y) * (p - y)), 6) as mse,
-      round(avg(abs(p - y)), 6) as mae, round(1 - avg((p - y) * (p - y)) / var_pop(y), 6) as r2
-      from f where p is not null and y is not null group by 1, 2, 3)"""
+    v as (select *, case when p is not null then y end as t from f),
+    g as (select algorithm, horizon, split, count(t) as n, round(avg((p - t) * (p - t)), 6) as mse,
+      round(avg(abs(p - t)), 6) as mae, round(coalesce(case when min(t) < max(t) then
+        1 - avg((p - t) * (p - t)) / var_pop(t) end, -1), 6) as r2 from v group by 1, 2, 3)"""
 RECORDS = f"""{NAIVE_SQL}, m as ({_metrics('algorithm, horizon, city')}),
     ends as (select city, strftime(max(timestamp), '%Y-%m-%dT%H:%M:%S') as training_timestamp,
       strftime(max(timestamp), '%Y-%m-%d %H:%M') as trained from obs group by city),
