@@ -107,7 +107,7 @@ def latest_per_algorithm(spark, sf):
 
 
 LINEAR = [("ridge", h, c, w * h) for h in (1, 6) for c, w in (
-    ("pm2_5", 0.5), ("ozone", -0.25), ("temperature_2m", 1.5), ("uv_index", 3.0),
+    ("pm2_5", 0.5), ("ozone", -0.5), ("temperature_2m", 1.5), ("uv_index", 3.0),
     ("cloud_cover", -0.125), ("pm10", 0.75), ("dust", 0.0625))]
 LINEAR_FEATURES = list(dict.fromkeys(c for _, _, c, _ in LINEAR))
 
