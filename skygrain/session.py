@@ -59,8 +59,9 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_folders.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="skygrain-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="skygrain-")
+    return _local_folders[context.applicationId]
 
 
 def durable(df: DataFrame, label: str = "part") -> DataFrame:
