@@ -33,7 +33,7 @@ def test_cluster_folder_wins_and_is_required(spark, monkeypatch):
 def test_durable_is_the_same_table(spark):
     df = spark.range(100).selectExpr("id", "id * 0.5D as x", "array(id) as a")
     again = session.durable(df)
-    assert again.schema == df.schema and again.exceptAll(df).isEmpty() and again.count() == 100
+    assert again.dtypes == df.dtypes and again.exceptAll(df).isEmpty() and again.count() == 100
 
 
 def test_only_counted_sides_are_broadcast(spark):
