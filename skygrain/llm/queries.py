@@ -8,17 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, records, simhash
-from skygrain.llm.common import table
+from skygrain.llm import bpe, langid, quality, records, simhash
+from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.learn(docs.filter(~held_out))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.learn(docs, labels.filter(~held_out))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{scratch_root(spark)}/records-{spark.sql('select uuid()').first()[0]}"
     written = records.write(table(spark, sf_dir, "documents"), root, public_tokenizers.path(VOCABULARY))
@@ -34,7 +49,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
     "op8_bpe": op8_bpe,
 }
