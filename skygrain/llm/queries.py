@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, langid, quality, records, simhash
+from skygrain.llm import bpe, kdtree, langid, quality, records, simhash, warc
 from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
@@ -26,6 +26,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{scratch_root(spark)}/warc-{spark.sql('select uuid()').first()[0]}"
+    found = warc.read(spark, warc.write(table(spark, sf_dir, "pages"), root))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -48,11 +54,33 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", kdtree.quantised(F.col("embedding")).alias("vector"))
+    return kdtree.top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
     "op8_bpe": op8_bpe,
+    "op10_top_k": op10_top_k,
+}
+ORACLES: dict[str, str] = {
+    "op10_top_k": """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and list_count(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 50 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5""",
 }
-ORACLES: dict[str, str] = {}
