@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, kdtree, langid, quality, records, simhash, warc
+from skygrain.llm import bpe, kdtree, langid, lm, quality, records, simhash, warc
 from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
@@ -54,6 +54,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    return lm.score(docs, ~held_out).withColumn("held_out", held_out)
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", kdtree.quantised(F.col("embedding")).alias("vector"))
     return kdtree.top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
     "op8_bpe": op8_bpe,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_top_k": op10_top_k,
 }
 ORACLES: dict[str, str] = {

@@ -41,13 +41,13 @@ def mix(rows: DataFrame, params: Parameters, rounds: int, improve: Callable[[pa.
             if batches:
                 part = pa.Table.from_batches(batches)
                 values = pack(improve(part, params, k))
-                yield pa.RecordBatch.from_arrays([pa.array([part.num_rows], pa.int64()), pa.array([values], pa.list_(pa.float64()))], ["n", "p"])
+                yield pa.RecordBatch.from_arrays([pa.array([part.num_rows], pa.int64()), pa.array([values.tobytes()])], ["n", "p"])
 
-        found = rows.mapInArrow(run, "n long, p array<double>").collect()
+        found = rows.mapInArrow(run, "n long, p binary").collect()
         if not found:
             return params
         total = sum(r.n for r in found)
-        params = unpack(sum(np.array(r.p) * (r.n / total) for r in found), params)
+        params = unpack(sum(np.frombuffer(r.p) * (r.n / total) for r in found), params)
     return params
 
 
@@ -56,9 +56,9 @@ def sums(rows: DataFrame, count: Callable[[pa.Table], np.ndarray], size: int) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = [b for b in batches if b.num_rows]
         if batches:
-            yield pa.RecordBatch.from_arrays([pa.array([count(pa.Table.from_batches(batches))], pa.list_(pa.float64()))], ["p"])
+            yield pa.RecordBatch.from_arrays([pa.array([count(pa.Table.from_batches(batches)).astype(np.float64).tobytes()])], ["p"])
 
-    return sum((np.array(r.p) for r in rows.mapInArrow(run, "p array<double>").collect()), np.zeros(size))
+    return sum((np.frombuffer(r.p) for r in rows.mapInArrow(run, "p binary").collect()), np.zeros(size))
 
 
 class Adam:
