@@ -22,7 +22,8 @@ from skygrain.session import durable
 PASSAGE_WORDS = 64
 # Labelled documents of each label the model is fitted on, about: those with the lowest hashes.
 SAMPLE = 2500
-ROUNDS, EPOCHS, BAGS = 5, 3, 32
+# Each round goes over a part's documents so often, and makes at least so many steps of so many documents.
+ROUNDS, EPOCHS, LEAST_STEPS, BAGS = 5, 3, 60, 32
 THRESHOLD = 0.3
 _HIDDEN, _GATE = 24, 12
 _LENGTHS = 12
@@ -137,15 +138,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     part = {k: min(1.0, SAMPLE / n) for k, n in counts.items()}
     rate = F.when(F.col("label") == 1, F.lit(part.get(1, 1.0))).otherwise(F.lit(part.get(0, 1.0)))
     chosen = marked.withColumn("rate", rate).filter(share([F.col("_key")], F.col("rate")))
-    rows = (docs.join(F.broadcast(chosen), docs[key] == chosen["_key"])
-            .select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), "label", (1 / F.col("rate")).alias("weight")))
+    texts = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = texts.join(F.broadcast(chosen), "_key").select("text", "label", (1 / F.col("rate")).alias("weight"))
     rows = durable(rows.repartition(rows_for(sum(min(SAMPLE, n) for n in counts.values()), SAMPLE // 2)), "quality-sample")
 
     def improve(part: pa.Table, params: Parameters, k: int) -> Parameters:
         bags = [passages(t) for t in part.column("text").to_pylist()]
         label, weight = part.column("label").to_numpy().astype(float), part.column("weight").to_numpy()
         pick, adam = np.random.default_rng(k), Adam(params, 0.01 / (1 + k) ** 0.5)
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, LEAST_STEPS * BAGS // len(bags))):
             order = pick.permutation(len(bags))
             for at in range(0, len(order), BAGS):
                 some = order[at:at + BAGS]

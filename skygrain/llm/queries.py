@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, kdtree, langid, lm, quality, records, simhash, warc
+from skygrain.llm import bpe, chat, decontaminate, kdtree, langid, lm, quality, records, simhash, warc
 from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
@@ -26,6 +26,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = chat.transcripts(table(spark, sf_dir, "conversations"))
+    return chat.parse(lines, chat.learn(lines.filter(fold(F.col("conv_id"), 5) != 0)))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{scratch_root(spark)}/warc-{spark.sql('select uuid()').first()[0]}"
     found = warc.read(spark, warc.write(table(spark, sf_dir, "pages"), root))
@@ -47,6 +52,10 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -68,9 +77,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_chat": op3_chat,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
+    "op7_decontamination": op7_decontamination,
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_top_k": op10_top_k,

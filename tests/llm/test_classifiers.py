@@ -110,10 +110,10 @@ def test_passages():
 
 def test_quality_odd_rows(spark):
     rows = [(1, "Good text here. " * 50, "x"), (2, "JUNK!! " * 50, "x"), (3, None, "x"), (4, "", "x"), (None, "Good.", None), (2, "JUNK!! " * 50, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string, label string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (77, 1)], "doc_id long, quality int")
     found = quality.score(docs, quality.learn(docs, labels))
-    assert found.columns == ["doc_id", "text", "score"] and dict(found.dtypes)["score"] == "double"
+    assert found.columns == ["doc_id", "text", "label", "score"] and dict(found.dtypes)["score"] == "double"
     got = {r.text: r.score for r in found.collect()}
     assert found.count() == 6 and got["Good text here. " * 50] > got["JUNK!! " * 50] and got[None] == got[""]
     assert {r.score for r in quality.score(docs, quality.learn(docs, labels.limit(0))).collect()} == {0.5}
