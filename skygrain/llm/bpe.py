@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.chunks import CACHE_ENTRIES, PATTERN, Vocabulary, Words, flat, plain_words
+from skygrain.llm.chunks import CACHE_ENTRIES, PATTERN, Vocabulary, Words, parts
 from skygrain.llm.common import ragged, slices
 
 _NONE = 1 << 62
@@ -39,7 +39,7 @@ class Codec:
         self.merged = [ids[a + b] for a, b in self.vocabulary.merges]
         self.pattern = regex.compile(PATTERN)
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.words = Words(lambda word: self._join(self.pattern.findall(" " + word)))
+        self.words = Words(lambda part: self._join(self.pattern.findall(part)))
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Ids of one piece, given the ids of its bytes."""
@@ -91,25 +91,23 @@ class Codec:
         for piece in pieces:
             ids = known.get(piece)
             if ids is None:
-                if len(known) >= CACHE_ENTRIES:
+                if len(known) >= CACHE_ENTRIES // 2:
                     known.clear()
                 known[piece] = ids = tuple(self.merge([self.byte_ids[b] for b in piece.encode()]))
             found.extend(ids)
         return tuple(found)
 
     def encode(self, text: str) -> np.ndarray:
-        parts = []
+        found = []
         for special, section in self.vocabulary.sections(text):
             if special is not None:
-                parts.append(np.array([special], np.int32))
-            words = plain_words(section) if section else []
-            if words is None:
-                parts.append(flat([self._join(self.pattern.findall(section))]))
-            elif words:
-                if words[0]:
-                    parts.append(flat([self._join(self.pattern.findall(words[0]))]))
-                parts.append(flat(map(self.words.__getitem__, words[1:])))
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
+                found.append(np.array([special], np.int32))
+            cut = parts(section)
+            if cut is None:
+                found.append(np.array(self._join(self.pattern.findall(section)), np.int32))
+            else:
+                found.append(self.words.ids(cut))
+        return np.concatenate(found)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skygrain.llm.chunks import Vocabulary, Words, plain_words
+from skygrain.llm.chunks import BARE, Vocabulary, Words, parts
 from skygrain.llm.common import ragged, rows_for, slices
 
 #: Fixed value: the constant that masks a checksum.
@@ -81,43 +81,34 @@ class LibraryEncoder:
         vocabulary = Vocabulary(content)
         self.sections = vocabulary.sections
         self.lengths = np.array([len(b) for b in vocabulary.bytes])
-        self.words = Words(lambda word: tuple(self._ids(" " + word)))
+        self.words = Words(self._ids)
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, words: set[str]) -> None:
-        """Put new words into the dictionary, a few thousand at a time."""
-        new = [w for w in words if w not in self.words and w and not (w[0].isspace() or w[-1].isspace())]
+    def _learn(self, found: set[str]) -> None:
+        """Put new parts into the dictionary, thousands at a time."""
+        known, old = self.words, self.words.old
+        new = [p for p in found if p not in known and p not in old and p and p[0] != BARE and p.strip() == p]
         for at in range(0, len(new), 4096):
             some = new[at:at + 4096]
-            ids = self._ids(" " + " ".join(some))
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(w.encode()) + 1 for w in some]), "left") + 1
-            if len(self.words) + len(some) > 300_000:
-                self.words.clear()
-            start = 0
-            for word, cut in zip(some, cuts.tolist()):
-                self.words[word] = tuple(ids[start:cut])
-                start = cut
+            ids = np.array(self._ids(" " + " ".join(some)), "<i4")
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) + 1 for p in some])) + 1
+            cuts, raw = [0, *(4 * ends).tolist()], ids.tobytes()
+            self.words.make_room()
+            self.words.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plans = [[(added, section, plain_words(section)) for added, section in self.sections(t)] for t in texts]
-        self._learn({w for plan in plans for _, _, words in plan if words for w in words[1:]})
+        plans = [[(added, section, parts(section)) for added, section in self.sections(t)] for t in texts]
+        self._learn(set().union(*(cut for plan in plans for _, _, cut in plan if cut)))
         out = []
         for plan in plans:
-            ids: list[int] = []
-            for added, section, words in plan:
+            ids = []
+            for added, section, cut in plan:
                 if added is not None:
-                    ids.append(added)
-                if words is None:
-                    ids += self._ids(section)
-                else:
-                    if words[0]:
-                        ids += self._ids(words[0])
-                    for part in map(self.words.__getitem__, words[1:]):
-                        ids += part
-            out.append(np.array(ids, np.uint32))
+                    ids.append(np.array([added]))
+                ids.append(np.array(self._ids(section), "<i4") if cut is None else self.words.ids(cut))
+            out.append(np.concatenate(ids).astype(np.uint32))
         return out
 
 
@@ -215,14 +206,42 @@ def _write_index(spark: SparkSession, written: Records) -> None:
      .write.parquet(f"{written.root}/index"))
 
 
-def read(spark: SparkSession, records: Records, chosen: DataFrame | None = None) -> DataFrame:
-    """``key, ids, start`` of the records that ``chosen`` (rows of the index) names, or of all.
+_READ = "key long, ids array<int>, start long"
+
+
+def _batch(found: list[tuple[int | None, np.ndarray, int]]) -> pa.RecordBatch:
+    keys, ids, starts = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ragged([i.astype(np.int32) for i in ids], pa.int32()), pa.array(starts, pa.int64())],
+                                      ["key", "ids", "start"])
+
+
+def read(spark: SparkSession, records: Records) -> DataFrame:
+    """``key, ids, start`` of all records. Shards are read where they lie; the ids before each, one number, are broadcast.
 
-    Offsets of a shard travel as one row beside the shard's content; contents are
-    not shuffled while the offsets are small enough to broadcast, which Spark decides.
     Damaged records raise ValueError.
     """
-    chosen = records.index(spark) if chosen is None else chosen
+    base = records.index(spark).groupBy("shard").agg(F.min("start").alias("base"))
+    shards = records.shards(spark).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            content, start, at, found = batch.column(0)[0].as_py(), batch.column(1)[0].as_py(), 0, []
+            while at < len(content):
+                key, ids, at = unframe(content, at)
+                found.append((key, ids, start))
+                start += len(ids)
+                if len(found) == 256 or at >= len(content):
+                    yield _batch(found)
+                    found = []
+
+    return shards.join(F.broadcast(base), "shard").select("content", "base").mapInArrow(run, _READ)
+
+
+def pick(spark: SparkSession, records: Records, chosen: DataFrame) -> DataFrame:
+    """``key, ids, start`` of the records that ``chosen``, rows of the index, names: read at their offsets.
+
+    The offsets of a shard travel as one row beside its content. Damaged records raise ValueError.
+    """
     wanted = chosen.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("offset", "start"))).alias("wanted"))
     shards = records.shards(spark).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
 
@@ -230,13 +249,9 @@ def read(spark: SparkSession, records: Records, chosen: DataFrame | None = None)
         for batch in slices(batches, 1):
             content, wanted = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
             for at in range(0, len(wanted), 256):
-                some = wanted[at:at + 256]
-                found = [unframe(content, w["offset"]) for w in some]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], pa.int64()), ragged([f[1].astype(np.int64) for f in found], pa.int64()),
-                     pa.array([w["start"] for w in some], pa.int64())], ["key", "ids", "start"])
+                yield _batch([(*unframe(content, w["offset"])[:2], w["start"]) for w in wanted[at:at + 256]])
 
-    return shards.join(wanted, "shard").select("content", "wanted").mapInArrow(run, "key long, ids array<long>, start long")
+    return shards.join(wanted, "shard").select("content", "wanted").mapInArrow(run, _READ)
 
 
 def shuffled(spark: SparkSession, records: Records, seed: int) -> DataFrame:

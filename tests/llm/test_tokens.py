@@ -96,7 +96,7 @@ def test_records_of_odd_rows(spark, odd, library, tmp_path):
     assert [r.key for r in ordered] == sorted((r.key for r in rows), key=lambda k: (k is not None, k))
     assert [r.start for r in ordered] == np.cumsum([0] + [len(r.ids) for r in ordered])[:-1].tolist()
     some = written.index(spark).filter("key in (1, 14)")
-    assert sorted(r.key for r in records.read(spark, written, some).collect()) == [1, 14]
+    assert sorted(r.key for r in records.pick(spark, written, some).collect()) == [1, 14]
     order = [r.start for r in records.shuffled(spark, written, 7).orderBy("position").collect()]
     assert sorted(order) == [r.start for r in ordered] != order
     assert order == [r.start for r in records.shuffled(spark, written, 7).orderBy("position").collect()]
