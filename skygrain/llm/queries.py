@@ -48,8 +48,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{scratch_root(spark)}/records-{spark.sql('select uuid()').first()[0]}"
     written = records.write(table(spark, sf_dir, "documents"), root, public_tokenizers.path(VOCABULARY))
-    found = records.digests(records.read(spark, written).withColumnRenamed("key", "doc_id"))
-    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+    return records.digests(spark, written).withColumnRenamed("key", "doc_id")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skygrain.llm.chunks import BARE, Vocabulary, Words, parts
+from skygrain.llm.chunks import BARE, Vocabulary, Words, packed, parts
 from skygrain.llm.common import ragged, rows_for, slices
 
 #: Fixed value: the constant that masks a checksum.
@@ -82,6 +83,7 @@ class LibraryEncoder:
         self.sections = vocabulary.sections
         self.lengths = np.array([len(b) for b in vocabulary.bytes])
         self.words = Words(self._ids)
+        self.marks = {m: packed(self._ids(m)) for m in ".,"}
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -89,7 +91,11 @@ class LibraryEncoder:
     def _learn(self, found: set[str]) -> None:
         """Put new parts into the dictionary, thousands at a time."""
         known, old = self.words, self.words.old
-        new = [p for p in found if p not in known and p not in old and p and p[0] != BARE and p.strip() == p]
+        new = {p for p in found if p not in known and p not in old and p and p[0] != BARE and p.strip() == p}
+        # a stop or comma after a letter or digit is a piece of its own: the word before it is known more often
+        marked = [p for p in new if p[-1] in ".," and p[-2:-1].isalnum()]
+        cores = {p[:-1] for p in marked}
+        new = [*new.difference(marked), *(p for p in cores if p not in new and p not in known and p not in old)]
         for at in range(0, len(new), 4096):
             some = new[at:at + 4096]
             ids = np.array(self._ids(" " + " ".join(some)), "<i4")
@@ -97,6 +103,8 @@ class LibraryEncoder:
             cuts, raw = [0, *(4 * ends).tolist()], ids.tobytes()
             self.words.make_room()
             self.words.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        self.words.make_room()
+        self.words.update((p, self.words[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plans = [[(added, section, parts(section)) for added, section in self.sections(t)] for t in texts]
@@ -215,26 +223,39 @@ def _batch(found: list[tuple[int | None, np.ndarray, int]]) -> pa.RecordBatch:
                                       ["key", "ids", "start"])
 
 
+def _based(spark: SparkSession, records: Records) -> DataFrame:
+    """``content, base`` of each shard: its bytes and the ids before it."""
+    base = records.index(spark).groupBy("shard").agg(F.min("start").alias("base"))
+    shards = records.shards(spark).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
+    return shards.join(F.broadcast(base), "shard").select("content", "base")
+
+
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, int]]:
+    for batch in slices(batches, 1):
+        yield batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+
+
+def _frames(content: bytes, start: int) -> Iterator[tuple[int | None, np.ndarray, int]]:
+    """Key, ids and ids before it of every record of a shard."""
+    at = 0
+    while at < len(content):
+        key, ids, at = unframe(content, at)
+        yield key, ids, start
+        start += len(ids)
+
+
 def read(spark: SparkSession, records: Records) -> DataFrame:
     """``key, ids, start`` of all records. Shards are read where they lie; the ids before each, one number, are broadcast.
 
     Damaged records raise ValueError.
     """
-    base = records.index(spark).groupBy("shard").agg(F.min("start").alias("base"))
-    shards = records.shards(spark).select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
-            content, start, at, found = batch.column(0)[0].as_py(), batch.column(1)[0].as_py(), 0, []
-            while at < len(content):
-                key, ids, at = unframe(content, at)
-                found.append((key, ids, start))
-                start += len(ids)
-                if len(found) == 256 or at >= len(content):
-                    yield _batch(found)
-                    found = []
+        for content, start in _shards(batches):
+            frames = _frames(content, start)
+            while found := list(islice(frames, 256)):
+                yield _batch(found)
 
-    return shards.join(F.broadcast(base), "shard").select("content", "base").mapInArrow(run, _READ)
+    return _based(spark, records).mapInArrow(run, _READ)
 
 
 def pick(spark: SparkSession, records: Records, chosen: DataFrame) -> DataFrame:
@@ -259,18 +280,12 @@ def shuffled(spark: SparkSession, records: Records, seed: int) -> DataFrame:
     return read(spark, records).withColumn("position", F.xxhash64(F.lit(seed), "start"))
 
 
-def digests(rows: DataFrame, ids: str = "ids") -> DataFrame:
-    """``rows`` with ``n_tokens`` and ``ids_crc32`` (over little-endian unsigned 32-bit ids) in place of the ids."""
-    kept = [c for c in rows.columns if c != ids]
-    rows = rows.select(*kept, ids)
-
+def digests(spark: SparkSession, records: Records) -> DataFrame:
+    """``key, start, n_tokens, ids_crc32`` (over little-endian unsigned 32-bit ids) of all records, as ``read`` reads them; only the digests leave the task."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(len(kept))
-            flat, ends = column.values.to_numpy(zero_copy_only=False).astype("<u4"), column.offsets.to_numpy()
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
-                                             [*kept, "n_tokens", "ids_crc32"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
-    return rows.mapInArrow(run, f"{fields}, n_tokens long, ids_crc32 long")
+        for content, start in _shards(batches):
+            found = [(key, first, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for key, ids, first in _frames(content, start)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["key", "start", "n_tokens", "ids_crc32"])
+
+    return _based(spark, records).mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
