@@ -100,7 +100,7 @@ def missing_total(spark, sf):
 
 
 def histogram(spark, sf):
-    return _r(P.histogram(V.obs(spark, sf), V.MEASURES[:6]), "bin_from", "bin_to")
+    return _r(P.histogram(V.obs(spark, sf), V.MEASURES), "bin_from", "bin_to")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -248,7 +248,7 @@ ORACLES = {
         round(missing_count / n * 100, 6) as percentage from m where missing_count > 0""",
     "missing_total": f"""{MISSING} select cast(sum(missing_count) as bigint) as total_missing,
         round(sum(missing_count) / sum(n) * 100, 6) as missing_percentage from m""",
-    "histogram": f"""with {V.OBS_SQL}, u as ({_unpivot('obs', V.MEASURES[:6])}),
+    "histogram": f"""with {V.OBS_SQL}, u as ({_unpivot('obs', V.MEASURES)}),
         r as (select *, min(value) over (partition by "column") as lo,
                 max(value) over (partition by "column") as hi from u)
         select "column", least(cast(floor(30 * (value - lo) / (hi - lo)) as int) + 1, 30) as bin,

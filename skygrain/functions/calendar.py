@@ -45,14 +45,16 @@ def parse_day(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
 
 
-def in_days(df: DataFrame, start: str, end: str, time: str = "timestamp") -> DataFrame:
-    """Rows from ``start`` to ``end``, both days included.
+def in_days(df: DataFrame, start: str | None, end: str | None, time: str = "timestamp") -> DataFrame:
+    """Rows from ``start`` to ``end``, both days included; either may be open.
 
     The bounds are literals, so the filter reaches a Parquet scan.
     """
-    low = F.lit(start).cast("date").cast("timestamp")
-    high = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")
-    return df.filter((F.col(time) >= low) & (F.col(time) < high))
+    if start:
+        df = df.filter(F.col(time) >= F.lit(start).cast("date").cast("timestamp"))
+    if end:
+        df = df.filter(F.col(time) < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp"))
+    return df
 
 
 def minute_text(time: Column) -> Column:

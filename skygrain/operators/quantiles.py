@@ -53,8 +53,9 @@ def quantiles(
         .select(*[F.col(f"l.{k}") for k in keys], F.col(f"l.{_PATH}"), F.col("l._start"),
                 F.col("l._low"), F.col("l._high"), F.col("r._rank")),
         "ranks")
-    # a range of one repeated value needs no look at its rows
-    flat = F.col("_low") == F.col("_high")
+    # a range of one repeated value needs no look at its rows; the outermost range also
+    # holds infinities and NaN, which slots do not tell apart
+    flat = (F.col("_low") == F.col("_high")) & (F.abs("_low") < 1e300)
     known = held.filter(flat).select(*keys, "_rank", F.col("_low").alias("_v"))
     open_slots = held.filter(~flat)
     inside = (

@@ -93,10 +93,10 @@ def latest_change(
 
 def last_days(df: DataFrame, days: int = 7, time: str = S.TIME) -> DataFrame:
     """Rows of the last ``days`` days before the newest row."""
-    end = df.agg(F.max(time).alias("_end"))
-    return (df.crossJoin(F.broadcast(end))  # one row
-            .filter(F.col(time) >= F.col("_end") - F.make_dt_interval(F.lit(days)))
-            .drop("_end"))
+    # the bound becomes a literal, so the filter reaches a Parquet scan
+    end = df.agg(F.max(time).cast("string")).first()[0]
+    first = F.lit(end).cast(df.schema[time].dataType) - F.make_dt_interval(F.lit(days))
+    return df.filter(F.col(time) >= first)
 
 
 def hourly_series(

@@ -16,8 +16,6 @@ from skygrain.plans.store import Store
 from skygrain.session import durable
 from skygrain.sources.registry import read_section, run_stamp, write_section
 
-HISTOGRAM_COLUMNS = 6
-
 
 def time_series_section(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = S.KEYS, limit: int = GROUP_LIMIT
@@ -34,7 +32,7 @@ def report_sections(
 ) -> dict[str, DataFrame]:
     """All sections over ``df``; ``columns`` are the time-series columns."""
     numeric = S.numeric_columns(df.schema)
-    series = [c for c in (columns or [target, *S.POLLUTANTS[:6]]) if c in df.columns]
+    series = [c for c in (columns or [target, *S.POLLUTANTS]) if c in df.columns]
     pairs = P.correlation_pairs(df, numeric)
     sections = {
         "period": P.analysis_period(df),
@@ -46,7 +44,7 @@ def report_sections(
         "strong_correlations": P.strong_correlations(pairs),
         "missing_by_column": P.missing_by_column(df),
         "missing_total": P.missing_total(df),
-        "histogram": P.histogram(df, numeric[:HISTOGRAM_COLUMNS]),
+        "histogram": P.histogram(df, numeric),
     }
     if target in numeric:
         sections["target_correlations"] = P.target_correlations(df, numeric, target)

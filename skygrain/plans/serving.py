@@ -77,9 +77,9 @@ def alert_check(
 
 
 def read_alerts(
-    spark: SparkSession, store: Store, n: int | None = AL.RETAINED, since: datetime | None = None
+    spark: SparkSession, store: Store, n: int | None = None, since: datetime | None = None
 ) -> DataFrame:
-    """The alert history, the newest ``n`` per city; ``since`` prunes older days."""
+    """The alert history; ``since`` prunes older days, ``n`` asks for the newest per city only."""
     if not table_exists(spark, store.alerts):
         return spark.createDataFrame([], HISTORY)
     history = spark.read.schema(HISTORY + ", alert_day date").parquet(store.alerts)
@@ -90,6 +90,14 @@ def read_alerts(
     return AL.retained(history, n, S.KEYS) if n is not None else history
 
 
+def trim_alerts(spark: SparkSession, store: Store, n: int = AL.RETAINED) -> None:
+    """Keep the newest ``n`` stored alerts of each city; a job of its own, so that no check sees fewer."""
+    if table_exists(spark, store.alerts):
+        kept = durable(read_alerts(spark, store, n), "retained")
+        kept.withColumn("alert_day", F.to_date("timestamp")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("alert_day").parquet(store.alerts)
+
+
 def snapshot(spark: SparkSession, store: Store, as_of: datetime, active_days: int | None = None) -> DataFrame:
     """Serving table: current value, change, count and category per city, with one
     forecast per horizon and model; a missing forecast is NULL with a status."""
@@ -106,13 +114,12 @@ def snapshot(spark: SparkSession, store: Store, as_of: datetime, active_days: in
 
 
 def explain(
-    spark: SparkSession, store: Store, as_of: datetime, sample: int | None = 100,
+    spark: SparkSession, store: Store, as_of: datetime, sample: int | None = None,
     horizons: Sequence[int] = S.HORIZONS,
 ) -> DataFrame | None:
     """Attribute the test forecasts of every registered model to its features.
 
-    ``sample`` picks that many test rows, as attributions of forests are costly;
-    None takes them all. Importances and the ten strongest features are stored.
+    All test rows are explained; ``sample`` asks for so many, picked by hash. Importances and the ten strongest features are stored.
     """
     models = registry.load_models(spark, store.models)
     if not models:

@@ -42,9 +42,7 @@ class Store:
 
 
 def day_range(start: str | None, end: str | None, as_of: datetime, days: int) -> tuple[str, str]:
-    """The given days, or the last ``days`` days before ``as_of``; ``yyyy-mm-dd`` only."""
-    if start and end:
-        for text in (start, end):
-            datetime.strptime(text, "%Y-%m-%d")
-        return start, end
-    return (as_of - timedelta(days=days)).strftime("%Y-%m-%d"), as_of.strftime("%Y-%m-%d")
+    """The given days, ``yyyy-mm-dd`` only. A missing end is ``as_of``, a missing start is ``days`` days before the end."""
+    last = datetime.strptime(end, "%Y-%m-%d") if end else as_of
+    first = datetime.strptime(start, "%Y-%m-%d") if start else last - timedelta(days=days)
+    return first.strftime("%Y-%m-%d"), last.strftime("%Y-%m-%d")

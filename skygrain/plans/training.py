@@ -28,7 +28,7 @@ def train(
     ``limit`` keeps the newest rows only; by default all are used. Fewer than 100
     usable rows train nothing.
     """
-    rows = newest(read_features(spark, store), limit).filter(F.col(S.TARGET).isNotNull())
+    rows = newest(read_features(spark, store), limit, (), (S.TIME, "city")).filter(F.col(S.TARGET).isNotNull())
     training = FC.prepare(rows, horizons=horizons, embargo=embargo)
     if training is None:
         return None

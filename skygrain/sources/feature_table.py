@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygrain import schema as S
 from skygrain.operators.features import feature_columns
@@ -59,7 +60,9 @@ def upsert(
     overwritten while it is read, and is laid out by range, so a month that holds
     most rows is written by many tasks.
     """
-    batch = with_month(batch if unique else latest_versions(batch, keys), time)
+    # of copies of one version the greatest row counts, in whatever order they were written
+    ties = [f.name for f in batch.schema.fields if f.name not in keys and isinstance(f.dataType, T.AtomicType)]
+    batch = with_month(batch if unique else latest_versions(batch, keys, ties=ties), time)
     if table_exists(spark, path):
         batch = durable(batch, "batch")
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # a calendar's worth
@@ -78,10 +81,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_newest(
-    spark: SparkSession, path: str, limit: int | None = 1000, keys: Sequence[str] = ()
+    spark: SparkSession, path: str, limit: int | None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Newest rows of a table, overall or per key; all rows if ``limit`` is None."""
-    return newest(read_table(spark, path).drop(INGESTED, MONTH), limit, keys)
+    return newest(read_table(spark, path).drop(INGESTED, MONTH), limit, keys, (S.TIME, "city"))
 
 
 def random_split(

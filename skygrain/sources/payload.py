@@ -80,10 +80,10 @@ def observations(
     spark: SparkSession, air_path: str, weather_path: str, locations: DataFrame,
     start: str | None = None, end: str | None = None, modified_after: str | None = None,
 ) -> DataFrame:
-    """The observation table from both landing folders, optionally for a range of days."""
+    """The observation table from both landing folders, optionally from ``start`` or to ``end``, or both."""
     air = read_air(spark, air_path, modified_after)
     weather = read_weather(spark, weather_path, modified_after)
-    if start and end:
+    if start or end:
         air, weather = in_days(air, start, end), in_days(weather, start, end)
     joined = with_location(join_inputs(air, weather), locations)
     return joined.select(*[F.col(f.name).cast(f.dataType) for f in S.OBSERVATIONS.fields])

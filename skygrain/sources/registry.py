@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import importlib
 from datetime import datetime
 
+from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +18,10 @@ REGISTRY = (
     "description string, features array<string>, mse double, mae double, r2 double")
 
 
+# the kinds of model a registry row may name
+_KINDS = {f"{kind.__module__}:{kind.__name__}": kind for kind in (LinearRegressionModel, RandomForestRegressionModel)}
+
+
 def model_name(algorithm: str) -> str:
     """The one place that names a multi-horizon model."""
     return f"{MODEL_BASE}_multi_output_{algorithm}"
@@ -57,8 +61,7 @@ def load_models(spark: SparkSession, root: str) -> list[tuple[Fitted, str]]:
         return []
     out = []
     for row in newest_versions(registered(spark, root)).orderBy("algorithm", "horizon").collect():
-        module, cls = row["class"].split(":")
-        model = getattr(importlib.import_module(module), cls).load(row["path"])
+        model = _KINDS[row["class"]].load(row["path"])
         out.append((Fitted(row["algorithm"], row["horizon"], model, tuple(row["features"])), row["path"]))
     return out
 

@@ -179,5 +179,30 @@ def test_day_range():
     now = datetime(2025, 5, 2, 3)
     assert day_range(None, None, now, 1) == ("2025-05-01", "2025-05-02")
     assert day_range("2025-01-01", "2025-01-02", now, 1) == ("2025-01-01", "2025-01-02")
+    assert day_range("2025-01-01", None, now, 1) == ("2025-01-01", "2025-05-02")
+    assert day_range(None, "2025-03-01", now, 5) == ("2025-02-24", "2025-03-01")
     with pytest.raises(ValueError):
         day_range("2025-13-01", "2025-01-02", now, 1)
+
+
+def test_alert_history_is_complete_until_it_is_trimmed(spark, tmp_path):
+    store, now = Store(str(tmp_path)), datetime(2025, 5, 2, 12)
+    rows = spark.range(1500).select(
+        F.lit("a").alias("city"), (F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id").cast("double"))).alias("timestamp"),
+        F.lit(60.0).alias("aqi_value"), F.lit("low").alias("severity"), F.col("id").cast("string").alias("source"), F.lit("m").alias("message"),
+        F.lit("t").alias("threshold_exceeded"), F.array().cast("array<string>").alias("recommendations"))
+    rows.withColumn("alert_day", F.to_date("timestamp")).write.partitionBy("alert_day").parquet(store.alerts)
+    assert serving.read_alerts(spark, store).count() == 1500
+    serving.trim_alerts(spark, store, 1000)
+    kept = serving.read_alerts(spark, store)
+    assert kept.count() == 1000 and kept.filter("cast(source as int) < 1000").count() == 1000
+
+
+def test_copies_of_a_version_do_not_depend_on_their_order(spark, tmp_path):
+    rows = [("a", datetime(2025, 1, 1), 1.0), ("a", datetime(2025, 1, 1), 2.0)]
+    stored = []
+    for name, some in (("x", rows), ("y", rows[::-1])):
+        batch = spark.createDataFrame(some, f"city string, {S.TIME} timestamp, v double").withColumn(feature_table.INGESTED, F.lit(datetime(2025, 1, 2)).cast("timestamp"))
+        feature_table.upsert(spark, str(tmp_path / name), batch.coalesce(1))
+        stored.append([r.v for r in spark.read.parquet(str(tmp_path / name)).collect()])
+    assert stored == [[2.0], [2.0]]

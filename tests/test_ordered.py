@@ -78,3 +78,12 @@ def test_quantiles_equal_numpy(spark, table, limit):
     assert set(got) == set(groups)
     for city, vs in groups.items():
         assert got[city] == pytest.approx(list(np.quantile(vs, shares)), rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_with_infinities_do_not_depend_on_the_limit(spark):
+    from skygrain.operators.quantiles import quantiles
+
+    values = [float("inf")] * 60 + [k / 10 for k in range(38)] + [float("nan"), float("-inf")]
+    frame = spark.createDataFrame([("a", v) for v in values], "city string, v double")
+    whole, cut = ([str(v) for v in quantiles(frame, ["city"], "v", [0.0, 0.25, 0.5, 0.99, 1.0], limit).first().quantiles] for limit in (10_000, 8))
+    assert whole == cut
