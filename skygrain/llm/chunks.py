@@ -13,8 +13,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-# Entries a dictionary holds before it starts anew (about 40 MB).
-CACHE_ENTRIES = 200_000
+# Entries a dictionary holds before it starts anew (about 20 MB; workers keep it between tasks).
+CACHE_ENTRIES = 100_000
 #: The pattern of the vocabulary's pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -75,13 +75,13 @@ def packed(ids: Iterable[int]) -> bytes:
 class Words(dict):
     """Packed ids of parts. A full dictionary becomes the old one, from which parts that are met again come back."""
 
-    def __init__(self, encode: Callable[[str], Iterable[int]]):
+    def __init__(self, encode: Callable[[str], Iterable[int]], entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.encode = encode
+        self.encode, self.entries = encode, entries
         self.old: dict[str, bytes] = {}
 
     def make_room(self) -> None:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
 

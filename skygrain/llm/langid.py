@@ -30,7 +30,7 @@ LANGUAGES = 512
 ROUNDS, STEPS = 4, 30
 # A text is ambiguous if its best and second language are closer than this in probability.
 AMBIGUOUS = 0.1
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -42,7 +42,7 @@ def _letters() -> np.ndarray:
 
 
 def _runs(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
-    """Pieces of the texts, with the text's number, in lists of at most a million characters."""
+    """Pieces of the texts, with the text's number, in lists of at most 262,144 characters."""
     some, size = [], 0
     for k, text in enumerate(texts):
         for at in range(0, len(text), _PIECE):

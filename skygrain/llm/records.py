@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skygrain.llm.chunks import BARE, Vocabulary, Words, packed, parts
+from skygrain.llm.chunks import BARE, CACHE_ENTRIES, Vocabulary, Words, packed, parts
 from skygrain.llm.common import ragged, rows_for, slices
 
 #: Fixed value: the constant that masks a checksum.
@@ -82,7 +82,7 @@ class LibraryEncoder:
         vocabulary = Vocabulary(content)
         self.sections = vocabulary.sections
         self.lengths = np.array([len(b) for b in vocabulary.bytes])
-        self.words = Words(self._ids)
+        self.words = Words(self._ids, 2 * CACHE_ENTRIES)
         self.marks = {m: packed(self._ids(m)) for m in ".,"}
 
     def _ids(self, text: str) -> list[int]:
