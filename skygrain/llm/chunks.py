@@ -75,7 +75,7 @@ def packed(ids: Iterable[int]) -> bytes:
 class Words(dict):
     """Packed ids of parts. A full dictionary becomes the old one, from which parts that are met again come back."""
 
-    def __init__(self, encode: Callable[[str], Iterable[int]], entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[str], bytes], entries: int = CACHE_ENTRIES):
         super().__init__()
         self.encode, self.entries = encode, entries
         self.old: dict[str, bytes] = {}
@@ -88,7 +88,7 @@ class Words(dict):
     def __missing__(self, part: str) -> bytes:
         ids = self.old.get(part)
         if ids is None:
-            ids = packed(self.encode(written(part)))
+            ids = self.encode(written(part))
         self.make_room()
         self[part] = ids
         return ids

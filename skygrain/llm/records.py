@@ -82,7 +82,7 @@ class LibraryEncoder:
         vocabulary = Vocabulary(content)
         self.sections = vocabulary.sections
         self.lengths = np.array([len(b) for b in vocabulary.bytes])
-        self.words = Words(self._ids, 2 * CACHE_ENTRIES)
+        self.words = Words(lambda text: packed(self._ids(text)), 2 * CACHE_ENTRIES)
         self.marks = {m: packed(self._ids(m)) for m in ".,"}
 
     def _ids(self, text: str) -> list[int]:

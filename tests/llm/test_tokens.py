@@ -51,6 +51,16 @@ def test_encode_random_text(library):
         assert codec.encode(text).tolist() == _ids(library, text)
 
 
+def test_shared_trees_equal_library(library):
+    pick = random.Random(8)
+    words = ["".join(pick.choices("abeinorst", k=pick.randrange(1, 70))) for _ in range(3000)] + ["é漢" * n for n in range(40)]
+    texts = [" ".join(pick.choices(words, k=pick.randrange(400))) + pick.choice(["", ".", ", a", "  b", " 's"]) for _ in range(60)]
+    codec = bpe.Codec(open(PATH).read())
+    for _ in range(2):  # new words, then known ones
+        for text, ids in zip(texts, codec.encode_all(texts)):
+            assert ids.tolist() == _ids(library, text)
+
+
 def test_decode_broken_bytes(library):
     codec = bpe.Codec(open(PATH).read())
     for ids in ([227], [227, 210, 50256, 0], list(range(128, 256)), []):
