@@ -91,7 +91,9 @@ class LibraryEncoder:
     def _learn(self, found: set[str]) -> None:
         """Put new parts into the dictionary, thousands at a time."""
         known, old = self.words, self.words.old
-        new = {p for p in found if p not in known and p not in old and p and p[0] != BARE and p.strip() == p}
+        new = {p for p in found if p not in known}
+        known.update((p, old[p]) for p in new if p in old)
+        new = {p for p in new if p not in old and p and p[0] != BARE and p.strip() == p}
         # a stop or comma after a letter or digit is a piece of its own: the word before it is known more often
         marked = [p for p in new if p[-1] in ".," and p[-2:-1].isalnum()]
         cores = {p[:-1] for p in marked}
