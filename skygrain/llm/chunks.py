@@ -1,6 +1,6 @@
 """Cutting text where a byte-level tokenizer is sure to cut, to encode repeated words once.
 
-The tokenizer's pattern starts a new piece at every single space that has no white space beside it:
+The tokenizer's pattern starts a new piece at every single space or line feed that has no white space beside it:
 what stands between two of them is encoded the same wherever it stands. Its ids are kept in a bounded
 dictionary; text with runs of white space goes the slow way, through the pattern itself.
 """
@@ -18,8 +18,8 @@ CACHE_ENTRIES = 100_000
 #: The pattern of the vocabulary's pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# Begins a part that has no space before it; all others have one.
-BARE = "\0"
+# Begins a part that has no space before it; all others have one, but for those that begin with a line feed.
+BARE, LINE = "\0", "\n"
 _RUN = re.compile(r"\s\s|\0")
 
 
@@ -60,12 +60,12 @@ class Vocabulary:
 
 def parts(text: str) -> list[str] | None:
     """Parts between safe cuts, or None if white space stands beside white space."""
-    return None if _RUN.search(text) else (BARE + text).split(" ")
+    return None if _RUN.search(text) else (BARE + text).replace(LINE, " " + LINE).split(" ")
 
 
 def written(part: str) -> str:
     """A part as it stands in the text."""
-    return part[1:] if part.startswith(BARE) else " " + part
+    return part[1:] if part.startswith(BARE) else part if part.startswith(LINE) else " " + part
 
 
 def packed(ids: Iterable[int]) -> bytes:

@@ -18,8 +18,10 @@ shard behind; the line feed is that writer's row end.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skygrain.llm.chunks import BARE, CACHE_ENTRIES, Vocabulary, Words, packed, parts
+from skygrain.llm.chunks import BARE, CACHE_ENTRIES, LINE, Vocabulary, Words, byte_letters, packed, parts
 from skygrain.llm.common import ragged, rows_for, slices
 
 #: Fixed value: the constant that masks a checksum.
@@ -68,45 +70,61 @@ def unframe(content: bytes, offset: int) -> tuple[int | None, np.ndarray, int]:
     return None if null else key, np.frombuffer(data, f"<u{width}", offset=10).astype(np.uint32), end + 5
 
 
+# A part of the commonest shape: what stands before it, a word of letters on which all
+# versions of Unicode agree, and marks, which are a piece of their own.
+_PLAIN = re.compile(r"([\0\n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]{0,8})")
+
+
 class LibraryEncoder:
-    """The tokenizers library's ids; words seen before are taken from a dictionary.
+    """The tokenizers library's ids; parts seen before are taken from a dictionary.
 
-    New words of many texts go to the library as one text, and its ids are cut
-    where the words' bytes end. Anything unusual goes to it whole.
+    A new part that is a word, with marks after it or not, goes to the library's model as the
+    pieces its pattern would make of it. Anything else goes through the whole library.
     """
 
     def __init__(self, content: str):
         self.library = Tokenizer.from_str(content)
         self.library.no_truncation()
         self.library.no_padding()
-        vocabulary = Vocabulary(content)
-        self.sections = vocabulary.sections
-        self.lengths = np.array([len(b) for b in vocabulary.bytes])
+        self.model = self.library.model
+        self.sections = Vocabulary(content).sections
+        self.letters = {b: letter for letter, b in byte_letters().items()}
         self.words = Words(lambda text: packed(self._ids(text)), 2 * CACHE_ENTRIES)
-        self.marks = {m: packed(self._ids(m)) for m in ".,"}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.heads = {"": b"", BARE: b"", LINE: packed(self._ids(LINE))}
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _piece(self, piece: str, space: str = "") -> bytes:
+        """Packed ids of one piece of the pattern, with the letter of the space before it."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return array("i", [token.id for token in self.model.tokenize(space + piece)]).tobytes()
+
     def _learn(self, found: set[str]) -> None:
-        """Put new parts into the dictionary, thousands at a time."""
-        known, old = self.words, self.words.old
-        new = {p for p in found if p not in known}
+        """Put new parts into the dictionary."""
+        known, old, marks = self.words, self.words.old, self.marks
+        new = [p for p in found if p not in known]
         known.update((p, old[p]) for p in new if p in old)
-        new = {p for p in new if p not in old and p and p[0] != BARE and p.strip() == p}
-        # a stop or comma after a letter or digit is a piece of its own: the word before it is known more often
-        marked = [p for p in new if p[-1] in ".," and p[-2:-1].isalnum()]
-        cores = {p[:-1] for p in marked}
-        new = [*new.difference(marked), *(p for p in cores if p not in new and p not in known and p not in old)]
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            ids = np.array(self._ids(" " + " ".join(some)), "<i4")
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) + 1 for p in some])) + 1
-            cuts, raw = [0, *(4 * ends).tolist()], ids.tobytes()
-            self.words.make_room()
-            self.words.update(zip(some, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
-        self.words.make_room()
-        self.words.update((p, self.words[p[:-1]] + self.marks[p[-1]]) for p in marked)
+        for part in new:
+            shape = None if part in known else _PLAIN.fullmatch(part)
+            if not shape:
+                continue  # known, or looked up on its own when it is met
+            head, word, mark = shape.groups()
+            # the word without its marks is known more often
+            ids = known.get(word) if mark and not head else None
+            if ids is None:
+                ids = self._piece(word, "" if head else self.letters[32])
+            if mark not in marks:
+                if len(marks) >= CACHE_ENTRIES // 10:
+                    marks.clear()
+                    marks[""] = b""
+                marks[mark] = self._piece(mark)
+            known.make_room()
+            if mark and not head:
+                known[word] = ids
+            known[part] = self.heads[head] + ids + marks[mark]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plans = [[(added, section, parts(section)) for added, section in self.sections(t)] for t in texts]
