@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import partial
 from itertools import combinations
 
 from pyspark.sql import functions as F
 
 from skygrain.checks import views as V
-from skygrain.checks.features import OBS, W
+from skygrain.checks.features import CUT, OBS, W
 from skygrain.operators import profile as P
 from skygrain.operators import series as T
+from skygrain.operators.ordered import GROUP_LIMIT
 
 COLUMNS = [*V.MEASURES, "latitude", "longitude", "aqi"]
 SERIES = ["aqi", "pm10", "temperature_2m"]
@@ -19,8 +21,8 @@ def _r(df, *columns, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def chrono_split(spark, sf):
-    return T.chronological_split(V.obs(spark, sf), ["city"], V.ORDER).select("event_id", "split")
+def chrono_split(spark, sf, limit=GROUP_LIMIT):
+    return T.chronological_split(V.obs(spark, sf), ["city"], V.ORDER, limit=limit).select("event_id", "split")
 
 
 def chrono_split_embargo(spark, sf):
@@ -60,22 +62,22 @@ def overview(spark, sf):
     return P.overview(V.obs_aqi(spark, sf).drop("event_type", "event_id"))
 
 
-def describe(spark, sf):
-    return _r(P.describe(V.obs_aqi(spark, sf), COLUMNS), "mean", "std", "p25", "p50", "p75")
+def describe(spark, sf, limit=GROUP_LIMIT):
+    return _r(P.describe(V.obs_aqi(spark, sf), COLUMNS, limit), "mean", "std", "p25", "p50", "p75")
 
 
-def distributions(spark, sf):
-    return _r(P.distributions(V.obs_aqi(spark, sf), COLUMNS), "mean", "std", "skewness",
+def distributions(spark, sf, limit=GROUP_LIMIT):
+    return _r(P.distributions(V.obs_aqi(spark, sf), COLUMNS, limit), "mean", "std", "skewness",
               "kurtosis", "median", "p25", "p75", "p90", "p95")
 
 
-def outliers(spark, sf):
-    return _r(P.outliers(V.obs_aqi(spark, sf), ["aqi", "pm2_5", "ozone"], ["event_id"]),
+def outliers(spark, sf, limit=GROUP_LIMIT):
+    return _r(P.outliers(V.obs_aqi(spark, sf), COLUMNS, ["event_id"], limit=limit),
               "lower", "upper")
 
 
-def outlier_counts(spark, sf):
-    return _r(P.outlier_counts(V.obs_aqi(spark, sf), ["aqi", "pm2_5", "ozone"], ["city"]),
+def outlier_counts(spark, sf, limit=GROUP_LIMIT):
+    return _r(P.outlier_counts(V.obs_aqi(spark, sf), COLUMNS, ["city"], limit),
               "q1", "q3", "lower", "upper")
 
 
@@ -107,6 +109,8 @@ QUERIES = {f.__name__: f for f in (
     chrono_split, chrono_split_embargo, latest_change, hourly_resample_smooth, seasonality,
     daily_trend, last_week, analysis_period, overview, describe, distributions, outliers,
     outlier_counts, corr_matrix, strong_corr, top_corr, missing_data, missing_total, histogram)}
+CUTS = (chrono_split, describe, distributions, outliers, outlier_counts)
+QUERIES |= {f"{f.__name__}_cut": partial(f, limit=CUT) for f in CUTS}
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -230,10 +234,10 @@ ORACLES = {
         round(m3 / nullif(pow(m2, 1.5), 0), 6) as skewness,
         round(m4 / nullif(m2 * m2, 0) - 3, 6) as kurtosis, round(p50, 6) as median,
         round(p25, 6) as p25, round(p75, 6) as p75, round(p90, 6) as p90, round(p95, 6) as p95 from p""",
-    "outliers": f"""{_fences(['aqi', 'pm2_5', 'ozone'])} select event_id, "column", value,
+    "outliers": f"""{_fences(COLUMNS)} select event_id, "column", value,
         round(lower, 6) as lower, round(upper, 6) as upper from u join b using ("column")
         where value < lower or value > upper""",
-    "outlier_counts": f"""{_fences(['aqi', 'pm2_5', 'ozone'], ['city'])} select city, "column",
+    "outlier_counts": f"""{_fences(COLUMNS, ['city'])} select city, "column",
         round(any_value(q1), 6) as q1, round(any_value(q3), 6) as q3,
         round(any_value(lower), 6) as lower, round(any_value(upper), 6) as upper,
         cast(sum(case when value < lower or value > upper then 1 else 0 end) as bigint) as outliers_count
@@ -256,3 +260,4 @@ ORACLES = {
           round(any_value(lo + least(floor(30 * (value - lo) / (hi - lo)) + 1, 30) * ((hi - lo) / 30)), 6) as bin_to,
           count(*) as n from r group by 1, 2""",
 }
+ORACLES |= {f"{f.__name__}_cut": ORACLES[f.__name__] for f in CUTS}
