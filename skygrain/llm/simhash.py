@@ -171,7 +171,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
 
     Rows with a null key stay. Of rows that repeat the smallest key one stays, any of them.
     """
-    groups = durable(near_copies(docs, key, text, words).select(F.col(key).alias("_key"), "component_id"), "groups")
+    return first_of_groups(docs, near_copies(docs, key, text, words), key)
+
+
+def first_of_groups(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """The row of each group whose key names it; ``groups`` has ``key`` and ``component_id`` of every row."""
+    groups = durable(groups.select(F.col(key).alias("_key"), "component_id"), "groups")
     first = groups.filter("_key = component_id").select("_key").distinct()
     kept = docs.join(first, docs[key] == first["_key"], "left_semi")
     repeated = durable(groups.filter("_key is not null").groupBy("_key").count().filter("count > 1").select("_key"), "repeated")
