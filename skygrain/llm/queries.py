@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, chat, decontaminate, kdtree, langid, lm, quality, records, simhash, warc
+from skygrain.llm import bond, bpe, chat, decontaminate, kdtree, langid, lm, quality, records, simhash, warc
 from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
@@ -73,6 +73,13 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), kdtree.quantised(F.col("embedding")).alias("vector"))
+    return bond.mine(rows, F.expr("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -84,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_top_k": op10_top_k,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 ORACLES: dict[str, str] = {
     "op10_top_k": """
@@ -100,4 +108,29 @@ scored as (
 ranked as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5""",
+    "op11_hard_negatives": """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and list_count(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+anchors as (
+  select * from vectors where vec_id % 100 = 0 qualify row_number() over (partition by vec_id order by label, v) = 1),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id as vec_id, a.label = r.label as same,
+    cast(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])) as bigint) as score
+  from anchors a join vectors r on a.vec_id <> r.vec_id and len(a.v) = len(r.v)),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score,
+    cast(row_number() over (partition by anchor_id order by score desc, vec_id) as int) as positive_rank
+  from scored where same qualify positive_rank <= 5),
+windows as (
+  select p.anchor_id, p.positive_id, p.positive_rank, p.positive_score, n.vec_id as negative_id, n.score as negative_score
+  from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+    and 30 * p.positive_score <= 100 * n.score and 100 * n.score <= 90 * p.positive_score)
+select anchor_id, positive_id,
+  cast(row_number() over (partition by anchor_id, positive_rank order by negative_score desc, negative_id) as int) as rank,
+  negative_id, positive_score, negative_score, positive_rank
+from windows qualify rank <= 10""",
 }
