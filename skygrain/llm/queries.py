@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bond, bpe, chat, decontaminate, kdtree, langid, lm, quality, records, simhash, warc
+from skygrain.llm import bond, bpe, chat, decontaminate, kdtree, langid, lm, quality, ranking, records, sigtree, simhash, warc
 from skygrain.llm.common import fold, table
 from skygrain.session import scratch_root
 
@@ -80,6 +80,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bond.mine(rows, F.expr("vec_id % 100 = 0"))
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.near_sets(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -92,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_top_k": op10_top_k,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op10_top_k": """
@@ -133,4 +143,45 @@ select anchor_id, positive_id,
   cast(row_number() over (partition by anchor_id, positive_rank order by negative_score desc, negative_id) as int) as rank,
   negative_id, positive_score, negative_score, positive_rank
 from windows qualify rank <= 10""",
+    "op12_ngram_jaccard": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as grams
+  from words),
+sized as (select doc_id, coalesce(len(grams), 0) as n, grams from sets),
+flat as (select doc_id, n, unnest(grams) as gram from sized),
+both as (
+  select a.doc_id as a, b.doc_id as b, a.n as x, b.n as y, count(*) as c
+  from flat a join flat b on a.gram = b.gram and a.doc_id < b.doc_id and 100 * a.n >= 90 * b.n and 100 * b.n >= 90 * a.n group by all),
+pairs as (select a, b from both where 100 * c >= 90 * (x + y - c)),
+links as (select a, b from pairs union select b, a from pairs),
+reached(node, other) as (
+  select doc_id, doc_id from sized union select r.node, l.b from reached r join links l on r.other = l.a)
+select s.doc_id, cast(s.n as bigint) as n_shingles, cast(min(r.other) as bigint) as component_id
+from sized s join reached r on r.node = s.doc_id group by s.doc_id, s.n""",
+    "op13_ranked_search": r"""
+with lowered as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term, row_id
+  from (select *, row_number() over () as row_id from documents)),
+postings as (select row_id, doc_id, term, count(*) as tf from lowered group by all),
+lengths as (select row_id, cast(sum(tf) as bigint) as n from postings group by all),
+totals as (select count(*) as documents, cast(sum(n) as bigint) as terms from lengths),
+norms as (select row_id, 100 - 25 + ((25 * n * documents) // terms) as m from lengths, totals),
+weights as (
+  select term, cast(floor(1000 * ln((2.0::double * documents + 2) / (2.0::double * count(*) + 1))) as bigint) as w
+  from postings, totals group by term, documents),
+wanted as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select item_id, min(text) as text from benchmark where item_id is not null group by item_id)),
+asked as (select item_id, term, count(*) as q from wanted group by all),
+scored as (
+  select item_id, row_id, doc_id, cast(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+  from asked join postings using (term) join weights using (term) join norms using (row_id)
+  where doc_id is not null group by all)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score
+from scored where score > 0 qualify rank <= 20""",
 }
