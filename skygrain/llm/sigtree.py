@@ -284,7 +284,11 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
     weights = named.groupBy("component").agg(F.count("*").alias("weight"))
     placed = durable(chunks.select("node", "home", "part").join(named, "node").join(weights, "component"), "placed")
     open_ = shared.join(placed.select("node", "component"), "node").groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    mixed = durable(shared.join(open_, "bucket").select("bucket", "node", "size").join(placed, "node"), "mixed")
+    # buckets of the same members have the same meetings: one of them is enough
+    members = shared.join(open_, "bucket").groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("u"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("v"))
+    once = members.groupBy("n", "u", "v").agg(F.min("bucket").alias("bucket")).select("bucket")
+    mixed = durable(shared.join(once, "bucket").select("bucket", "node", "size").join(placed, "node"), "mixed")
     lead = mixed.groupBy("bucket").agg(F.max(F.struct("weight", "component")).alias("lead"))
     hosts = mixed.groupBy("bucket", F.col("home").alias("h"), F.col("part").alias("p")).agg(
         F.min("component").alias("x"), F.max("component").alias("y"), F.min("size").alias("low"), F.max("size").alias("high"))
@@ -308,12 +312,14 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", words: i
     not read; an empty table gives an empty one. Shingles are compared by 64-bit hashes, sets for equality by 128-bit ones.
     """
     prints = durable(_prints(docs, key, text, words, alike, of).withColumn("row", F.monotonically_increasing_id()), "prints")
-    classes = durable(prints.filter("size > 0").groupBy("digest").agg(F.min("key").alias("least"), F.min("row").alias("node")), "classes")
-    spread = prints.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "size", F.explode("keys").alias("bucket"))
-    spread = durable(spread, "spread")
-    full = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = durable(spread.join(full, "bucket"), "shared")
-    nodes = durable(classes.join(shared.select("node").distinct(), "node", "left_semi"), "nodes")
+    classes = durable(prints.filter("size > 0").groupBy("digest").agg(F.min("key").alias("least"), F.min("row").alias("node"), F.max("size").alias("size")), "classes")
+    spread = prints.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), F.explode("keys").alias("bucket"))
+    # counted and joined in one exchange, which both sides read; neither holds a bucket's rows at once
+    spread = spread.repartition("bucket")
+    full = spread.groupBy("bucket").agg(F.count("node").alias("n")).filter("n > 1")
+    met = durable(spread.join(full.hint("merge"), "bucket"), "met")
+    nodes = durable(classes.join(met.select("node").distinct(), "node", "left_semi"), "nodes")
+    shared = durable(met.join(nodes.select("node", "size"), "node"), "shared")
     sets = durable(_sets(docs, nodes, key, text, words), "sets")
     found = components(_links(nodes, shared, sets, alike, of)).withColumnRenamed("node", "n")
     rooted = durable(classes.join(found, F.col("node") == F.col("n"), "left").select("digest", "least", F.coalesce("component", "node").alias("root")), "rooted")
