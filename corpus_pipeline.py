@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrain.llm import bpe, decontaminate, langid, minhash, quality
+from skygrain.llm import bpe, decontaminate, langid, quality, simhash
 from skygrain.llm.common import fold, table
 from skygrain.session import durable
 
@@ -36,8 +36,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share 0.8 or more of their 5-word shingles the one with the smallest id."""
-    return minhash.keep_one(docs)
+    """Of each group of documents whose fingerprints of 3-word shingles differ in 3 bits or fewer the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
