@@ -48,14 +48,18 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """``key`` and ``fp`` (the 64 bits as a signed long) of every row's whole text; a null text has no words."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.lit("").alias("_mark"))
+    return _prints(rows, words).select(F.col("_key").alias(key), "fp")
 
+
+def _prints(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """``_key, _mark`` and ``fp`` of every row of ``_key, _text, _mark``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            found = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["key", "fp"])
+            found = np.array([fingerprint(t, words) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], ["_key", "_mark", "fp"])
 
-    return rows.mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
+    return rows.select("_key", "_mark", F.coalesce("_text", F.lit("")).cast("binary").alias("_text")).mapInArrow(run, "_key long, _mark string, fp long")
 
 
 def _chain(first: np.ndarray, second: np.ndarray, segment: np.ndarray | int) -> np.ndarray:
@@ -145,6 +149,13 @@ def links(points: DataFrame, bucket_size: int = BUCKET) -> DataFrame:
             .mapInArrow(_links, "a long, b long"))
 
 
+def _grouped(prints: DataFrame) -> DataFrame:
+    """``fp, root`` of every fingerprint: the component that links of 3 or fewer bits make."""
+    points = durable(prints.select("fp").distinct(), "classes")
+    found = components(links(points.select(F.col("fp").alias("node"), "fp")))
+    return durable(points.join(found, points["fp"] == found["node"], "left").select("fp", F.coalesce("component", "fp").alias("root")), "rooted")
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row.
 
@@ -156,31 +167,37 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     an empty table gives an empty one.
     """
     prints = durable(fingerprints(docs, key, text, words).select(F.col(key).alias("key"), "fp"), "fingerprints")
-    classes = durable(prints.groupBy("fp").agg(F.min("key").alias("least")), "classes")
-    found = components(links(classes.select(F.col("fp").alias("node"), "fp")))
-    rooted = durable(classes.join(found, classes["fp"] == found["node"], "left")
-                     .select("fp", "least", F.coalesce("component", "fp").alias("root")), "rooted")
-    ids = durable(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
+    rooted = _grouped(prints)
+    ids = durable(prints.groupBy("fp").agg(F.min("key").alias("least")).join(rooted, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     named = durable(rooted.join(ids, "root").select("fp", "component_id"), "named")
     return (prints.join(named, "fp")
             .select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """One row of each group of near copies, that with the smallest key; all columns as they were.
+    """One row of each group of near copies; all columns as they were.
 
-    Rows with a null key stay. Of rows that repeat the smallest key one stays, any of them.
+    It is the row with the smallest key, a null key being the largest; of rows that share this key, but not the text, the one
+    whose text has the least MD5. Of rows equal in key and text one stays. Groups are of texts: rows that share
+    a key belong together only if their texts do, so the last copy of a text goes only where a near copy of it stays.
     """
-    return first_of_groups(docs, near_copies(docs, key, text, words), key)
-
-
-def first_of_groups(docs: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """The row of each group whose key names it; ``groups`` has ``key`` and ``component_id`` of every row."""
-    groups = durable(groups.select(F.col(key).alias("_key"), "component_id"), "groups")
-    first = groups.filter("_key = component_id").select("_key").distinct()
-    kept = docs.join(first, docs[key] == first["_key"], "left_semi")
-    repeated = durable(groups.filter("_key is not null").groupBy("_key").count().filter("count > 1").select("_key"), "repeated")
+    mark = F.md5(F.coalesce(F.concat(F.lit("t"), F.col(text)), F.lit("")).cast("binary"))
+    marked = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), mark.alias("_mark"))
+    prints = durable(_prints(marked, words), "fingerprints")
+    rooted = _grouped(prints)
+    first = F.min(F.struct(F.col("_key").isNull().alias("missing"), "_key", "_mark")).alias("f")
+    kept = durable(prints.join(rooted, "fp").groupBy("root").agg(first).select("f._key", "f._mark"), "kept")
+    copies = prints.groupBy("_key", "_mark").agg(F.count("*").alias("n")).filter("n > 1")
+    found = docs.withColumns({"_key": F.col(key).cast("long"), "_mark": mark})
+
+    def among(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        same = F.col("_key").eqNullSafe(F.col("_other_key")) & (F.col("_mark") == F.col("_other_mark"))
+        return rows.join(some.select(F.col("_key").alias("_other_key"), F.col("_mark").alias("_other_mark")), same, how)
+
+    repeated = durable(among(copies.select("_key", "_mark"), kept, "left_semi"), "repeated")
+    out = among(found, kept, "left_semi")
     if not repeated.isEmpty():
-        again = kept.join(repeated, kept[key] == repeated["_key"], "left_semi").dropDuplicates([key])
-        kept = kept.join(repeated, kept[key] == repeated["_key"], "left_anti").union(again)
-    return kept.union(docs.filter(F.col(key).isNull()))
+        # rows equal in key and text: partial aggregation leaves one a task before anything is moved
+        again = among(out, repeated, "left_semi").groupBy("_key", "_mark").agg(F.first(F.struct(*docs.columns)).alias("r")).select("r.*")
+        return among(out, repeated, "left_anti").select(*docs.columns).union(again)
+    return out.select(*docs.columns)

@@ -62,6 +62,18 @@ def test_odd_rows(spark):
     assert simhash.near_copies(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_one_row_stays_and_no_text_is_lost(spark):
+    """Rows that share or lack a key: groups are of texts, the survivor is a row."""
+    a, b, c = ("the quick brown fox jumps over it all day", "another text of quite other words than that one", "a third one nobody else has copied so far")
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "y"), (9, b, "y"), (None, a, "z"), (None, c, "n"), (None, c, "n"), (None, None, "n"), (8, c + " 1", "s"), (8, c + " 1", "s"), (8, c + " 1", "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fp string").selectExpr("*", "1 as root", "2 as _n")
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(frame).collect()]
+    prints = {t: _print(t) for t in (a, b, c, c + " 1")}
+    near = bin(prints[c] ^ prints[c + " 1"]).count("1") <= 3
+    expected = [(3, a), (5, b), (8, c + " 1"), (None, None)] + ([] if near else [(None, c)])
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
 @pytest.mark.parametrize("bucket", [2048, 30])
 def test_links_connect_as_brute_force(spark, bucket):
     pick = random.Random(3)
