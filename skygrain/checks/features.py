@@ -110,10 +110,53 @@ def targets_multi(spark, sf, limit=GROUP_LIMIT):
     return df.select("event_id", *[S.horizon_name(h) for h in S.HORIZONS])
 
 
+HOURLY = ["timestamp", "event_id"]
+# Fewer rows than any city has hours with a reading.
+CUT_HOURS = 40
+
+
+def lag_features_aligned(spark, sf, limit=GROUP_LIMIT):
+    """Lags by the clock where hours are missing."""
+    df, by = FE.aligned_order(index.with_aqi(V.hourly(spark, sf)), HOURLY)
+    o = ordered(df, ["city"], by, limit=limit, back_range=float(max(S.LAG_HOURS) * FE.HOUR))
+    named = FE.aligned_shifts(FE.by_time(o), HOURLY[1:], S.LAG_COLUMNS)
+    return o.finish(o.frame.select("*", *[c.alias(n) for n, c in named.items()])).select("city", "timestamp", *named)
+
+
+def rolling_aligned(spark, sf, limit=GROUP_LIMIT):
+    """Rolling statistics over hours by the clock, readings at any time and some missing."""
+    df, by = FE.aligned_order(index.with_aqi(V.obs_null(spark, sf)), V.ORDER)
+    o = ordered(df, ["city"], by, limit=limit, back_range=float(max(S.ROLLING_WINDOWS) * FE.HOUR))
+    df = o.finish(FE.with_aligned_rolling(o.frame, S.ROLLING_COLUMNS, FE.by_time(o)))
+    names = [S.rolling_name(c, s, w) for c in S.ROLLING_COLUMNS for w in S.ROLLING_WINDOWS for s in ("mean", "std")]
+    return df.select("event_id", *[(F.round(n, 6) if "_std_" in n else F.col(n)).alias(n) for n in names])
+
+
+def targets_aligned(spark, sf, limit=GROUP_LIMIT):
+    """Rows whose index is known 1, 6, 12, 24, 48 and 72 hours later."""
+    df = FE.with_targets(index.with_aqi(V.hourly(spark, sf)), ["city"], HOURLY, limit=limit, align="time")
+    return df.select("city", "timestamp", *[S.horizon_name(h) for h in S.HORIZONS])
+
+
+def _every_column(df):
+    """Number and sum of every lag, rolling and target column per city."""
+    names = [c for c in df.columns if "_lag_" in c or "_rolling_" in c or c.startswith("aqi_h")]
+    return [e for c in names for e in (F.count(c).alias(f"n_{c}"), F.round(F.sum(c), 3).alias(f"sum_{c}"))]
+
+
+def engineered_aligned(spark, sf, limit=GROUP_LIMIT):
+    """The whole feature table by the clock with all targets, every column summed up per city."""
+    df = FE.engineer(V.hourly(spark, sf), ["city"], HOURLY, limit=limit, align="time", horizons=S.HORIZONS)
+    return df.groupBy("city").agg(
+        F.count(F.lit(1)).alias("n"), F.count(S.TARGET).alias("with_target"), F.sum(S.TARGET).alias("sum_target"),
+        F.sum("aqi_change_1h").alias("sum_change"), *_every_column(df))
+
+
 def engineered_features(spark, sf):
-    """The whole feature table from one plan, summed up per city."""
+    """The whole feature table from one plan, every column summed up per city."""
     df = FE.engineer(V.obs(spark, sf), ["city"], V.ORDER)
     return df.groupBy("city").agg(
+        *_every_column(df),
         F.count(F.lit(1)).alias("n"),
         F.count(S.TARGET).alias("with_target"),
         F.sum("aqi_lag_6h").alias("sum_lag"),
@@ -131,9 +174,12 @@ def feature_complete_rows(spark, sf):
 QUERIES = {f.__name__: f for f in (
     aqi_units, aqi_subindex, aqi_subindex_truncated, aqi_overall, aqi_by_category, gauge_level,
     calendar_features, derived_features, lag_features, rolling_mean, rolling_std,
-    rolling_with_missing, target_6h, targets_multi, engineered_features, feature_complete_rows)}
-CUTS = (lag_features, rolling_std, targets_multi)
+    rolling_with_missing, target_6h, targets_multi, engineered_features, feature_complete_rows,
+    lag_features_aligned, rolling_aligned, targets_aligned, engineered_aligned)}
+CUTS = (lag_features, rolling_std, targets_multi, rolling_aligned)
+HOUR_CUTS = (lag_features_aligned, targets_aligned, engineered_aligned)
 QUERIES |= {f"{f.__name__}_cut": partial(f, limit=CUT) for f in CUTS}
+QUERIES |= {f"{f.__name__}_cut": partial(f, limit=CUT_HOURS) for f in HOUR_CUTS}
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -222,7 +268,52 @@ FULL = (f"select *, aqi - lag(aqi, 1) over ({W}) as aqi_change_1h, {_lags()}, "
         f"{_rolls(S.ROLLING_COLUMNS, digits=False)}, "
         f"lead(aqi, {S.TARGET_HOURS}) over ({W}) as {S.TARGET} from o")
 
+# by the clock: a value at an exact earlier or later time, and frames of so many hours
+ALIGNED = f"with {V.OBS_SQL}, {aqi_sql('o', 'hourly')}, {aqi_sql('p', 'obs_null')}"
+
+
+def _at_hours(column: str, hours: int) -> str:
+    side = "preceding" if hours < 0 else "following"
+    reach = f"interval {abs(hours)} hour {side}"
+    return (f"max({column}) over (partition by city order by timestamp range between {reach} and {reach})")
+
+
+def _aligned_lags() -> dict[str, str]:
+    return {S.lag_name(c, k): _at_hours(c, -k) for c in S.LAG_COLUMNS for k in S.LAG_HOURS}
+
+
+def _aligned_rolls(digits: int | None = None) -> dict[str, str]:
+    out = {}
+    for c in S.ROLLING_COLUMNS:
+        for w in S.ROLLING_WINDOWS:
+            frame = f"over (partition by city order by timestamp range between interval {w * 3_600_000_000 - 1} microsecond preceding and current row)"
+            out[S.rolling_name(c, "mean", w)] = f"avg({c}) {frame}"
+            std = f"stddev_samp({c}) {frame}"
+            out[S.rolling_name(c, "std", w)] = f"round({std}, {digits})" if digits else std
+    return out
+
+
+def _named(columns: dict[str, str]) -> str:
+    return ", ".join(f"{e} as {n}" for n, e in columns.items())
+
+
+def _sums(names) -> str:
+    return ", ".join(f"count({c}) as n_{c}, round(sum({c}), 3) as sum_{c}" for c in names)
+
+
+_ALIGNED_TARGETS = {S.horizon_name(h): _at_hours("aqi", h) for h in S.HORIZONS}
+_ROW_COLUMNS = [*[S.rolling_name(c, s, w) for c in S.ROLLING_COLUMNS for w in S.ROLLING_WINDOWS for s in ("mean", "std")],
+                *[S.lag_name(c, k) for c in S.LAG_COLUMNS for k in S.LAG_HOURS]]
+
 ORACLES = {
+    "lag_features_aligned": f"{ALIGNED} select city, timestamp, {_named(_aligned_lags())} from o",
+    "rolling_aligned": f"{ALIGNED} select event_id, {_named(_aligned_rolls(6))} from p",
+    "targets_aligned": f"{ALIGNED} select * from (select city, timestamp, {_named(_ALIGNED_TARGETS)} from o) where "
+                       + " and ".join(f"{n} is not null" for n in _ALIGNED_TARGETS),
+    "engineered_aligned": f"""{ALIGNED}, f as (select city, aqi - {_at_hours('aqi', -1)} as change, {_at_hours('aqi', S.TARGET_HOURS)} as target,
+        {_named(_aligned_lags())}, {_named(_aligned_rolls())}, {_named(_ALIGNED_TARGETS)} from o)
+        select city, count(*) as n, count(target) as with_target, cast(sum(target) as bigint) as sum_target,
+        cast(sum(change) as bigint) as sum_change, {_sums([*_ROW_COLUMNS, *_ALIGNED_TARGETS])} from f group by city""",
     "aqi_units": f"with {V.OBS_SQL} select event_id, {UNITS_SQL} from obs",
     "aqi_subindex": f"{OBS} select event_id, "
                     + ", ".join(f"{x} as {n}" for n, x in _sub_sql().items()) + " from o_units",
@@ -257,7 +348,7 @@ ORACLES = {
     "targets_multi": f"""{OBS} select * from (select event_id, """
                      + ", ".join(f"lead(aqi, {h}) over ({W}) as {S.horizon_name(h)}" for h in S.HORIZONS)
                      + " from o) where " + " and ".join(f"{S.horizon_name(h)} is not null" for h in S.HORIZONS),
-    "engineered_features": f"""{OBS}, f as ({FULL}) select city, count(*) as n,
+    "engineered_features": f"""{OBS}, f as ({FULL}) select city, {_sums(_ROW_COLUMNS)}, count(*) as n,
         count({S.TARGET}) as with_target, cast(sum(aqi_lag_6h) as bigint) as sum_lag,
         round(sum(pm10_rolling_mean_24h), 3) as sum_mean,
         round(sum(pm10_rolling_std_48h), 3) as sum_std,
@@ -266,4 +357,4 @@ ORACLES = {
     "feature_complete_rows": f"""{NULLS}, f as ({FULL})
         select event_id, aqi, pm2_5_lag_6h, ozone_lag_1h, {S.TARGET} from f where {_complete()}""",
 }
-ORACLES |= {f"{f.__name__}_cut": ORACLES[f.__name__] for f in CUTS}
+ORACLES |= {f"{f.__name__}_cut": ORACLES[f.__name__] for f in (*CUTS, *HOUR_CUTS)}

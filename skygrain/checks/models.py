@@ -14,6 +14,7 @@ from skygrain.operators import features as FE
 from skygrain.operators import forecast as FC
 from skygrain.operators import metrics as M
 from skygrain.operators import series as T
+from skygrain.operators.gram import gram
 from skygrain.operators.ordered import ordered
 from skygrain.session import durable, scratch_root
 from skygrain.sources import feature_table
@@ -147,9 +148,9 @@ def row_explanation(spark, sf):
 # --- fitted models: no SQL twin ------------------------------------------------------
 
 def _training(spark, sf):
-    features = durable(FE.complete_rows(
-        FE.engineer(V.obs(spark, sf).drop("event_type"), ["city"], V.ORDER), [S.TARGET]), "features")
-    return FC.prepare(features, ["city"], V.ORDER)
+    names = [S.horizon_name(h) for h in S.HORIZONS]
+    features = FE.engineer(V.obs(spark, sf).drop("event_type"), ["city"], V.ORDER, horizons=S.HORIZONS)
+    return FC.prepare(FE.complete_rows(features, [S.TARGET, *names]), ["city"], V.ORDER)
 
 
 def _forecast(spark, sf, algorithm):
@@ -162,6 +163,30 @@ def ridge_forecast(spark, sf):
     return _forecast(spark, sf, "ridge_regression")
 
 
+GRAM_FEATURES = ("pm2_5", "ozone", "wind_direction_10m")
+
+
+def ridge_gram(spark, sf):
+    """Ridge coefficients of all six horizons on three readings, from one pass over all rows with every target."""
+    df = FE.with_targets(V.obs_aqi(spark, sf), ["city"], V.ORDER)
+    targets = {h: S.horizon_name(h) for h in S.HORIZONS}
+    g = gram(df, [*GRAM_FEATURES, *targets.values()])
+    rows = []
+    for h, target in targets.items():
+        w, intercept = g.ridge(GRAM_FEATURES, target, FC.RIDGE_ALPHA)
+        rows += [(h, g.n, c, float(x), intercept) for c, x in zip(GRAM_FEATURES, w)]
+    return _round(spark.createDataFrame(rows, "horizon int, n long, feature string, coefficient double, intercept double"), "coefficient", "intercept")
+
+
+def ridge_predictions(spark, sf):
+    """Test predictions of ridge models on three readings, all horizons, from the stored coefficients."""
+    df = T.chronological_split(V.obs_aqi(spark, sf), ["city"], V.ORDER)
+    df = FE.with_targets(df, ["city"], V.ORDER)
+    rows = FC.assemble(df, GRAM_FEATURES)
+    training = FC.TrainingSet(durable(rows, "few"), GRAM_FEATURES, {h: S.horizon_name(h) for h in S.HORIZONS})
+    return _round(FC.evaluate(FC.fit_ridge(training), training), "mse", "mae", "r2")
+
+
 def forest_forecast(spark, sf):
     return _forecast(spark, sf, "random_forest")
 
@@ -197,7 +222,7 @@ def tree_attribution(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     naive_forecast_metrics, summary_by_model, representative_metrics, best_model, model_ranking, comparison_table, horizon_rollup,
-    latest_per_algorithm, linear_attribution, importance_topk, row_explanation, ridge_forecast,
+    latest_per_algorithm, linear_attribution, importance_topk, row_explanation, ridge_gram, ridge_predictions, ridge_forecast,
     forest_forecast, single_horizon_forecast, forest_importance, tree_attribution)}
 
 
@@ -248,7 +273,42 @@ LINEAR_SQL = f"""with {V.OBS_SQL}, s as (select *, row_number() over ({W}) - 1 a
     c as (select event_id, model, horizon, feature, value, coefficient * (value - mean) as contribution
       from u join mu using (feature) join co using (feature) where not train)"""
 
+def _ridge_sql(rows: str) -> str:
+    """CTE ``w``: coefficients ``wa, wb, wc`` and intercept ``i`` per horizon, by Cramer's rule on the penalised normal equations.
+
+    ``rows`` has ``horizon, a, b, c, y``.
+    """
+    pairs = ("aa", "ab", "ac", "bb", "bc", "cc", "ay", "by", "cy")
+    sums = ", ".join(f"covar_pop({p[0]}, {p[1]}) * count(*) + {FC.RIDGE_ALPHA if p[0] == p[1] else 0.0}::double as s{p}" for p in pairs)
+    det = lambda a, b, c: (f"({a[0]} * ({b[1]} * {c[2]} - {c[1]} * {b[2]}) - {b[0]} * ({a[1]} * {c[2]} - {c[1]} * {a[2]})"
+                           f" + {c[0]} * ({a[1]} * {b[2]} - {b[1]} * {a[2]}))")
+    a, b, c, y = ("saa", "sab", "sac"), ("sab", "sbb", "sbc"), ("sac", "sbc", "scc"), ("say", "sby", "scy")
+    return f"""g as (select horizon, count(*) as n, avg(a) as ma, avg(b) as mb, avg(c) as mc, avg(y) as my, {sums} from ({rows}) group by horizon),
+      d as (select *, {det(y, b, c)} / {det(a, b, c)} as wa, {det(a, y, c)} / {det(a, b, c)} as wb, {det(a, b, y)} / {det(a, b, c)} as wc from g),
+      w as (select *, my - wa * ma - wb * mb - wc * mc as i from d)"""
+
+
+_LEADS = ", ".join(f"lead(aqi, {h}) over ({W}) as h{h}" for h in S.HORIZONS)
+_ALL_LEADS = " and ".join(f"h{h} is not null" for h in S.HORIZONS)
+_ABC = ", ".join(f"{c} as {n}" for c, n in zip(GRAM_FEATURES, "abc"))
+
+
+def _by_horizon(source: str, more: str = "") -> str:
+    return " union all ".join(f"select {h} as horizon, a, b, c, h{h}::double as y{more} from {source}" for h in S.HORIZONS)
+
+
 ORACLES = {
+    "ridge_gram": f"""{OBS}, t as (select * from (select {_ABC}, {_LEADS} from o) where {_ALL_LEADS}),
+        {_ridge_sql(_by_horizon('t'))}
+        select horizon, n, feature, round(coefficient, 6) as coefficient, round(i, 6) as intercept from (
+          select horizon, n, i, unnest([{', '.join(f"'{c}'" for c in GRAM_FEATURES)}]) as feature, unnest([wa, wb, wc]) as coefficient from w)""",
+    "ridge_predictions": f"""{OBS}, s as (select *, row_number() over ({W}) - 1 as pos, {_ABC}, {_LEADS},
+          floor(cast(count(*) over (partition by city) as double) * 0.8::double) as cut from o),
+        t as (select *, case when pos < cut then 'train' else 'test' end as split from s where {_ALL_LEADS}),
+        {_ridge_sql(_by_horizon("(select * from t where split = 'train')"))},
+        f as (select 'ridge_regression' as algorithm, horizon, split, y,
+          least(500, greatest(0, w.i + w.wa * l.a + w.wb * l.b + w.wc * l.c)) as p from ({_by_horizon('t', ', split')}) l join w using (horizon))
+        {_metrics('algorithm, horizon, split')}""",
     "naive_forecast_metrics": f"{NAIVE_SQL} {_metrics('algorithm, horizon')}",
     "summary_by_model": f"{SPLIT_SQL} select algorithm, horizon, " + ", ".join(
         f"max({m}) filter (split = '{s}') as {s}_{m}" for s in ("train", "test") for m in ("n", "mse", "mae", "r2"))

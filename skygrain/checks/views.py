@@ -62,6 +62,13 @@ def obs_null(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ozone": F.when(F.col("cloud_cover") != 17, F.col("ozone"))})
 
 
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last reading of every city and hour, some values missing; hours without a reading are missing as rows."""
+    df = obs_null(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    last = df.groupBy("city", "timestamp").agg(F.max_by(F.struct("event_id", *MEASURES, "latitude", "longitude"), "event_id").alias("r"))
+    return last.select("city", "timestamp", "r.*")
+
+
 def air(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs(spark, sf_dir).select("city", "timestamp", "event_id", *S.POLLUTANTS)
 
@@ -99,4 +106,7 @@ obs as (
 obs_null as (
   select * replace (case when cloud_cover <> 13 then pm2_5 end as pm2_5,
                     case when cloud_cover <> 17 then ozone end as ozone)
-  from obs)"""
+  from obs),
+hourly as (
+  select * replace (date_trunc('hour', timestamp) as timestamp) from obs_null
+  qualify row_number() over (partition by city, date_trunc('hour', timestamp) order by event_id desc) = 1)"""

@@ -20,22 +20,34 @@ from skygrain.session import small_side
 RETAINED = 1000
 
 
+def each_model(models: Sequence[tuple[int, str]]) -> Column:
+    """A row for every (horizon, model)."""
+    return F.explode(F.array(*[F.struct(F.lit(h).cast("int").alias("horizon"), F.lit(m).alias("model")) for h, m in models]))
+
+
 def candidates(
-    current: DataFrame, predictions: DataFrame | None = None, keys: Sequence[str] = S.KEYS
+    current: DataFrame, predictions: DataFrame | None = None, keys: Sequence[str] = S.KEYS,
+    models: Sequence[tuple[int, str]] | None = None,
 ) -> DataFrame:
     """Values to check: the current one of each key and all its predictions.
 
     ``current`` has keys, ``as_of`` and ``current``; ``predictions`` is long, with
     ``horizon``, ``model`` and ``prediction``. A missing prediction counts as the
-    current value.
+    current value; with ``models``, a list of (horizon, model), one without a row is missing too.
     """
     now = current.select(
         *keys, F.col("as_of").alias("timestamp"), F.lit("current").alias("source"),
         F.col("current").cast("double").alias("aqi"))
-    if predictions is None:
+    if predictions is None and not models:
         return now
     known = current.select(*keys, "as_of", F.col("current").cast("double").alias("_current"))
-    ahead = predictions.join(known, [*keys, "as_of"]).select(
+    if models is None:
+        joined = predictions.join(known, [*keys, "as_of"])
+    else:
+        wanted = known.withColumn("_m", each_model(models)).select(*known.columns, "_m.*")
+        joined = (wanted.withColumn("prediction", F.lit(None).cast("double")) if predictions is None
+                  else wanted.join(predictions, [*keys, "as_of", "horizon", "model"], "left"))
+    ahead = joined.select(
         *keys, F.col("as_of").alias("timestamp"),
         F.concat(F.col("horizon").cast("string"), F.lit("h_"), F.col("model")).alias("source"),
         F.coalesce(F.col("prediction"), F.col("_current")).alias("aqi"))

@@ -8,16 +8,17 @@ from math import factorial
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skygrain.operators.forecast import VECTOR, Fitted
+from skygrain.operators.gram import Linear
 
 
 def method(fitted: Fitted) -> str:
     """Which attribution a model gets: "linear" or "tree"."""
-    if isinstance(fitted.model, LinearRegressionModel):
+    if isinstance(fitted.model, Linear):
         return "linear"
     if isinstance(fitted.model, RandomForestRegressionModel):
         return "tree"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,68 @@ def with_rolling(
     return df.select(*[f"`{c}`" for c in kept if c not in made], *made)
 
 
+HOUR = 3_600_000_000  # in the microseconds that aligned windows order by
+MICROS = "_micros"
+
+
+def aligned_order(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with the time as a number, and the order that begins with it: frames can then span time."""
+    return df.withColumn(MICROS, F.unix_micros(F.col(order[0]).cast("timestamp"))), [MICROS, *order[1:]]
+
+
+def by_time(o: Ordered) -> WindowSpec:
+    """The window of ``o`` by its first order column alone, as frames over a range need it; rows are in that order already."""
+    keys = [*o.keys] + (["_chunk"] if o.split else [])
+    return Window.partitionBy(*keys).orderBy(o.order[0])
+
+
+def _at(window: WindowSpec, hours: int) -> WindowSpec:
+    """The rows of exactly that many hours later (earlier, if negative)."""
+    return window.rangeBetween(hours * HOUR, hours * HOUR)
+
+
+def _value_at(column: str, window: WindowSpec, hours: int, ties: Sequence[str]) -> Column:
+    frame = _at(window, hours)
+    return F.max_by(column, F.struct(*ties)).over(frame) if ties else F.max(column).over(frame)
+
+
+def aligned_shifts(
+    window: WindowSpec, ties: Sequence[str], columns: Sequence[str], hours: Sequence[int] = S.LAG_HOURS,
+) -> dict[str, Column]:
+    """The value of each column so many hours ago; NULL where no row has that very time.
+
+    Of rows that share a time the one that is greatest by ``ties`` counts, also if its value is missing (without
+    ``ties`` the greatest value).
+    """
+    return {S.lag_name(c, k): _value_at(c, window, -k, ties) for c in columns for k in hours}
+
+
+def aligned_targets(window: WindowSpec, ties: Sequence[str], horizons: Sequence[int] = S.HORIZONS) -> dict[str, Column]:
+    """The index so many hours ahead; NULL where no row has that very time."""
+    return {S.horizon_name(h): _value_at("aqi", window, h, ties) for h in horizons}
+
+
+def with_aligned_rolling(
+    df: DataFrame, columns: Sequence[str], window: WindowSpec,
+    sizes: Sequence[int] = S.ROLLING_WINDOWS, stats: Sequence[str] = ("mean", "std"),
+) -> DataFrame:
+    """Add rolling means and sample deviations over the last ``size`` hours, the current row's time included.
+
+    A frame begins just after the time ``size`` hours ago, so hourly data without gaps give the same as frames of rows.
+    Missing hours take no place: their values are neither filled in nor replaced by older ones. All
+    frames share one sorted partition; those of a size are evaluated together.
+    """
+    made = {}
+    for c in columns:
+        for size in sizes:
+            frame = window.rangeBetween(1 - size * HOUR, 0)
+            if "mean" in stats:
+                made[S.rolling_name(c, "mean", size)] = F.avg(F.col(f"`{c}`").cast("double")).over(frame)
+            if "std" in stats:
+                made[S.rolling_name(c, "std", size)] = F.stddev_samp(F.col(f"`{c}`").cast("double")).over(frame)
+    return df.select("*", *[e.alias(n) for n, e in made.items()])
+
+
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -107,24 +169,46 @@ def engineer(
     zone: str | None = None,
     target_hours: int = S.TARGET_HOURS,
     limit: int = GROUP_LIMIT,
+    align: str = "rows",
+    horizons: Sequence[int] = (),
 ) -> DataFrame:
     """All features of every observation, incomplete rows included.
 
     Columns missing from the input are skipped together with what derives from
     them. Every window has the same specification, so the plan has one exchange and
     one sort. ``order`` ends in a tie-break where times repeat within a key.
+
+    ``align`` says what a lag, a rolling window or a target of k hours is: k rows ("rows", as if no hour were missing) or
+    k hours by the clock ("time"). ``horizons`` adds the targets of the multi-horizon models in the same window.
     """
-    reach_back = max(max(S.ROLLING_WINDOWS) - 1, max(S.LAG_HOURS))
-    o = ordered(observations, keys, order, reach_back, target_hours, limit)
-    df = with_aqi(o.frame, gap_policy)
-    # the widest windows first: whatever one row alone determines is added after them
-    df = with_rolling(df, _present(df, S.ROLLING_COLUMNS), o.window)
-    shifted = {
-        **change_column(o.window),
-        **lag_columns(_present(df, S.LAG_COLUMNS), o.window),
-        S.TARGET: F.lead("aqi", target_hours).over(o.window),
-    }
-    df = o.finish(df.select("*", *[e.alias(n) for n, e in shifted.items()]))
+    if align not in ("rows", "time"):
+        raise ValueError(f"unknown alignment {align!r}")
+    ahead = max(target_hours, *horizons) if horizons else target_hours
+    if align == "time":
+        df, by = aligned_order(observations, order)
+        o = ordered(df, keys, by, limit=limit, back_range=float(max(*S.ROLLING_WINDOWS, *S.LAG_HOURS) * HOUR), ahead_range=float(ahead * HOUR))
+        window, ties = by_time(o), list(order[1:])
+        df = with_aqi(o.frame, gap_policy)
+        df = with_aligned_rolling(df, _present(df, S.ROLLING_COLUMNS), window)
+        shifted = {
+            "aqi_change_1h": F.col("aqi") - _value_at("aqi", window, -1, ties),
+            **aligned_shifts(window, ties, _present(df, S.LAG_COLUMNS)),
+            S.TARGET: _value_at("aqi", window, target_hours, ties),
+            **aligned_targets(window, ties, horizons),
+        }
+    else:
+        reach_back = max(max(S.ROLLING_WINDOWS) - 1, max(S.LAG_HOURS))
+        o = ordered(observations, keys, order, reach_back, ahead, limit)
+        df = with_aqi(o.frame, gap_policy)
+        # the widest windows first: whatever one row alone determines is added after them
+        df = with_rolling(df, _present(df, S.ROLLING_COLUMNS), o.window)
+        shifted = {
+            **change_column(o.window),
+            **lag_columns(_present(df, S.LAG_COLUMNS), o.window),
+            S.TARGET: F.lead("aqi", target_hours).over(o.window),
+            **target_columns(o.window, horizons),
+        }
+    df = o.finish(df.select("*", *[e.alias(n) for n, e in shifted.items()])).drop(MICROS)
     return with_calendar(df.withColumns(derived_columns(df)), order[0], zone)
 
 
@@ -139,16 +223,25 @@ def with_targets(
     order: Sequence[str] = (S.TIME,),
     horizons: Sequence[int] = S.HORIZONS,
     limit: int = GROUP_LIMIT,
+    align: str = "rows",
 ) -> DataFrame:
     """Add one target column per horizon and keep the rows that have all of them.
 
     The last ``max(horizons)`` rows of a key have no value that far ahead, so
-    dropping missing targets drops them too.
+    dropping missing targets drops them too. With ``align="time"`` a horizon is hours by the clock. Targets that
+    ``engineer`` has added in its own window are taken as they are.
     """
-    o: Ordered = ordered(features, keys, order, 0, max(horizons), limit)
-    targets = target_columns(o.window, horizons)
-    df = o.finish(o.frame.select("*", *[e.alias(n) for n, e in targets.items()]))
-    return df.na.drop("any", subset=list(targets))
+    names = [S.horizon_name(h) for h in horizons]
+    if not set(names) <= set(features.columns):
+        if align == "time":
+            df, by = aligned_order(features, order)
+            o: Ordered = ordered(df, keys, by, limit=limit, ahead_range=float(max(horizons) * HOUR))
+            targets = aligned_targets(by_time(o), list(order[1:]), horizons)
+        else:
+            o = ordered(features, keys, order, 0, max(horizons), limit)
+            targets = target_columns(o.window, horizons)
+        features = o.finish(o.frame.select("*", *[e.alias(n) for n, e in targets.items()])).drop(MICROS)
+    return features.na.drop("any", subset=names)
 
 
 def feature_columns(df: DataFrame, legacy: bool = False) -> list[str]:

@@ -1,4 +1,4 @@
-"""Multi-horizon forecasts with Spark ML: preparation, fits, predictions."""
+"""Multi-horizon forecasts: preparation, ridge from one pass, forests with Spark ML, predictions."""
 
 from __future__ import annotations
 
@@ -9,14 +9,16 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
 from skygrain.functions.numbers import clip
 from skygrain.operators.features import as_doubles, feature_columns, with_targets
+from skygrain.operators.gram import Linear, gram_of_vectors
 from skygrain.operators.metrics import regression_metrics
 from skygrain.operators.ordered import GROUP_LIMIT
 from skygrain.operators.series import split_boundaries
@@ -88,59 +90,49 @@ def prepare(
                        tuple(columns), targets)
 
 
-def _ridge_strengths(train: DataFrame, targets: Sequence[str]) -> dict[str, float]:
-    """The penalty in Spark's scaling: the optimiser divides the squared error by
-    ``n`` and works on a target divided by its standard deviation."""
-    row = train.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(t).alias(t) for t in targets]).first()
-    return {t: RIDGE_ALPHA * (row[t] or 1.0) / max(row["n"], 1) for t in targets}
-
-
-def _varying(train: DataFrame, names: Sequence[str]) -> list[str]:
-    """Features that are not constant.
-
-    A constant one has coefficient 0 in a ridge fit with intercept, and would make
-    the normal equations singular in Spark's standardised form.
-    """
-    ends = train.select(Summarizer.metrics("min", "max").summary(F.col(VECTOR)).alias("s")).select(
-        "s.min", "s.max").first()
-    return [n for n, low, high in zip(names, ends[0], ends[1]) if low < high]
-
-
 def _slice(df: DataFrame, names: Sequence[str], wanted: Sequence[str], column: str) -> DataFrame:
     position = {n: i for i, n in enumerate(names)}
     return VectorSlicer(
         inputCol=VECTOR, outputCol=column, indices=[position[n] for n in wanted]).transform(df)
 
 
+def fit_ridge(training: TrainingSet, alpha: float = RIDGE_ALPHA) -> list[Fitted]:
+    """One ridge model per horizon, all from one pass over the training rows.
+
+    Constant features are left out: they would get coefficient 0.
+    """
+    train = training.rows.filter(F.col("split") == "train")
+    g = gram_of_vectors(train, VECTOR, training.features, list(training.targets.values()))
+    varying = tuple(g.varying(training.features))
+    out = []
+    for horizon, target in training.targets.items():
+        coefficients, intercept = g.ridge(varying, target, alpha)
+        out.append(Fitted("ridge_regression", horizon, Linear(Vectors.dense(coefficients), intercept), varying))
+    return out
+
+
 def fit(
     training: TrainingSet, algorithms: Sequence[str] = ALGORITHMS, parallel: int = 4
 ) -> list[Fitted]:
-    """One model per algorithm and horizon; fits run side by side on the cluster."""
+    """One model per algorithm and horizon; forests are fitted side by side on the cluster."""
+    if unknown := set(algorithms) - set(ALGORITHMS):
+        raise ValueError(f"unknown algorithm {sorted(unknown)[0]!r}")
     train = training.rows.filter(F.col("split") == "train")
     names = training.features
-    if "ridge_regression" in algorithms:
-        strengths = _ridge_strengths(train, list(training.targets.values()))
-        varying = tuple(_varying(train, names))
-        sliced = _slice(train, names, varying, "_varying")
     subset = str(max(1, math.isqrt(len(names))))
 
-    def one(job: tuple[str, int]) -> Fitted:
-        algorithm, horizon = job
+    def forest(horizon: int) -> Fitted:
         target = training.targets[horizon]
-        if algorithm == "random_forest":
-            estimator = RandomForestRegressor(
-                featuresCol=VECTOR, labelCol=target, featureSubsetStrategy=subset, **FOREST)
-            return Fitted(algorithm, horizon, estimator.fit(train.select(VECTOR, target)), names)
-        if algorithm == "ridge_regression":
-            estimator = LinearRegression(
-                featuresCol="_varying", labelCol=target, elasticNetParam=0.0, standardization=False,
-                solver="normal", regParam=strengths[target])
-            return Fitted(algorithm, horizon, estimator.fit(sliced.select("_varying", target)), varying)
-        raise ValueError(f"unknown algorithm {algorithm!r}")
-
-    jobs = [(a, h) for a in algorithms for h in training.targets]
-    with ThreadPool(max(1, parallel)) as pool:
-        return pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)
+        estimator = RandomForestRegressor(featuresCol=VECTOR, labelCol=target, featureSubsetStrategy=subset, **FOREST)
+        return Fitted("random_forest", horizon, estimator.fit(train.select(VECTOR, target)), names)
+
+    fitted = {}
+    if "ridge_regression" in algorithms:
+        fitted["ridge_regression"] = fit_ridge(training)
+    if "random_forest" in algorithms:
+        with ThreadPool(max(1, parallel)) as pool:
+            fitted["random_forest"] = pool.map(inheritable_thread_target(train.sparkSession)(forest), list(training.targets))
+    return [f for a in algorithms for f in fitted[a]]
 
 
 def predict(
@@ -153,7 +145,12 @@ def predict(
     bounded.
     """
     vectors = {tuple(names): VECTOR}
+    if any(isinstance(f.model, Linear) for f in fitted):
+        df = df.withColumn("_x", vector_to_array(VECTOR))
     for i, f in enumerate(fitted):
+        if isinstance(f.model, Linear):
+            df = df.withColumn(f"_p{i}", f.model.prediction("_x", names, f.features))
+            continue
         if f.features not in vectors:
             vectors[f.features] = f"_v{i}"
             df = _slice(df, names, f.features, f"_v{i}")

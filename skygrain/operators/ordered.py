@@ -186,6 +186,8 @@ class Ordered:
     position: Column
     size: Column
     split: bool
+    keys: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
 
     def finish(self, df: DataFrame) -> DataFrame:
         if not self.split:
@@ -193,6 +195,40 @@ class Ordered:
         return df.filter(F.col(_OWN)).drop(_CHUNK, _OWN, _FIRST, _SIZE)
 
 
+def _reach(
+    chunks: DataFrame, table: DataFrame, keys: Sequence[str], back: float | None, ahead: float | None,
+) -> DataFrame:
+    """``chunks`` with rows that cover the given range of order values around each.
+
+    Slots and wanted bounds are sorted together. Every slot that ends below a lower bound is left out, and with it
+    all slots before it: the greatest last row of those is where the chunk begins. The upper end mirrors this.
+    """
+    last = F.col("_start") + F.col("_rows")
+
+    def bound(slot_value: str, slot_row: Column, wanted: Column, below: bool) -> DataFrame:
+        # slots come after bounds of the same value: they hold rows that lie exactly on the bound, so they are not left out
+        slots = table.filter(F.col(slot_value).isNotNull()).select(
+            *keys, F.lit(None).cast("long").alias(_CHUNK), F.col(slot_value).alias("_v"), F.lit(1).alias("_t"), slot_row.cast("long").alias("_r"))
+        points = chunks.select(*keys, F.col(_CHUNK).cast("long").alias(_CHUNK), wanted.alias("_v"), F.lit(0).alias("_t"), F.lit(None).cast("long").alias("_r"))
+        w = Window.partitionBy(*keys).orderBy(F.col("_v") if below else -F.col("_v"), "_t").rowsBetween(Window.unboundedPreceding, 0)
+        found = (F.max("_r") if below else F.min("_r")).over(w)
+        return slots.union(points).withColumn("_r", found).filter(F.col(_CHUNK).isNotNull()).select(*keys, _CHUNK, "_r")
+
+    out = chunks
+    sides = [("_high", last, "_low", back, True, "_low_row")] if back is not None else []
+    sides += [("_low", F.col("_start"), "_high", ahead, False, "_high_row")] if ahead is not None else []
+    for slot_value, row, own, reach, below, name in sides:
+        found = bound(slot_value, row, F.col(own) - F.lit(reach) if below else F.col(own) + F.lit(reach), below)
+        # without a slot beyond the bound the chunk reaches the end of its group; rows without a value reach nobody
+        edge = F.coalesce("r._r", F.lit(0 if below else 1 << 62))
+        edge = F.when(F.col(f"l.{own}").isNull(), F.col(f"l.{name}")).otherwise((F.least if below else F.greatest)(f"l.{name}", edge))
+        out = out.alias("l").join(found.alias("r"), _same([*keys, _CHUNK])).select(
+            *[F.col(f"l.`{c}`") for c in out.columns if c != name], edge.alias(name))
+    size = table.groupBy(*keys).agg(F.max(last).alias("_end"))
+    return out.alias("l").join(size.alias("r"), _same(keys)).select(
+        *[F.col(f"l.`{c}`") for c in out.columns if c != "_high_row"], F.least("l._high_row", "r._end").alias("_high_row"))
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -200,9 +236,13 @@ def ordered(
     back: int = 0,
     ahead: int = 0,
     limit: int = GROUP_LIMIT,
+    back_range: float | None = None,
+    ahead_range: float | None = None,
 ) -> Ordered:
     """Prepare windows that reach ``back`` rows before and ``ahead`` rows after a row.
 
+    ``back_range`` and ``ahead_range`` say how far frames reach in values of the first order column, a number:
+    each chunk then also gets all rows that are no further away, however many or few there are.
     ``position`` (from 0) and ``size`` are those of the whole group in either form.
     """
     slots = cut_large_groups(df, keys, order, limit)
@@ -211,14 +251,17 @@ def ordered(
         placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
         return Ordered(
             placed, window, F.row_number().over(window) - 1,
-            F.count(F.lit(1)).over(Window.partitionBy(*keys)), False)
+            F.count(F.lit(1)).over(Window.partitionBy(*keys)), False, tuple(keys), tuple(order))
 
     target = max(limit // 2, 1)
     first, last = F.col("_start"), F.col("_start") + F.col("_rows")
     table = slots.table.filter(F.col("_rows") > 0).withColumn(
         _CHUNK, F.floor(F.col("_start") / target))
     chunks = table.groupBy(*keys, _CHUNK).agg(
-        (F.min(first) - back).alias("_low_row"), (F.max(last) + ahead).alias("_high_row"))
+        (F.min(first) - back).alias("_low_row"), (F.max(last) + ahead).alias("_high_row"),
+        F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+    if back_range is not None or ahead_range is not None:
+        chunks = _reach(chunks, table, keys, back_range, ahead_range)
 
     def cells(low: Column, high: Column) -> Column:
         return F.explode(F.sequence(F.floor(low / target), F.floor(high / target)))
@@ -258,4 +301,4 @@ def ordered(
     whole = F.count(F.lit(1)).over(Window.partitionBy(*keys, _CHUNK))
     return Ordered(
         routed, window, F.col(_FIRST) + F.row_number().over(window) - 1,
-        F.coalesce(F.col(_SIZE), whole), True)
+        F.coalesce(F.col(_SIZE), whole), True, tuple(keys), tuple(order))

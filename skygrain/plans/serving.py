@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
-from skygrain.functions.index import category
 from skygrain.operators import alerts as AL
 from skygrain.operators import attribution as X
 from skygrain.operators import forecast as FC
-from skygrain.operators.series import latest_change, newest
-from skygrain.plans.ingest import read_features
+from skygrain.plans import state
+from skygrain.plans.ingest import read_features, row_index
 from skygrain.plans.store import Store
 from skygrain.session import durable
-from skygrain.sources import registry
+from skygrain.sources import registry, versioned
 from skygrain.sources.feature_table import sample_rows, table_exists
 
 SUMMARY_HOURS = 24
@@ -26,29 +25,22 @@ HISTORY = (
     "threshold_exceeded string, recommendations array<string>")
 
 
-def latest_features(
-    spark: SparkSession, store: Store, as_of: datetime, active_days: int | None = None
-) -> DataFrame:
-    """The newest complete feature row per city.
+def _active(current: DataFrame, as_of: datetime, days: int | None) -> DataFrame:
+    """Cities with a reading in the last ``days`` days; all of them by default."""
+    return current if days is None else current.filter(F.col(f"at.{S.TIME}") >= F.lit(as_of - timedelta(days=days)))
 
-    ``active_days`` leaves out cities silent for longer, and with them the files of
-    older months; by default every city counts.
-    """
-    rows = read_features(spark, store)
-    if active_days is not None:
-        rows = rows.filter(F.col(S.TIME) >= F.lit(as_of - timedelta(days=active_days)))
-    return newest(rows, 1, S.KEYS)
 
-
-def forecast_latest(spark: SparkSession, store: Store, latest: DataFrame) -> DataFrame | None:
-    """Long predictions of all registered models from the given rows, unbounded."""
+def forecast_latest(
+    spark: SparkSession, store: Store, current: DataFrame
+) -> tuple[DataFrame | None, list[tuple[int, str]]]:
+    """Long predictions of all registered models for cities whose newest row is complete, unbounded; and the models."""
     fitted = [f for f, _ in registry.load_models(spark, store.models)]
     if not fitted:
-        return None
+        return None, []
     names = list(max((f.features for f in fitted), key=len))
     names += sorted({n for f in fitted for n in f.features} - set(names))
-    rows = FC.assemble(latest, names)
-    return FC.predict(fitted, rows, names, [*S.KEYS, S.TIME])
+    rows = FC.assemble(state.model_inputs(current), names)
+    return FC.predict(fitted, rows, names, [*S.KEYS]), [(f.horizon, f.algorithm) for f in fitted]
 
 
 def alert_check(
@@ -56,19 +48,16 @@ def alert_check(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Check current and predicted values, store the new alerts, and sum up 24 hours.
 
-    Returns the new alerts and the summary per city, or None without features.
+    Returns the new alerts and the summary per city, or None without features. A city whose newest row lacks a sensor is checked
+    with its current value in place of every forecast. ``active_days`` leaves out cities silent for longer.
     """
-    if not table_exists(spark, store.features):
+    if not versioned.exists(spark, store.state):
         return None
-    latest = durable(latest_features(spark, store, as_of, active_days), "latest")
-    moment = F.lit(as_of).cast("timestamp")
-    current = latest.select(*S.KEYS, moment.alias("as_of"), F.col("aqi").alias("current"))
-    predictions = forecast_latest(spark, store, latest)
-    if predictions is not None:
-        predictions = predictions.withColumnRenamed(S.TIME, "_at").withColumn("as_of", moment).drop("_at")
+    current = durable(_active(state.read(spark, store), as_of, active_days), "current")
+    predictions, models = forecast_latest(spark, store, current)
     since = as_of - timedelta(hours=SUMMARY_HOURS)
     history = read_alerts(spark, store, since=since)
-    found = AL.build_alerts(AL.candidates(current, predictions))
+    found = AL.build_alerts(state.check_values(current, predictions, models, F.lit(as_of).cast("timestamp")))
     fresh = durable(AL.new_alerts(found, history, as_of), "alerts").select(*history.columns)
     fresh.withColumn("alert_day", F.to_date("timestamp")).write.mode("append").partitionBy(
         "alert_day").parquet(store.alerts)
@@ -99,18 +88,11 @@ def trim_alerts(spark: SparkSession, store: Store, n: int = AL.RETAINED) -> None
 
 
 def snapshot(spark: SparkSession, store: Store, as_of: datetime, active_days: int | None = None) -> DataFrame:
-    """Serving table: current value, change, count and category per city, with one
-    forecast per horizon and model; a missing forecast is NULL with a status."""
-    rows = read_features(spark, store)
-    now = latest_change(rows).withColumn("category", category(F.col("current")).category)
-    latest = latest_features(spark, store, as_of, active_days)
-    predictions = forecast_latest(spark, store, latest)
-    if predictions is None:
-        empty = F.lit(None)
-        return now.select("*", empty.cast("int").alias("horizon"), empty.cast("string").alias("model"),
-                          empty.cast("double").alias("prediction"), F.lit("no model").alias("status"))
-    joined = now.join(predictions.drop(S.TIME), list(S.KEYS), "left")
-    return joined.withColumn("status", F.when(F.col("prediction").isNull(), "missing").otherwise("ok"))
+    """Serving table: see ``state.snapshot_rows``."""
+    current = durable(_active(state.read(spark, store), as_of, active_days), "current")
+    predictions, models = forecast_latest(spark, store, current)
+    counts = row_index(spark, store).groupBy(*S.KEYS).agg(F.sum("rows").alias("data_points"))
+    return state.snapshot_rows(current, predictions, models, counts)
 
 
 def explain(

@@ -16,6 +16,16 @@ class Store:
     def observations(self) -> str:
         return f"{self.root}/observations"
 
+    @property
+    def row_index(self) -> str:
+        """Observations per city and month."""
+        return f"{self.root}/row_index"
+
+    @property
+    def state(self) -> str:
+        """What checks need to know of each city."""
+        return f"{self.root}/state"
+
     @property
     def features(self) -> str:
         return f"{self.root}/features"

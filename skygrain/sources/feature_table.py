@@ -1,4 +1,4 @@
-"""Keyed Parquet tables by month: upsert, newest rows, training frame."""
+"""Keyed tables of observations and features: upsert, newest rows, training frame."""
 
 from __future__ import annotations
 
@@ -12,29 +12,19 @@ from pyspark.sql import types as T
 from skygrain import schema as S
 from skygrain.operators.features import feature_columns
 from skygrain.operators.series import newest
-from skygrain.session import durable, small_side
+from skygrain.sources import versioned
+from skygrain.sources.versioned import MONTH
 
 PRIMARY_KEY = ("city", S.TIME)
 INGESTED = "ingest_ts"
-MONTH = "event_month"
 
 
 def latest_versions(
     df: DataFrame, keys: Sequence[str] = PRIMARY_KEY, version: str = INGESTED,
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key, the one with the greatest version.
-
-    An aggregate, not a ranking window: copies of a key are reduced before the
-    shuffle, so a key with very many copies does not fill one task.
-    """
-    order = F.struct(version, *ties)
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("_row"))
-    return best.select("_row.*")
-
-
-def with_month(df: DataFrame, time: str = S.TIME) -> DataFrame:
-    return df.withColumn(MONTH, F.date_format(time, "yyyy-MM"))
+    """One row per key, the one with the greatest version; see ``versioned.newest_of``."""
+    return versioned.newest_of(df, keys, F.struct(version, *ties))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -49,35 +39,23 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def upsert(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str] = PRIMARY_KEY,
-    time: str = S.TIME, unique: bool = False,
+    time: str | None = S.TIME, unique: bool = False,
 ) -> None:
     """Insert rows or replace those with the same key; create the table if needed.
 
     Of copies within the batch the latest version counts; ``unique`` says there are
-    none. Only the months of the batch are read and rewritten, and stored rows are
-    only compared by key: a batch counted small is broadcast, and the stored rows
-    are not shuffled for it. The result is staged first, as the table must not be
-    overwritten while it is read, and is laid out by range, so a month that holds
-    most rows is written by many tasks.
+    none. The batch becomes a version of the table (``versioned``): stored rows are neither read nor moved.
     """
     # of copies of one version the greatest row counts, in whatever order they were written
     ties = [f.name for f in batch.schema.fields if f.name not in keys and isinstance(f.dataType, T.AtomicType)]
-    batch = with_month(batch if unique else latest_versions(batch, keys, ties=ties), time)
-    if table_exists(spark, path):
-        batch = durable(batch, "batch")
-        months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # a calendar's worth
-        stored = read_table(spark, path).filter(F.col(MONTH).isin(months))
-        replaced = small_side(batch.select(*keys))
-        kept = stored.join(replaced, list(keys), "left_anti")
-        batch = kept.unionByName(batch, allowMissingColumns=True)
-    staged = durable(batch, "upsert")
-    (staged.repartitionByRange(MONTH, *keys).sortWithinPartitions(MONTH, *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(path))
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("string"))
+    versioned.append(spark, path, batch if unique else latest_versions(batch, keys, ties=ties), keys, time)
+
+
+def read_table(
+    spark: SparkSession, path: str, months: Sequence[str] | None = None, keys: Sequence[str] = PRIMARY_KEY,
+) -> DataFrame:
+    """The current rows, with the month each is stored in; ``months`` opens only the files of those."""
+    return versioned.read(spark, path, keys, months)
 
 
 def read_newest(

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
 from skygrain.operators.forecast import Fitted
+from skygrain.operators.gram import Linear
 from skygrain.sources.feature_table import table_exists
 
 MODEL_BASE = "aqi_6h_forecast"
@@ -18,8 +20,27 @@ REGISTRY = (
     "description string, features array<string>, mse double, mae double, r2 double")
 
 
-# the kinds of model a registry row may name
-_KINDS = {f"{kind.__module__}:{kind.__name__}": kind for kind in (LinearRegressionModel, RandomForestRegressionModel)}
+def _kind(model: type) -> str:
+    return f"{model.__module__}:{model.__name__}"
+
+
+def _save_linear(spark: SparkSession, model: Linear, path: str) -> None:
+    row = spark.createDataFrame([(model.coefficients.toArray().tolist(), model.intercept)], "coefficients array<double>, intercept double")
+    row.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _load_linear(spark: SparkSession, path: str) -> Linear:
+    row = spark.read.parquet(path).first()
+    return Linear(Vectors.dense(row.coefficients), row.intercept)
+
+
+# the kinds of model a registry row may name: how they are written and read
+_KINDS = {
+    _kind(Linear): (_save_linear, _load_linear),
+    _kind(RandomForestRegressionModel): (
+        lambda spark, model, path: model.write().overwrite().save(path),
+        lambda spark, path: RandomForestRegressionModel.load(path)),
+}
 
 
 def model_name(algorithm: str) -> str:
@@ -37,10 +58,10 @@ def save_models(
     for f in fitted:
         name = model_name(f.algorithm)
         path = f"{root}/models/{name}/{version}/h{f.horizon}"
-        f.model.write().overwrite().save(path)
-        kind = type(f.model)
+        kind = _kind(type(f.model))
+        _KINDS[kind][0](spark, f.model, path)
         mse, mae, r2 = (metrics or {}).get((f.algorithm, f.horizon), (None, None, None))
-        rows.append((name, f.algorithm, f.horizon, version, path, f"{kind.__module__}:{kind.__name__}",
+        rows.append((name, f.algorithm, f.horizon, version, path, kind,
                      description, list(f.features), mse, mae, r2))
     spark.createDataFrame(rows, REGISTRY).coalesce(1).write.mode("append").parquet(f"{root}/registry")
 
@@ -61,7 +82,7 @@ def load_models(spark: SparkSession, root: str) -> list[tuple[Fitted, str]]:
         return []
     out = []
     for row in newest_versions(registered(spark, root)).orderBy("algorithm", "horizon").collect():
-        model = _KINDS[row["class"]].load(row["path"])
+        model = _KINDS[row["class"]][1](spark, row["path"])
         out.append((Fitted(row["algorithm"], row["horizon"], model, tuple(row["features"])), row["path"]))
     return out
 

@@ -204,5 +204,5 @@ def test_copies_of_a_version_do_not_depend_on_their_order(spark, tmp_path):
     for name, some in (("x", rows), ("y", rows[::-1])):
         batch = spark.createDataFrame(some, f"city string, {S.TIME} timestamp, v double").withColumn(feature_table.INGESTED, F.lit(datetime(2025, 1, 2)).cast("timestamp"))
         feature_table.upsert(spark, str(tmp_path / name), batch.coalesce(1))
-        stored.append([r.v for r in spark.read.parquet(str(tmp_path / name)).collect()])
+        stored.append([r.v for r in feature_table.read_table(spark, str(tmp_path / name)).collect()])
     assert stored == [[2.0], [2.0]]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skygrain.operators import attribution as X
 from skygrain.operators import forecast as FC
+from skygrain.operators import gram as G
 from skygrain.operators import metrics as M
 from skygrain.session import scratch_root
 
@@ -147,3 +148,34 @@ def test_rollups_with_missing_fields(spark):
     assert {r.algorithm: r.horizon for r in M.representative(
         flat.select("algorithm", "horizon", "mse", "mae", "r2").filter("horizon is not null")).collect()} == {
         "rf": 1, "rr": 6, "unknown": 1}
+
+
+def test_gram_blocks_merge_in_any_order(spark):
+    """Blocks of any sizes give the products of all rows, also far from zero, and a tree of merges the same."""
+    rng = np.random.default_rng(8)
+    rows = rng.normal(size=(500, 4)) * [1, 30, 0.2, 5] + [1e6, -1000, 3, 0]
+    names, apart = ("a", "b", "c", "y"), rows - rows.mean(0)
+    parts = [G.block(names, p) for p in np.split(rows, [0, 1, 7, 300, 300])]
+    for order in (parts, parts[::-1], parts[2:] + parts[:2]):
+        total = order[0]
+        for part in order[1:]:
+            total = total.merge(part)
+        assert total.n == 500
+        np.testing.assert_allclose(total.mean, rows.mean(0), rtol=1e-12)
+        np.testing.assert_allclose(total.products, apart.T @ apart, rtol=1e-9, atol=1e-9)
+    missing = [(None, 1.0, 2.0, 3.0), (1.0, float("nan"), 2.0, 3.0)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rows] + missing, "a double, b double, c double, y double").repartition(23)
+    found = G.gram(df, names, width=3)  # 23 blocks, then 8, then 3
+    assert found.n == 500
+    np.testing.assert_allclose(found.products, apart.T @ apart, rtol=1e-9, atol=1e-9)
+    w, intercept = found.ridge(("a", "c"), "y", 2.5)
+    x = apart[:, [0, 2]]
+    np.testing.assert_allclose(w, np.linalg.solve(x.T @ x + 2.5 * np.eye(2), x.T @ apart[:, 3]), rtol=1e-8)
+    assert intercept == pytest.approx(rows[:, 3].mean() - w @ rows.mean(0)[[0, 2]])
+    empty = G.gram(df.limit(0), names)
+    assert empty.n == 0 and empty.varying(names) == []
+
+
+def test_constant_columns_do_not_vary():
+    rows = np.column_stack([np.full(1000, 0.1), np.full(1000, 1e9 + 0.3), np.zeros(1000), np.arange(1000) * 1e-9 + 1.0])
+    assert G.block(("a", "b", "c", "d"), rows).varying(("a", "b", "c", "d")) == ["d"]
