@@ -216,8 +216,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int) ->
             sets = {xxhash.xxh128_digest(s.tobytes()): s for s in (shingles(t, words) for t in batch.column(1).to_pylist())}
             yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.binary()), pa.array([s.tobytes() for s in sets.values()], pa.binary())], ["digest", "grams"])
 
-    found = some.mapInArrow(run, "digest binary, grams binary").join(nodes.select("node", "digest"), "digest")
-    return found.groupBy("node").agg(F.first("grams").alias("grams"))
+    found = durable(some.mapInArrow(run, "digest binary, grams binary").join(small_side(nodes.select("node", "digest")), "digest").select("node", "grams"), "found")
+    if found.groupBy("node").count().filter("count > 1").isEmpty():
+        return found
+    return durable(found.groupBy("node").agg(F.first("grams").alias("grams")), "sets")  # rows that repeat key and text
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -268,7 +270,7 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
     chunks = durable(_parted(homes), "chunks")
     plain = (F.lit(0).alias("block"), F.lit(0).alias("visits"))
     # homes of one set have nobody to meet
-    links = durable(_meetings(chunks.join(sets, "node").select("home", "part", *plain, "node", F.col("node").alias("component"), "grams"), alike, of), "links")
+    links = durable(_meetings(sets.join(small_side(chunks), "node").select("home", "part", *plain, "node", F.col("node").alias("component"), "grams"), alike, of), "links")
     named, cut, before = _named(homes.select("node"), links), chunks.select("home", "node", "size", "parts"), None
     while True:
         # one set for each component of a home that has several chunks
@@ -277,7 +279,7 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
         seen = cut.count()
         if not seen or (before is not None and 2 * seen > before):
             break  # what is not joined by now meets as visitors
-        more = _meetings(cut.join(sets, "node").select("home", "part", *plain, "node", "component", "grams"), alike, of)
+        more = _meetings(sets.join(small_side(cut), "node").select("home", "part", *plain, "node", "component", "grams"), alike, of)
         links, before = durable(links.union(more), "links"), seen
         named, cut = _named(homes.select("node"), links), cut.select("home", "node", "size", "parts")
 
@@ -290,15 +292,19 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
     once = members.groupBy("n", "u", "v").agg(F.min("bucket").alias("bucket")).select("bucket")
     mixed = durable(shared.join(once, "bucket").select("bucket", "node", "size").join(placed, "node"), "mixed")
     lead = mixed.groupBy("bucket").agg(F.max(F.struct("weight", "component")).alias("lead"))
+    mixed = durable(mixed.join(lead, "bucket").withColumn("leads", F.col("component") == F.col("lead.component")).drop("lead", "weight"), "led")
     hosts = mixed.groupBy("bucket", F.col("home").alias("h"), F.col("part").alias("p")).agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.min("size").alias("low"), F.max("size").alias("high"))
-    guests = mixed.join(lead, "bucket").filter("component <> lead.component").select("bucket", "node", "size", "component", "home", "part")
-    visits = guests.join(hosts, "bucket").filter(f"not (home = h and part = p) and not (x = component and y = component) and {of} * size >= {alike} * low and {of} * high >= {alike} * size")
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min("size").alias("low"), F.max("size").alias("high"), F.max("leads").alias("leading"))
+    guests = mixed.filter("not leads").drop("leads")
+    # of two sets that do not lead one visits the other: that of the later chunk
+    visits = guests.join(hosts, "bucket").filter(
+        f"(leading or struct(h, p) < struct(home, part)) and not (home = h and part = p) and not (x = component and y = component)"
+        f" and {of} * size >= {alike} * low and {of} * high >= {alike} * size")
     visits = durable(visits.select("h", "p", "node", "component", "size").distinct(), "visits")
-    blocks = visits.groupBy("h", "p").agg(F.greatest(F.ceil(F.count("*") / VISITORS), F.ceil(F.sum("size") / (2 * CHUNK_SHINGLES))).cast("int").alias("blocks"))
-    guests = visits.join(blocks, ["h", "p"]).join(sets, "node").select(
+    blocks = durable(visits.groupBy("h", "p").agg(F.greatest(F.ceil(F.count("*") / VISITORS), F.ceil(F.sum("size") / (2 * CHUNK_SHINGLES))).cast("int").alias("blocks")), "blocks")
+    guests = sets.join(small_side(visits.join(blocks, ["h", "p"])), "node").select(
         F.col("h").alias("home"), F.col("p").alias("part"), F.expr("cast(pmod(xxhash64(node, 5), blocks) as int)").alias("block"), F.lit(1).alias("visits"), "node", "component", "grams")
-    hosts = placed.join(blocks, (F.col("home") == F.col("h")) & (F.col("part") == F.col("p"))).join(sets, "node").select(
+    hosts = sets.join(small_side(placed.join(blocks, (F.col("home") == F.col("h")) & (F.col("part") == F.col("p")))), "node").select(
         "home", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("visits"), "node", "component", "grams")
     return links.union(durable(_meetings(hosts.union(guests), alike, of), "links"))
 
@@ -312,15 +318,18 @@ def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", words: i
     not read; an empty table gives an empty one. Shingles are compared by 64-bit hashes, sets for equality by 128-bit ones.
     """
     prints = durable(_prints(docs, key, text, words, alike, of).withColumn("row", F.monotonically_increasing_id()), "prints")
-    classes = durable(prints.filter("size > 0").groupBy("digest").agg(F.min("key").alias("least"), F.min("row").alias("node"), F.max("size").alias("size")), "classes")
-    spread = prints.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), F.explode("keys").alias("bucket"))
+    classes = durable(prints.filter("size > 0").groupBy("digest").agg(F.min("key").alias("least"), F.min("row").alias("node"), F.max("size").alias("size"), F.count("*").alias("copies")), "classes")
+    # of equal sets the first row deals its keys
+    several = classes.filter("copies > 1").select("digest", "node")
+    copies = durable(prints.select("digest", "row").join(small_side(several), "digest").filter("row <> node").select("row"), "copies")
+    spread = prints.filter("size > 0").join(small_side(copies), "row", "left_anti").select(F.col("row").alias("node"), F.explode("keys").alias("bucket"))
     # counted and joined in one exchange, which both sides read; neither holds a bucket's rows at once
     spread = spread.repartition("bucket")
     full = spread.groupBy("bucket").agg(F.count("node").alias("n")).filter("n > 1")
     met = durable(spread.join(full.hint("merge"), "bucket"), "met")
     nodes = durable(classes.join(met.select("node").distinct(), "node", "left_semi"), "nodes")
     shared = durable(met.join(nodes.select("node", "size"), "node"), "shared")
-    sets = durable(_sets(docs, nodes, key, text, words), "sets")
+    sets = _sets(docs, nodes, key, text, words)
     found = components(_links(nodes, shared, sets, alike, of)).withColumnRenamed("node", "n")
     rooted = durable(classes.join(found, F.col("node") == F.col("n"), "left").select("digest", "least", F.coalesce("component", "node").alias("root")), "rooted")
     ids = durable(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
