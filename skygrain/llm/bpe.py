@@ -11,6 +11,7 @@ a long piece has its own tree.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.chunks import CACHE_ENTRIES, PATTERN, Vocabulary, Words, packed, parts, written
+from skygrain.llm.chunks import CACHE_ENTRIES, PATTERN, Vocabulary, Words, encode_column, packed, parts, written
 from skygrain.llm.common import ragged, slices
 
 _NONE = 1 << 62
@@ -49,6 +50,7 @@ class Codec:
         pairs = sorted((ids[a] << 32 | ids[b], rank) for (a, b), rank in first.items())
         self.pairs, self.pair_ranks = (np.array(c, np.int64) for c in zip(*pairs))
         self.merged_ids, self.symbols = np.array(self.merged, np.int64), np.array(self.byte_ids, np.int64)
+        self.decimal = [str(i).encode() for i in range(self.nothing)]
         self.pattern = regex.compile(PATTERN)
         self.pieces: dict[str, bytes] = {}
         self.words = Words(lambda part: self._join([self.pattern.findall(part)])[0])
@@ -207,6 +209,10 @@ class Codec:
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of a string column without nulls."""
+        return encode_column(texts, self.vocabulary.added, self._learn, self.words.__getitem__, self.encode_all)
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
@@ -241,7 +247,7 @@ def encode(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content.value)
         for batch in slices(batches):
-            ids = codec.encode_all(batch.column(1).to_pylist())
+            ids = codec.encode_column(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), ragged(ids, pa.int32())], ["key", "ids"])
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -271,6 +277,27 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", text: str = "deco
     return rows.mapInArrow(run, f"{fields}, `{text}` string")
 
 
+def digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, n_tokens, ids_sha256`` (of the decimal ids joined by commas) and ``decoded_sha256`` of every row's whole text.
+
+    Encodes and decodes like ``encode`` and ``decode``, with the same rules for odd rows, but only the digests leave the task.
+    """
+    content = _content(docs, vocabulary)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(content.value)
+        for batch in slices(batches):
+            found = codec.encode_column(batch.column(1))
+            decimal = [hashlib.sha256(b",".join(map(codec.decimal.__getitem__, ids.tolist()))).hexdigest() for ids in found]
+            decoded = [hashlib.sha256(codec.decode(ids).encode()).hexdigest() for ids in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, found), pa.int64()), pa.array(decimal), pa.array(decoded)],
+                                             ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+
+
 def id_list(ids: str = "ids") -> F.Column:
     """Decimal ids joined by commas."""
     return F.expr(f"replace(substr(cast({ids} as string), 2, length(cast({ids} as string)) - 2), ', ', ',')")

@@ -12,6 +12,8 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Entries a dictionary holds before it starts anew (about 20 MB; workers keep it between tasks).
 CACHE_ENTRIES = 100_000
@@ -21,6 +23,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # Begins a part that has no space before it; all others have one, but for those that begin with a line feed.
 BARE, LINE = "\0", "\n"
 _RUN = re.compile(r"\s\s|\0")
+# the same for Arrow, whose \s is that of ASCII only
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_RUN_IN_ARROW = rf"{_SPACE}{_SPACE}|\x00"
 
 
 def byte_letters() -> dict[str, int]:
@@ -68,6 +73,41 @@ def written(part: str) -> str:
     return part[1:] if part.startswith(BARE) else part if part.startswith(LINE) else " " + part
 
 
+def encode_column(
+    texts: pa.Array, added: Iterable[str], learn: Callable[[set[str]], None], word: Callable[[str], bytes], slow: Callable[[list[str]], list[np.ndarray]],
+) -> list[np.ndarray]:
+    """Ids of every text of a string column without nulls.
+
+    All texts are cut at once, every distinct part is looked up once (``learn`` sees them all first, ``word`` gives packed ids), and
+    the ids are gathered by number. Texts with runs of white space or added tokens go to ``slow``.
+    """
+    apart = pc.match_substring_regex(texts, _RUN_IN_ARROW)
+    for token in added:
+        apart = pc.or_(apart, pc.match_substring(texts, token))
+    mask = apart.to_numpy(zero_copy_only=False)
+    out: list[np.ndarray] = [np.empty(0, "<i4")] * len(texts)
+    others = np.flatnonzero(mask).tolist()
+    for i, ids in zip(others, slow([texts[i].as_py() for i in others]) if others else ()):
+        out[i] = ids
+    plain = np.flatnonzero(~mask)
+    if len(plain):
+        marked = pc.binary_join_element_wise(pa.scalar(BARE), pc.replace_substring(texts.filter(pc.invert(apart)), LINE, " " + LINE), "")
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        learn(set(distinct))
+        found = [word(p) for p in distinct]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, at = np.frombuffer(b"".join(found), "<i4"), coded.indices.to_numpy()
+        each = lengths[at]
+        ends = np.cumsum(each)
+        ids = flat[np.arange(ends[-1]) + np.repeat((np.cumsum(lengths) - lengths)[at] - (ends - each), each)]
+        last = ends[np.cumsum(cut.value_lengths().to_numpy()) - 1].tolist()  # a text has one part at least
+        for i, a, b in zip(plain.tolist(), [0, *last], last):
+            out[i] = ids[a:b]
+    return out
+
+
 def packed(ids: Iterable[int]) -> bytes:
     return np.fromiter(ids, "<i4").tobytes()
 

@@ -56,10 +56,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(VOCABULARY)
-    rows = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(bpe.id_list("ids").cast("binary"), 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skygrain.llm.chunks import BARE, CACHE_ENTRIES, LINE, Vocabulary, Words, byte_letters, packed, parts
+from skygrain.llm.chunks import BARE, CACHE_ENTRIES, LINE, Vocabulary, Words, byte_letters, encode_column, packed, parts
 from skygrain.llm.common import ragged, rows_for, slices
 
 #: Fixed value: the constant that masks a checksum.
@@ -87,7 +87,8 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.sections = Vocabulary(content).sections
+        vocabulary = Vocabulary(content)
+        self.sections, self.added = vocabulary.sections, vocabulary.added
         self.letters = {b: letter for letter, b in byte_letters().items()}
         self.words = Words(lambda text: packed(self._ids(text)), 2 * CACHE_ENTRIES)
         self.marks: dict[str, bytes] = {"": b""}
@@ -140,6 +141,11 @@ class LibraryEncoder:
         return out
 
 
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of a string column without nulls."""
+        return [ids.astype(np.uint32) for ids in encode_column(texts, self.added, self._learn, self.words.__getitem__, self.encode)]
+
+
 _encoders: dict[int, LibraryEncoder] = {}
 
 
@@ -181,7 +187,7 @@ def write(docs: DataFrame, root: str, vocabulary: str, key: str = "doc_id", text
     def frames(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         for batch in slices(batches):
-            ids = encoder.encode(batch.column(1).to_pylist())
+            ids = encoder.encode_column(batch.column(1))
             data = [frame(k, np.append(i, np.uint32(END_ID))) for k, i in zip(batch.column(0).to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["frame"])
 
