@@ -136,14 +136,16 @@ def alert_thresholds(spark, sf):
             .join(F.broadcast(A.thresholds(spark)), "severity"))  # four rows
 
 
+SPLIT_KEY = ["city", "timestamp", "event_id"]
+
+
 def random_split(spark, sf):
-    return feature_table.random_split(V.obs(spark, sf), ["city", "timestamp", "event_id"]).groupBy(
-        "split").agg(F.count(F.lit(1)).alias("n"))
+    """Four fifths of all rows by a hash of their key, exactly."""
+    return feature_table.random_split(V.obs(spark, sf), SPLIT_KEY).select("event_id", "split")
 
 
 def sample_rows(spark, sf):
-    return feature_table.sample_rows(V.obs(spark, sf), 100, ["city", "timestamp", "event_id"]).select(
-        "event_id", "city")
+    return feature_table.sample_rows(V.obs(spark, sf), 100, SPLIT_KEY).select("event_id", "city")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -176,7 +178,12 @@ HISTORY = f"""with ev as (select event_id, cast(ts as timestamp) as timestamp, e
   t as (select max(timestamp) as as_of from ev)"""
 COUNTS = ", ".join(f"count(*) filter (severity = '{s[0]}') as {s[0]}_count" for s in A.SEVERITIES)
 
+_HASHED = "md5(concat_ws('|', city, cast(epoch_us(timestamp) as varchar), cast(event_id as varchar), '42'))"
+
 ORACLES = {
+    "random_split": f"""with {V.OBS_SQL} select event_id, case when row_number() over (order by {_HASHED})
+        <= floor(count(*) over () * 0.8::double) then 'train' else 'test' end as split from obs""",
+    "sample_rows": f"with {V.OBS_SQL} select event_id, city from obs order by {_HASHED} limit 100",
     "payload_explode": f"""with {V.OBS_SQL}, p as (select * from obs where event_type <> 'error')
         select city, date_trunc('minute', timestamp) as timestamp, {', '.join(S.POLLUTANTS)} from p
         union all select city, date_trunc('minute', timestamp) + interval 1 hour,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 from itertools import combinations
 
@@ -10,11 +11,15 @@ from pyspark.sql import functions as F
 from skygrain.checks import views as V
 from skygrain.checks.features import CUT, OBS, W
 from skygrain.operators import profile as P
+from skygrain.operators import profile_state as PS
+from skygrain.operators import selection
 from skygrain.operators import series as T
 from skygrain.operators.ordered import GROUP_LIMIT
+from skygrain.operators.quantiles import quantiles
+from skygrain.session import scratch_root
 
 COLUMNS = [*V.MEASURES, "latitude", "longitude", "aqi"]
-SERIES = ["aqi", "pm10", "temperature_2m"]
+SERIES = ["aqi", *V.MEASURES]
 
 
 def _r(df, *columns, digits=6):
@@ -34,8 +39,8 @@ def latest_change(spark, sf):
     return T.latest_change(V.obs_aqi(spark, sf), "aqi", ["city"], V.ORDER)
 
 
-def hourly_resample_smooth(spark, sf):
-    series = T.hourly_series(V.obs_aqi(spark, sf), SERIES)
+def hourly_resample_smooth(spark, sf, segment="month"):
+    series = T.hourly_series(V.obs_aqi(spark, sf), SERIES, segment=segment)
     return _r(_r(series, *SERIES, digits=9), "aqi_smooth")
 
 
@@ -105,12 +110,57 @@ def histogram(spark, sf):
     return _r(P.histogram(V.obs(spark, sf), V.MEASURES), "bin_from", "bin_to")
 
 
+SHARES = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q72": 0.72, "q95": 0.95}
+
+
+def quantiles_special(spark, sf, limit=GROUP_LIMIT):
+    """Quantiles per city of values of which a third is infinite or no number."""
+    kind = F.col("event_id") % 9
+    v = (F.when(kind == 0, float("inf")).when(kind == 3, float("-inf")).when(kind == 6, float("nan")).otherwise(F.col("pm10")))
+    q = quantiles(V.obs(spark, sf).select("city", v.alias("v")), ["city"], "v", list(SHARES.values()), limit)
+    bounded = lambda c: F.when(~F.isnan(c), F.greatest(F.lit(-1e300), F.least(F.lit(1e300), c)))
+    return q.select("city", *[F.round(bounded(F.col("quantiles")[i]), 9).alias(n) for i, n in enumerate(SHARES)])
+
+
+def sorted_positions(spark, sf):
+    """The place of every row in the order by reading, highest first, and event."""
+    return selection.sorted_table(V.obs(spark, sf), [F.desc("pm10"), F.col("event_id")]).select("event_id", "pm10", "position")
+
+
+def _merged(spark, sf, source, columns):
+    """States of two halves of the months' rows: the first half, then all rows of the months that the second changes."""
+    df = source.withColumn(PS.PERIOD, F.date_format("timestamp", "yyyy-MM-dd"))  # short months: a day each
+    path = f"{scratch_root(spark)}/states-{uuid.uuid4().hex}"
+    first = df.filter("event_id % 3 <> 0 or timestamp < timestamp '2024-01-16'")
+    centre = PS.centres(first, columns)
+    PS.write_states(PS.states(first, columns, centre), path)
+    PS.write_states(PS.states(df.filter("timestamp >= timestamp '2024-01-16'"), columns, centre), path)
+    return PS.read_states(spark, path), centre
+
+
+def profile_merged(spark, sf):
+    """The distributions of all columns from stored states of days, half of them replaced by later ones."""
+    found, centre = _merged(spark, sf, V.obs_aqi(spark, sf), COLUMNS)
+    return _r(PS.distributions(found, centre), "mean", "std", "skewness", "kurtosis", "median", "p25", "p75", "p90", "p95")
+
+
+def corr_matrix_merged(spark, sf):
+    found, _ = _merged(spark, sf, V.obs_aqi(spark, sf), COLUMNS)
+    return _r(PS.correlation_matrix(found, COLUMNS), "correlation")
+
+
+def missing_merged(spark, sf):
+    found, _ = _merged(spark, sf, V.obs_null(spark, sf), V.MEASURES)
+    return _r(PS.missing_by_column(found), "percentage")
+
+
 QUERIES = {f.__name__: f for f in (
-    chrono_split, chrono_split_embargo, latest_change, hourly_resample_smooth, seasonality,
+    profile_merged, corr_matrix_merged, missing_merged, quantiles_special, sorted_positions, chrono_split, chrono_split_embargo, latest_change, hourly_resample_smooth, seasonality,
     daily_trend, last_week, analysis_period, overview, describe, distributions, outliers,
     outlier_counts, corr_matrix, strong_corr, top_corr, missing_data, missing_total, histogram)}
-CUTS = (chrono_split, describe, distributions, outliers, outlier_counts)
+CUTS = (quantiles_special, chrono_split, describe, distributions, outliers, outlier_counts)
 QUERIES |= {f"{f.__name__}_cut": partial(f, limit=CUT) for f in CUTS}
+QUERIES["hourly_resample_smooth_cut"] = partial(hourly_resample_smooth, segment="day")
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -197,7 +247,27 @@ OVERVIEW_ROWS = [("city", "string", "categorical"), ("timestamp", "timestamp", "
                      "carbon_monoxide_ppm")],
                  ("aqi", "int", "numeric")]
 
+def _special() -> str:
+    """Quantiles by rank: -Infinity, finite values, Infinity, NaN."""
+    def value(share: float) -> str:
+        at = f"({share!r}::double * (n - 1))"
+        pick = lambda f: f"max(case when rn = {f}({at}) then v end)"
+        low, high = pick("floor"), pick("ceil")
+        weighted = f"(ceil(any_value({at})) - any_value({at})) * {low} + (any_value({at}) - floor(any_value({at}))) * {high}"
+        return f"case when floor(any_value({at})) = ceil(any_value({at})) then {low} else {weighted} end"
+
+    shown = ", ".join(f"case when not isnan({n}) then round(greatest(-1e300, least(1e300, {n})), 9) end as {n}" for n in SHARES)
+    return f"""with {V.OBS_SQL}, s as (select city, case event_id % 9 when 0 then 'inf'::double when 3 then '-inf'::double
+        when 6 then 'nan'::double else pm10 end as v from obs),
+      r as (select *, row_number() over (partition by city order by v) - 1 as rn, count(*) over (partition by city) as n from s),
+      q as (select city, {', '.join(f'{value(x)} as {n}' for n, x in SHARES.items())} from r group by city)
+      select city, {shown} from q"""
+
+
 ORACLES = {
+    "quantiles_special": _special(),
+    "sorted_positions": f"""with {V.OBS_SQL} select event_id, pm10,
+        row_number() over (order by pm10 desc, event_id) - 1 as position from obs""",
     "chrono_split": f"""with {V.OBS_SQL} select event_id,
         case when pos < cut then 'train' else 'test' end as split from {SPLIT}""",
     "chrono_split_embargo": f"""with {V.OBS_SQL} select event_id,
@@ -260,4 +330,5 @@ ORACLES = {
           round(any_value(lo + least(floor(30 * (value - lo) / (hi - lo)) + 1, 30) * ((hi - lo) / 30)), 6) as bin_to,
           count(*) as n from r group by 1, 2""",
 }
-ORACLES |= {f"{f.__name__}_cut": ORACLES[f.__name__] for f in CUTS}
+ORACLES |= {"profile_merged": ORACLES["distributions"], "corr_matrix_merged": ORACLES["corr_matrix"], "missing_merged": ORACLES["missing_data"]}
+ORACLES |= {f"{f.__name__}_cut": ORACLES[f.__name__] for f in (*CUTS, hourly_resample_smooth)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from skygrain.operators import alerts as AL
 from skygrain.operators.ordered import ordered
 from skygrain.operators.touched import POSITION, touched_ranges
 from skygrain.plans import ingest, state
+from skygrain.plans.counts import Counts
 from skygrain.session import scratch_root
 from skygrain.sources import versioned
 
@@ -125,8 +127,20 @@ def snapshot(spark, sf):
     return state.snapshot_rows(current, predictions, models, counts)
 
 
+def run_counts(spark, sf):
+    """Rows and columns of the steps of a run, counted by the writes they have anyway."""
+    counts = Counts("check", datetime(2024, 2, 1))
+    batch = counts.durable(V.obs(spark, sf), "observations")
+    rows = counts.durable(_rows(spark, sf), "features")
+    counts.durable(rows.filter(state.COMPLETE), "complete")
+    counts.durable(batch.filter("event_type = 'error'").select("city", "event_id"), "errors")
+    counts.durable(batch.filter("event_id < 0"), "nothing")
+    counts.note("models", len(MODELS))
+    return counts.table(spark)
+
+
 QUERIES = {f.__name__: f for f in (
-    upsert_table, compacted_table, stale_buckets, update_touched_ranges, city_state, city_state_merged, alert_check, snapshot)}
+    run_counts, upsert_table, compacted_table, stale_buckets, update_touched_ranges, city_state, city_state_merged, alert_check, snapshot)}
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -157,7 +171,13 @@ _SPOILT = """b as (select * from r where ok qualify row_number() over (partition
 _FORECASTS = "f (horizon, wa, wb) as (values " + ", ".join(f"({h}, {a}::double, {b}::double)" for h, a, b in MODELS) + ")"
 _PREDICTED = 'case when s.inputs_at = s."at" then s.pm2_5 * f.wa + s.ozone * f.wb end'
 
+_STEPS = [("observations", "(select count(*) from obs)", 21), ("features", "(select count(*) from r)", 7), ("complete", "(select count(*) from r where ok)", 7),
+          ("errors", "(select count(*) from obs where event_type = 'error')", 2), ("nothing", "0", 21), ("models", str(len(MODELS)), 1)]
+
 ORACLES = {
+    "run_counts": f"{_ROWS} " + " union all ".join(
+        f"select 'r20240201T000000000000' as run_id, 'check' as job, '{step}' as step, cast({i} as int) as position, cast({n} as bigint) as rows, cast({c} as int) as columns"
+        for i, (step, n, c) in enumerate(_STEPS)),
     "upsert_table": _MERGED_ROWS,
     "compacted_table": _MERGED_ROWS,
     "stale_buckets": f"""{_MERGED} select strftime(timestamp, '%Y-%m') as event_month, cast(count(*) as bigint) as n,

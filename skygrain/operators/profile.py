@@ -167,7 +167,8 @@ def _pair_sums(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.sum(s).alias(s) for s in sums])
 
 
-def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def pair_correlations(sums: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``var1, var2, correlation`` from the sums of every pair ``i <= j``."""
     names = F.array(*[F.lit(c) for c in columns])
     n = F.nullif(F.col("n"), F.lit(0.0))
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
@@ -176,7 +177,7 @@ def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # what is left of a constant column is rounding noise
     varies = (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
     r = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / F.sqrt(vx) / F.sqrt(vy)))
-    return _pair_sums(df, columns).select(
+    return sums.select(
         names[F.col("i")].alias("var1"), names[F.col("j")].alias("var2"),
         F.when(varies, r).alias("correlation"))
 
@@ -187,12 +188,15 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A pair uses the rows where both values are present; a constant column
     correlates with nothing (NULL).
     """
-    return _correlations(df, columns).filter(F.col("var1") != F.col("var2"))
+    return pair_correlations(_pair_sums(df, columns), columns).filter(F.col("var1") != F.col("var2"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both triangles and the diagonal."""
-    half = _correlations(df, columns)
+    return matrix_of(pair_correlations(_pair_sums(df, columns), columns))
+
+
+def matrix_of(half: DataFrame) -> DataFrame:
     both = F.array(F.struct("var1", "var2"), F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2")))
     return half.select(F.explode(F.array_distinct(both)).alias("v"), "correlation").select(
         "v.var1", "v.var2", "correlation")

@@ -24,28 +24,41 @@ def quantiles(
     Groups up to ``limit`` rows use ``percentile``, which keeps all distinct values
     of a group in one task. A larger group is counted by value range first; the
     counts say which few ranges hold the wanted ranks, and only those are sorted.
+    Infinities and NaN (beyond them) are counted apart, so ranks that fall on them need no rows, however many there are.
     Missing values are left out. ``at_most`` is a known bound of a group's rows.
     """
     keys, shares = list(keys), [float(s) for s in shares]
-    rows = df.filter(F.col(value).isNotNull()).select(
+    every = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("_v"))
+    rows = every.filter(~F.isnan("_v") & (F.abs("_v") < float("inf")))
     slots = cut_large_groups(rows, keys, ["_v"], limit, at_most)
+    # a group with few finite values has few distinct ones
     in_one_task = F.percentile("_v", F.array(*[F.lit(s) for s in shares])).alias("quantiles")
     if slots is None:
-        return rows.groupBy(*keys).agg(in_one_task)
+        return every.groupBy(*keys).agg(in_one_task)
 
     large = slots.table.select(*keys).distinct()
     small = (
-        rows.alias("l").join(small_side(large).alias("r"), _same(keys), "left_anti")
+        every.alias("l").join(small_side(large).alias("r"), _same(keys), "left_anti")
         .groupBy(*keys).agg(in_one_task))
 
-    # both ranks around every wanted share, looked up in the running counts
-    at = F.col("_share") * (F.col(_SIZE) - 1)
-    wanted = (
-        slots.table.select(*keys, _SIZE).distinct()
-        .withColumn("_share", F.explode(F.array(*[F.lit(s) for s in shares])))
+    # in order: -Infinity, finite values, Infinity, NaN
+    counted = every.groupBy(*keys).agg(
+        F.count_if(F.col("_v") == float("-inf")).alias("_low_n"), F.count_if(F.col("_v") == float("inf")).alias("_high_n"),
+        F.count(F.lit(1)).alias("_all"))
+    sized = durable(
+        slots.table.select(*keys, _SIZE).distinct().alias("l").join(counted.alias("r"), _same(keys))
+        .select(*[F.col(f"l.{k}") for k in keys], F.col(f"l.{_SIZE}"), "r._low_n", "r._high_n", "r._all"), "sizes")
+    # both ranks around every wanted share; those of finite values are looked up in the running counts
+    at = F.col("_share") * (F.col("_all") - 1)
+    ranks = (
+        sized.withColumn("_share", F.explode(F.array(*[F.lit(s) for s in shares])))
         .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
-        .select(*keys, "_rank").distinct())
+        .select(*keys, (F.col("_rank") - F.col("_low_n")).alias("_rank"), _SIZE, "_low_n", "_high_n").distinct())
+    special = (F.when(F.col("_rank") < 0, float("-inf")).when(F.col("_rank") < F.col(_SIZE), None)
+               .when(F.col("_rank") < F.col(_SIZE) + F.col("_high_n"), float("inf")).otherwise(float("nan")))
+    wanted = ranks.filter((F.col("_rank") >= 0) & (F.col("_rank") < F.col(_SIZE))).select(*keys, "_rank")
+    beyond = ranks.filter((F.col("_rank") < 0) | (F.col("_rank") >= F.col(_SIZE))).select(*keys, "_rank", special.alias("_v"))
     held = durable(
         slots.table.alias("l").join(wanted.alias("r"), _same(keys))
         .filter((F.col("l._start") <= F.col("r._rank"))
@@ -53,8 +66,8 @@ def quantiles(
         .select(*[F.col(f"l.{k}") for k in keys], F.col(f"l.{_PATH}"), F.col("l._start"),
                 F.col("l._low"), F.col("l._high"), F.col("r._rank")),
         "ranks")
-    # a range of one repeated value needs no look at its rows; the outermost range also
-    # holds infinities and NaN, which slots do not tell apart
+    # a range of one repeated value needs no look at its rows; the outermost ranges also
+    # hold all values beyond 1e300, which slots do not tell apart
     flat = (F.col("_low") == F.col("_high")) & (F.abs("_low") < 1e300)
     known = held.filter(flat).select(*keys, "_rank", F.col("_low").alias("_v"))
     open_slots = held.filter(~flat)
@@ -71,16 +84,15 @@ def quantiles(
         .join(small_side(open_slots.select(*keys, "_rank")).alias("r"),
               _same(keys) & (F.col("l._rank") == F.col("r._rank")))
         .select(*[F.col(f"l.{k}") for k in keys], F.col("l._rank"), F.col("l._v")))
-    found = known.unionByName(looked_up)
+    found = known.unionByName(looked_up).unionByName(beyond)
 
     values = found.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
-    sized = slots.table.select(*keys, _SIZE).distinct()
 
     def interpolated(share: float):
-        position = F.lit(share) * (F.col(f"r.{_SIZE}") - 1)
+        position = F.lit(share) * (F.col("r._all") - 1)
         low, high = F.floor(position), F.ceil(position)
-        below, above = F.col("l._at")[low], F.col("l._at")[high]
+        below, above = F.col("l._at")[low - F.col("r._low_n")], F.col("l._at")[high - F.col("r._low_n")]
         return F.when(low == high, below).otherwise(
             (high - position) * below + (position - low) * above)
 

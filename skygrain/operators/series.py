@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skygrain import schema as S
 from skygrain.functions.numbers import pearson
 from skygrain.operators.ordered import GROUP_LIMIT, ordered
+from skygrain.session import durable, small_side
 
 
 def chronological_split(
@@ -106,46 +107,88 @@ def hourly_series(
     time: str = S.TIME,
     smooth: str | None = "aqi",
     smooth_rows: int = 6,
+    segment: str = "month",
 ) -> DataFrame:
     """Hourly means on a gap-free calendar, gaps filled along a straight line.
 
     Before the first and after the last value the nearest value is kept. ``smooth``
-    adds the mean of the last ``smooth_rows`` hours of one column. The windows run
-    over one row per hour between a key's ends, however many readings an hour has.
+    adds the mean of the last ``smooth_rows`` hours of one column, which must be fewer than a segment has.
+
+    The work is cut into segments of a key's calendar ("day", "month"), so neither a long key nor one absurd time is one task
+    or one array: each segment makes its own hours and knows its own first and last values. A second level, a row
+    for each segment, carries the nearest values over the borders. Rows without a time are left out.
     """
+    keys = list(keys)
     hour = F.date_trunc("hour", F.col(time).cast("timestamp"))
-    means = df.groupBy(*keys, hour.alias(time)).agg(
-        *[F.avg(c).alias(c) for c in columns])
-    ends = df.groupBy(*keys).agg(F.min(hour).alias("_from"), F.max(hour).alias("_to"))
-    calendar = ends.select(
-        *keys, F.explode(F.sequence("_from", "_to", F.expr("interval 1 hour"))).alias(time))
-    grid = calendar.join(means, [*keys, time], "left")
-
-    window = Window.partitionBy(*keys).orderBy(time)
-    before = window.rowsBetween(Window.unboundedPreceding, 0)
-    backwards = Window.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(
-        Window.unboundedPreceding, 0)
-    seconds = F.unix_timestamp(time)
-
-    def nearest(c: str, frame, side: str):
-        point = F.when(F.col(c).isNotNull(), F.struct(seconds.alias("t"), F.col(c).alias("v")))
-        return F.last(point, ignorenulls=True).over(frame).alias(f"_{side}_{c}")
+    means = df.filter(F.col(time).isNotNull()).groupBy(*keys, hour.alias(time)).agg(*[F.avg(c).alias(c) for c in columns])
+    means = durable(means.withColumn("_segment", F.date_trunc(segment, time)), "hours")
+    length, step = F.expr(f"interval 1 {segment}"), F.expr("interval 1 hour")
 
+    # per segment that has rows: its ends, and per column the first and last value with their times
+    seconds = F.unix_timestamp(time)
+    point = {c: F.when(F.col(c).isNotNull(), F.struct(seconds.alias("t"), F.col(c).alias("v"))) for c in columns}
+    states = durable(means.groupBy(*keys, "_segment").agg(
+        F.min(time).alias("_low"), F.max(time).alias("_high"),
+        *[F.min(p).alias(f"_f_{c}") for c, p in point.items()], *[F.max(p).alias(f"_l_{c}") for c, p in point.items()]), "states")
+    ends = durable(states.groupBy(*keys).agg(F.min("_low").alias("_from"), F.max("_high").alias("_to")), "ends")
+    every = ends.withColumn("_segment", F.explode(F.sequence(F.date_trunc(segment, "_from"), F.date_trunc(segment, "_to"), length)))
+    by_segment = Window.partitionBy(*keys)
+    before = by_segment.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    after = by_segment.orderBy(F.desc("_segment")).rowsBetween(Window.unboundedPreceding, -1)
+    first_hour, last_hour = F.greatest("_from", "_segment"), F.least("_to", F.col("_segment") + length - step)
+    borders = durable(every.join(states, [*keys, "_segment"], "left").select(
+        *keys, "_segment", F.col("_low").isNull().alias("_empty"), first_hour.alias("_start"), last_hour.alias("_end"),
+        *[F.last(f"_l_{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in columns],
+        *[F.last(f"_f_{c}", ignorenulls=True).over(after).alias(f"_a_{c}") for c in columns]), "borders")
+
+    # every row makes the hours up to the next one; the first and the last also those to the segment's ends
+    window = Window.partitionBy(*keys, "_segment").orderBy(time)
+    previous, following = F.lag(time).over(window), F.lead(time).over(window)
+    placed = means.join(small_side(borders.select(*keys, "_segment", "_start", "_end")), [*keys, "_segment"]).repartition(*keys, "_segment")
+    spans = placed.withColumns({"_p": previous, "_n": following})
+    begin = F.when(F.col("_p").isNull(), F.col("_start")).otherwise(F.col(time))
+    finish = F.when(F.col("_n").isNull(), F.col("_end")).otherwise(F.col("_n") - step)
+    hours = F.explode(F.sequence(begin, finish, step)).alias("_h")
+    own = F.col("_h") == F.col(time)
+    grid = spans.select(*keys, "_segment", time, *columns, hours).select(
+        *keys, "_segment", F.col("_h").alias(time), *[F.when(own, F.col(c)).alias(c) for c in columns])
+    # known so far in the segment, from either side
+    seen = window.rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy(*keys, "_segment").orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     known = grid.select(
-        "*", *[nearest(c, before, "l") for c in columns],
-        *[nearest(c, backwards, "r") for c in columns])
+        "*", *[F.last(p, ignorenulls=True).over(seen).alias(f"_l_{c}") for c, p in point.items()],
+        *[F.last(p, ignorenulls=True).over(back).alias(f"_r_{c}") for c, p in point.items()])
+    nothing = borders.filter("_empty").select(*keys, "_segment", F.explode(F.sequence("_start", "_end", step)).alias(time))
+    nothing = nothing.select("*", *[F.lit(None).cast(known.schema[n].dataType).alias(n) for n in known.columns[len(keys) + 2:]])
 
     def filled(c: str):
-        left, right = F.col(f"_l_{c}"), F.col(f"_r_{c}")
+        left, right = F.coalesce(f"_l_{c}", f"_b_{c}"), F.coalesce(f"_r_{c}", f"_a_{c}")
         line = left.v + (right.v - left.v) * (seconds - left.t) / (right.t - left.t)
         return F.coalesce(
             F.col(c), F.when(left.isNotNull() & right.isNotNull(), line), left.v, right.v).alias(c)
 
-    series = known.select(*keys, time, *[filled(c) for c in columns])
-    if smooth in columns:
-        frame = window.rowsBetween(1 - smooth_rows, 0)
-        series = series.withColumn(f"{smooth}_smooth", F.avg(smooth).over(frame))
-    return series
+    carried = small_side(borders.select(*keys, "_segment", *[f"_{side}_{c}" for side in "ba" for c in columns]))
+    series = known.unionByName(nothing).join(carried, [*keys, "_segment"]).select(*keys, "_segment", time, *[filled(c) for c in columns])
+    if smooth not in columns:
+        return series.drop("_segment")
+    return _smoothed(durable(series, "series"), keys, time, smooth, smooth_rows, length).drop("_segment")
+
+
+def _smoothed(series: DataFrame, keys: Sequence[str], time: str, column: str, rows: int, length) -> DataFrame:
+    """Add the mean of the last ``rows`` hours; the last hours of each segment are handed to the next one."""
+    window = Window.partitionBy(*keys, "_segment").orderBy(time)
+    late = F.unix_timestamp(time) > F.unix_timestamp(F.col("_segment") + length) - 3600 * rows
+    tails = series.filter(late).groupBy(*keys, (F.col("_segment") + length).alias("_segment")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct(time, column))), lambda p: p[column].cast("double")).alias("_tail"))  # fewer than ``rows``
+    frame = window.rowsBetween(1 - rows, 0)
+    here = series.withColumns({"_i": F.row_number().over(window), "_sum": F.sum(column).over(frame), "_n": F.count(column).over(frame)})
+    joined = here.join(small_side(tails), [*keys, "_segment"], "left")
+    missing = F.greatest(F.lit(0), F.lit(rows) - F.col("_i"))
+    tail = F.coalesce("_tail", F.array().cast("array<double>"))
+    taken = F.filter(F.when(missing >= F.size(tail), tail).otherwise(F.slice(tail, F.size(tail) - missing + 1, missing)), lambda v: v.isNotNull())
+    total = F.coalesce("_sum", F.lit(0.0)) + F.aggregate(taken, F.lit(0.0), lambda a, v: a + v)
+    count = F.col("_n") + F.size(taken)
+    return joined.withColumn(f"{column}_smooth", F.when(count > 0, total / count)).drop("_i", "_sum", "_n", "_tail")
 
 
 def daily_means(

@@ -14,6 +14,7 @@ from skygrain.operators.features import engineer
 from skygrain.operators.ordered import GROUP_LIMIT, ordered
 from skygrain.operators.touched import POSITION, pieces, rows_of, touched_ranges
 from skygrain.plans import state
+from skygrain.plans.counts import Counts, written
 from skygrain.plans.store import Store
 from skygrain.session import durable, small_side
 from skygrain.sources import versioned
@@ -49,15 +50,15 @@ def feature_rows(
     return features.withColumn(COMPLETE, _complete(features.drop(*besides)))
 
 
-def write_observations(spark: SparkSession, store: Store, batch: DataFrame, as_of: datetime) -> None:
+def write_observations(spark: SparkSession, store: Store, batch: DataFrame, as_of: datetime, counts: Counts | None = None) -> None:
     """Upsert observations and count the rows of their cities' months anew."""
-    batch = durable(batch, "observations")
+    batch = written(counts, batch, "observations")
     upsert(spark, store.observations, batch.withColumn(INGESTED, F.lit(as_of).cast("timestamp")))
-    written = durable(batch.select(*S.KEYS, _month(F.col(S.TIME)).alias(MONTH)).distinct(), "months")
-    months = [r[0] for r in written.select(MONTH).distinct().collect()]  # a calendar's worth
+    touched_months = durable(batch.select(*S.KEYS, _month(F.col(S.TIME)).alias(MONTH)).distinct(), "months")
+    months = [r[0] for r in touched_months.select(MONTH).distinct().collect()]  # a calendar's worth
     rows = read_table(spark, store.observations, months).select(*S.KEYS, MONTH)
-    counts = rows.join(small_side(written), [*S.KEYS, MONTH], "left_semi").groupBy(*S.KEYS, MONTH).agg(F.count(F.lit(1)).alias("rows"))
-    versioned.append(spark, store.row_index, counts.withColumnRenamed(MONTH, "month"), INDEX_KEY)
+    sizes = rows.join(small_side(touched_months), [*S.KEYS, MONTH], "left_semi").groupBy(*S.KEYS, MONTH).agg(F.count(F.lit(1)).alias("rows"))
+    versioned.append(spark, store.row_index, sizes.withColumnRenamed(MONTH, "month"), INDEX_KEY)
 
 
 def _month(time: Column) -> Column:
@@ -83,15 +84,15 @@ def read_features(spark: SparkSession, store: Store) -> DataFrame:
     return read_table(spark, store.features).filter(F.col(COMPLETE)).drop(INGESTED, MONTH, COMPLETE)
 
 
-def _store_features(spark: SparkSession, store: Store, rows: DataFrame, as_of: datetime) -> None:
-    stamped = durable(rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")), "features")
+def _store_features(spark: SparkSession, store: Store, rows: DataFrame, as_of: datetime, counts: Counts | None) -> None:
+    stamped = written(counts, rows.withColumn(INGESTED, F.lit(as_of).cast("timestamp")), "features")
     upsert(spark, store.features, stamped, unique=True)
     state.merge(spark, store, stamped.drop(INGESTED))
 
 
-def build_features(spark: SparkSession, store: Store, as_of: datetime, limit: int = GROUP_LIMIT) -> None:
+def build_features(spark: SparkSession, store: Store, as_of: datetime, limit: int = GROUP_LIMIT, counts: Counts | None = None) -> None:
     """All features from all observations."""
-    _store_features(spark, store, feature_rows(read_observations(spark, store), limit), as_of)
+    _store_features(spark, store, feature_rows(read_observations(spark, store), limit), as_of, counts)
 
 
 @dataclass(frozen=True)
@@ -131,14 +132,14 @@ def touched(spark: SparkSession, store: Store, changed: DataFrame, limit: int =
 
 
 def update_features(
-    spark: SparkSession, store: Store, changed: DataFrame, as_of: datetime, limit: int = GROUP_LIMIT
+    spark: SparkSession, store: Store, changed: DataFrame, as_of: datetime, limit: int = GROUP_LIMIT, counts: Counts | None = None
 ) -> None:
     """Recompute the features that new or changed observations can alter; the result equals a full build.
 
     Work and reading follow the number of changes: see ``touched``.
     """
     if not versioned.exists(spark, store.features):
-        build_features(spark, store, as_of, limit)
+        build_features(spark, store, as_of, limit, counts)
         return
     if changed.isEmpty():
         return
@@ -147,4 +148,4 @@ def update_features(
     rows = durable(rows_of(_numbered(spark, store, t.months, None, limit), cut, S.KEYS), "rows")
     helpers = ["_piece", "_emit"]
     found = feature_rows(rows, limit, [*S.KEYS, "_piece"], helpers)
-    _store_features(spark, store, found.filter("_emit").drop(*helpers), as_of)
+    _store_features(spark, store, found.filter("_emit").drop(*helpers), as_of, counts)

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skygrain.functions.index import with_aqi
 from skygrain.plans import ingest, report, serving, training
+from skygrain.plans.counts import Counts
 from skygrain.plans.store import Store, day_range
-from skygrain.session import durable, tune
+from skygrain.session import tune
 from skygrain.sources import payload
 
 
-def _fetch(spark, air_path, weather_path, locations, span, modified_after=None) -> DataFrame:
-    return durable(payload.observations(
+def _fetch(counts, spark, air_path, weather_path, locations, span, modified_after=None) -> DataFrame:
+    return counts.durable(payload.observations(
         spark, air_path, weather_path, locations, *span, modified_after), "batch")
 
 
@@ -27,16 +28,18 @@ def setup(
     False if there are no observations in the range.
     """
     tune(spark)
+    counts = Counts("setup", as_of)
     span = day_range(start, end, as_of, 365)
-    batch = _fetch(spark, air_path, weather_path, locations, span)
+    batch = _fetch(counts, spark, air_path, weather_path, locations, span)
     if batch.isEmpty():
         return False
     report.write_report(spark, store, with_aqi(batch), "initial_setup", as_of)
-    ingest.write_observations(spark, store, batch, as_of)
-    ingest.build_features(spark, store, as_of)
-    training.train(spark, store, as_of)
-    serving.alert_check(spark, store, as_of)
+    ingest.write_observations(spark, store, batch, as_of, counts)
+    ingest.build_features(spark, store, as_of, counts=counts)
+    training.train(spark, store, as_of, counts=counts)
+    serving.alert_check(spark, store, as_of, counts=counts)
     serving.explain(spark, store, as_of)
+    counts.write(spark, store)
     return True
 
 
@@ -50,15 +53,17 @@ def update(
     ``modified_after`` limits the landed files that are opened.
     """
     tune(spark)
+    counts = Counts("update", as_of)
     span = day_range(start, end, as_of, 1)
-    batch = _fetch(spark, air_path, weather_path, locations, span, modified_after)
+    batch = _fetch(counts, spark, air_path, weather_path, locations, span, modified_after)
     if batch.isEmpty():
         return True
     report.write_report(spark, store, with_aqi(batch), "daily_update", as_of)
-    ingest.write_observations(spark, store, batch, as_of)
-    ingest.update_features(spark, store, batch, as_of)
-    training.train(spark, store, as_of, update_type="daily")
-    serving.alert_check(spark, store, as_of)
+    ingest.write_observations(spark, store, batch, as_of, counts)
+    ingest.update_features(spark, store, batch, as_of, counts=counts)
+    training.train(spark, store, as_of, update_type="daily", counts=counts)
+    serving.alert_check(spark, store, as_of, counts=counts)
+    counts.write(spark, store)
     return True
 
 

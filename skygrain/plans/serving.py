@@ -13,6 +13,7 @@ from skygrain.operators import alerts as AL
 from skygrain.operators import attribution as X
 from skygrain.operators import forecast as FC
 from skygrain.plans import state
+from skygrain.plans.counts import Counts, written
 from skygrain.plans.ingest import read_features, row_index
 from skygrain.plans.store import Store
 from skygrain.session import durable
@@ -44,7 +45,7 @@ def forecast_latest(
 
 
 def alert_check(
-    spark: SparkSession, store: Store, as_of: datetime, active_days: int | None = None
+    spark: SparkSession, store: Store, as_of: datetime, active_days: int | None = None, counts: Counts | None = None
 ) -> tuple[DataFrame, DataFrame] | None:
     """Check current and predicted values, store the new alerts, and sum up 24 hours.
 
@@ -58,7 +59,7 @@ def alert_check(
     since = as_of - timedelta(hours=SUMMARY_HOURS)
     history = read_alerts(spark, store, since=since)
     found = AL.build_alerts(state.check_values(current, predictions, models, F.lit(as_of).cast("timestamp")))
-    fresh = durable(AL.new_alerts(found, history, as_of), "alerts").select(*history.columns)
+    fresh = written(counts, AL.new_alerts(found, history, as_of), "alerts").select(*history.columns)
     fresh.withColumn("alert_day", F.to_date("timestamp")).write.mode("append").partitionBy(
         "alert_day").parquet(store.alerts)
     summary = AL.alert_summary(read_alerts(spark, store, since=since), as_of, SUMMARY_HOURS, S.KEYS)

@@ -46,6 +46,11 @@ class Store:
     def reports(self) -> str:
         return f"{self.root}/reports"
 
+    @property
+    def runs(self) -> str:
+        """What each step of each run handed on."""
+        return f"{self.root}/runs"
+
     @property
     def attributions(self) -> str:
         return f"{self.root}/attributions"

@@ -12,16 +12,16 @@ from skygrain import schema as S
 from skygrain.operators import forecast as FC
 from skygrain.operators import metrics as M
 from skygrain.operators.series import newest
+from skygrain.plans.counts import Counts, written
 from skygrain.plans.ingest import read_features
 from skygrain.plans.store import Store
-from skygrain.session import durable
 from skygrain.sources import registry
 
 
 def train(
     spark: SparkSession, store: Store, as_of: datetime, update_type: str | None = None,
     algorithms: Sequence[str] = FC.ALGORITHMS, horizons: Sequence[int] = S.HORIZONS,
-    limit: int | None = None, embargo: int = 0,
+    limit: int | None = None, embargo: int = 0, counts: Counts | None = None,
 ) -> DataFrame | None:
     """Fit all models, store them with their test metrics, and return the metrics.
 
@@ -33,7 +33,9 @@ def train(
     if training is None:
         return None
     fitted = FC.fit(training, algorithms)
-    metrics = durable(FC.evaluate(fitted, training), "metrics")
+    metrics = written(counts, FC.evaluate(fitted, training), "metrics")
+    if counts is not None:
+        counts.note("models", len(fitted), len(training.features))
     test = metrics.filter("split = 'test'")
     version = registry.run_stamp(as_of)
     by_model = {(r.algorithm, r.horizon): (r.mse, r.mae, r.r2) for r in test.collect()}  # one per model

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skygrain import schema as S
+from skygrain.operators import selection
 from skygrain.operators.features import feature_columns
 from skygrain.operators.series import newest
 from skygrain.sources import versioned
@@ -68,15 +69,13 @@ def read_newest(
 def random_split(
     df: DataFrame, keys: Sequence[str] = PRIMARY_KEY, share: float = S.TRAIN_SHARE, seed: int = 42
 ) -> DataFrame:
-    """Add ``split`` by a hash of the key: the same rows whatever the partitioning."""
-    bucket = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10_000))
-    return df.withColumn(
-        "split", F.when(bucket < round(share * 10_000), "train").otherwise("test"))
+    """Add ``split`` by a hash of the key: the same rows whatever the partitioning, and exactly ``floor(n * share)`` of them."""
+    return selection.random_split(df, keys, share, seed)
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str] = PRIMARY_KEY, seed: int = 42) -> DataFrame:
     """``n`` rows picked by a hash of the key, the same on every run."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    return selection.sample_rows(df, n, keys, seed)
 
 
 def training_frame(features: DataFrame) -> tuple[DataFrame, list[str]]:

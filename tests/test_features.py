@@ -115,6 +115,24 @@ def test_hourly_gaps_equal_pandas(spark):
         np.testing.assert_allclose(mine["aqi_smooth"], s.rolling(6, min_periods=1).mean().to_numpy())
 
 
+@pytest.mark.parametrize("segment", ["day", "month"])
+def test_segments_carry_values_over_gaps(spark, segment):
+    """Gaps longer than segments, a column without any value, and one absurd time: the same as one series per city."""
+    rows = [("A", 0, 1.0, None), ("A", 30, None, None), ("A", 31, 7.0, None), ("A", 24 * 75, 3.0, None), ("A", 24 * 75 + 4, None, None), ("B", 23, None, None), ("B", 25, 2.0, None),
+            ("C", 5, 4.0, 1.0)] + [("D", h, float(h % 7), float(h)) for h in range(700, 800, 3)] + [("D", 24 * 365 * 3, 9.0, None)]
+    df = spark.createDataFrame(rows, "city string, h int, aqi double, x double").select(
+        "city", F.timestamp_seconds(F.col("h") * 3600 + 600).alias("timestamp"), "aqi", "x").repartition(5)
+    df = df.union(spark.createDataFrame([("A", None, 5.0, 5.0)], df.schema))
+    got = T.hourly_series(df, ["aqi", "x"], segment=segment).orderBy("city", "timestamp").toPandas()
+    for city, g in pd.DataFrame(rows, columns=["city", "h", "aqi", "x"]).groupby("city"):
+        mine = got[got.city == city]
+        for c in ("aqi", "x"):
+            s = g.set_index("h")[c].reindex(range(g.h.min(), g.h.max() + 1)).astype(float).interpolate(limit_direction="both")
+            np.testing.assert_allclose(mine[c].astype(float), s.to_numpy())
+            if c == "aqi":
+                np.testing.assert_allclose(mine["aqi_smooth"].astype(float), s.rolling(6, min_periods=1).mean().to_numpy(), atol=1e-9)
+
+
 def test_profile_is_the_same_when_cut(spark, obs):
     columns = ["pm10", "pm2_5", "ozone", "latitude"]
     for build in (P.describe, P.distributions):
