@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
@@ -16,6 +17,7 @@ from skygrain.operators import metrics as M
 from skygrain.operators import series as T
 from skygrain.operators.gram import gram
 from skygrain.operators.ordered import ordered
+from skygrain.plans import model_report as MR
 from skygrain.session import durable, scratch_root
 from skygrain.sources import feature_table
 
@@ -145,6 +147,64 @@ def row_explanation(spark, sf):
                     text(F.col("feature_values")).alias("feature_values"))
 
 
+def row_explanation_parts(spark, sf):
+    """The same rows with contribution and value of every feature."""
+    newest = V.obs(spark, sf).groupBy("city").agg(F.max("event_id").alias("event_id")).select("event_id")
+    picked = _linear(spark, sf).join(newest, "event_id", "left_semi")
+    scores = picked.groupBy("event_id", "model", "horizon").agg(F.sum("contribution").alias("prediction"))
+    e = X.explanation(picked, scores, ["event_id"])
+    rows = e.select("event_id", "model", "horizon", "feature_values", F.explode("feature_contributions").alias("feature", "contribution"))
+    return _round(rows.select("event_id", "model", "horizon", "feature", "contribution", F.col("feature_values")[F.col("feature")].alias("value")), "contribution")
+
+
+TREE_FEATURES = ("pm2_5", "ozone", "wind_direction_10m")
+# Hand-made trees of a root and one inner node: root feature and threshold, inner feature and threshold, then value and
+# training rows of the root's left leaf and of the inner node's two.
+TREES = [("pm2_5", 40.0, "ozone", 90.0, (10.0, 30.0), (60.0, 50.0), (150.0, 20.0)),
+         ("ozone", 120.0, "wind_direction_10m", 180.0, (25.0, 64.0), (80.0, 8.0), (220.0, 8.0))]
+
+
+def _forest(horizon: int) -> pd.DataFrame:
+    """The nodes of the trees as a saved forest has them; a later horizon has larger values."""
+    rows = []
+    for tree, (f, t, g, u, a, b, c) in enumerate(TREES):
+        leaf = lambda i, v: (tree, i, v[0] * horizon, v[1], -1, -1, -1, float("nan"))
+        inner = (b[0] * b[1] + c[0] * c[1]) / (b[1] + c[1]) * horizon
+        rows += [(tree, 0, 0.0, a[1] + b[1] + c[1], 1, 2, TREE_FEATURES.index(f), t), leaf(1, a),
+                 (tree, 2, inner, b[1] + c[1], 3, 4, TREE_FEATURES.index(g), u), leaf(3, b), leaf(4, c)]
+    return pd.DataFrame(rows, columns=["tree", "id", "value", "cover", "left", "right", "feature", "threshold"])
+
+
+def tree_contributions_fixed(spark, sf):
+    """Shapley values of every row under a hand-made forest for each of the six horizons."""
+    rows = FC.assemble(V.obs(spark, sf), TREE_FEATURES)
+    boxes = {h: X.leaf_boxes(_forest(h)) for h in S.HORIZONS}
+    parts = X.tree_contributions(rows, boxes, TREE_FEATURES, ["event_id"])
+    return _round(parts.select("event_id", "horizon", "feature", "value", "contribution", "base"), "contribution", "base")
+
+
+def single_horizon_ridge(spark, sf):
+    """The single-horizon ridge on three readings, on an exact random split."""
+    rows = FE.engineer(V.obs(spark, sf), ["city"], V.ORDER).select("city", "timestamp", "event_id", *GRAM_FEATURES, S.TARGET).na.drop("any")
+    split = feature_table.random_split(rows, ["city", "timestamp", "event_id"])
+    _, metrics = FC.fit_single(rows, split, GRAM_FEATURES, ["ridge_regression"])
+    return _round(metrics, "mse", "mae", "r2")
+
+
+def metric_report(spark, sf):
+    """The best models by the newest of two runs' records; the first run was better and is history."""
+    records = _stored(spark, sf)
+    return MR.metric_sections(records)["best_model"]
+
+
+def _stored(spark, sf):
+    metrics = M.regression_metrics(_naive(spark, sf), ["algorithm", "horizon"])
+    rounded = _round(metrics, "mse", "mae", "r2")
+    first = M.metric_records(rounded.withColumn("mae", F.lit(0.0)), F.lit("2024-01-01T00:00:00"), F.lit("none"))
+    return first.unionByName(M.metric_records(rounded, F.lit("2024-01-02T00:00:00"), F.lit("none"))).withColumn(
+        "model_name", F.concat("model_name", F.lit("_h"), "horizon"))
+
+
 # --- fitted models: no SQL twin ------------------------------------------------------
 
 def _training(spark, sf):
@@ -222,7 +282,7 @@ def tree_attribution(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     naive_forecast_metrics, summary_by_model, representative_metrics, best_model, model_ranking, comparison_table, horizon_rollup,
-    latest_per_algorithm, linear_attribution, importance_topk, row_explanation, ridge_gram, ridge_predictions, ridge_forecast,
+    latest_per_algorithm, linear_attribution, importance_topk, row_explanation, row_explanation_parts, tree_contributions_fixed, single_horizon_ridge, metric_report, ridge_gram, ridge_predictions, ridge_forecast,
     forest_forecast, single_horizon_forecast, forest_importance, tree_attribution)}
 
 
@@ -297,7 +357,42 @@ def _by_horizon(source: str, more: str = "") -> str:
     return " union all ".join(f"select {h} as horizon, a, b, c, h{h}::double as y{more} from {source}" for h in S.HORIZONS)
 
 
+def _tree_sql() -> str:
+    """Path-dependent Shapley values of each tree by its two features' four sets, averaged over the trees."""
+    parts = []
+    for f, t, g, u, a, b, c in TREES:
+        total, inner = a[1] + b[1] + c[1], b[1] + c[1]
+        mean = (b[0] * b[1] + c[0] * c[1]) / inner
+        lower, none = f"case when {g} <= {u} then {b[0]} else {c[0]} end::double", (a[0] * a[1] + inner * mean) / total
+        vf = f"case when {f} <= {t} then {a[0]} else {mean!r} end::double"
+        vg = f"(({a[0]} * {a[1]} + {inner} * ({lower})) / {total})"
+        both = f"case when {f} <= {t} then {a[0]} else {lower} end::double"
+        parts += [f"select event_id, '{f}' as feature, (({vf} - {none!r}) + ({both} - {vg})) / 2 as phi, {none!r}::double as base from obs",
+                  f"select event_id, '{g}', (({vg} - {none!r}) + ({both} - {vf})) / 2, 0::double from obs"]
+    zero = [f"select event_id, '{c}', 0::double, 0::double from obs" for c in TREE_FEATURES]
+    value = "case feature " + " ".join(f"when '{c}' then {c}" for c in TREE_FEATURES) + " end"
+    return f"""with {V.OBS_SQL}, p as ({' union all '.join([*parts, *zero])}),
+      s as (select event_id, feature, sum(phi) / {len(TREES)} as phi from p group by 1, 2),
+      b as (select event_id, sum(base) / {len(TREES)} as base from p group by 1),
+      h (horizon) as (values {', '.join(f'({h})' for h in S.HORIZONS)})
+      select s.event_id, cast(horizon as int) as horizon, feature, {value} as value, round(phi * horizon, 6) as contribution, round(base * horizon, 6) as base
+      from s join b using (event_id) join obs using (event_id), h"""
+
+
 ORACLES = {
+    "tree_contributions_fixed": _tree_sql(),
+    "single_horizon_ridge": f"""{OBS}, t as (select *, h6::double as y, case when row_number() over (order by
+          md5(concat_ws('|', city, cast(epoch_us(timestamp) as varchar), cast(event_id as varchar), '42'))) <= floor(count(*) over () * 0.8::double) then 'train' else 'test' end as split
+          from (select *, {_ABC}, lead(aqi, 6) over ({W}) as h6 from o) where h6 is not null),
+        {_ridge_sql("select 6 as horizon, a, b, c, y from t where split = 'train'")},
+        f as (select 'ridge_regression' as algorithm, cast(6 as int) as horizon, split, y, least(500, greatest(0, w.i + w.wa * a + w.wb * b + w.wc * c)) as p from t, w)
+        {_metrics('algorithm, horizon, split')}""",
+    "metric_report": f"""{NAIVE_SQL}, m as ({_metrics('algorithm, horizon')}),
+        r as (select concat('multi_output_', algorithm, '_h', horizon) as model_name, mae, r2 from m)
+        select count(*) as total_models, arg_min(model_name, (mae, model_name)) as best_mae_model, min(mae) as best_mae,
+          arg_min(model_name, (-r2, model_name)) as best_r2_model, max(r2) as best_r2 from r""",
+    "row_explanation_parts": f"""{LINEAR_SQL}, k as (select max(event_id) as event_id from obs group by city)
+        select event_id, model, horizon, feature, round(contribution, 6) as contribution, value from c join k using (event_id)""",
     "ridge_gram": f"""{OBS}, t as (select * from (select {_ABC}, {_LEADS} from o) where {_ALL_LEADS}),
         {_ridge_sql(_by_horizon('t'))}
         select horizon, n, feature, round(coefficient, 6) as coefficient, round(i, 6) as intercept from (

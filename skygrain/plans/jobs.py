@@ -6,12 +6,17 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skygrain import schema as S
 from skygrain.functions.index import with_aqi
-from skygrain.plans import ingest, report, serving, training
+from skygrain.operators import forecast as FC
+from skygrain.operators import metrics as M
+from skygrain.operators.alerts import RETAINED
+from skygrain.plans import ingest, model_report, report, serving, training
 from skygrain.plans.counts import Counts
 from skygrain.plans.store import Store, day_range
 from skygrain.session import tune
-from skygrain.sources import payload
+from skygrain.sources import payload, versioned
+from skygrain.sources.feature_table import PRIMARY_KEY, random_split, training_frame
 
 
 def _fetch(counts, spark, air_path, weather_path, locations, span, modified_after=None) -> DataFrame:
@@ -37,6 +42,7 @@ def setup(
     ingest.write_observations(spark, store, batch, as_of, counts)
     ingest.build_features(spark, store, as_of, counts=counts)
     training.train(spark, store, as_of, counts=counts)
+    model_report.write_metric_report(spark, store, as_of)
     serving.alert_check(spark, store, as_of, counts=counts)
     serving.explain(spark, store, as_of)
     counts.write(spark, store)
@@ -62,6 +68,7 @@ def update(
     ingest.write_observations(spark, store, batch, as_of, counts)
     ingest.update_features(spark, store, batch, as_of, counts=counts)
     training.train(spark, store, as_of, update_type="daily", counts=counts)
+    model_report.write_metric_report(spark, store, as_of)
     serving.alert_check(spark, store, as_of, counts=counts)
     counts.write(spark, store)
     return True
@@ -73,3 +80,29 @@ def alerts(spark: SparkSession, store: Store, as_of: datetime):
 
 def interpretability(spark: SparkSession, store: Store, as_of: datetime):
     return serving.explain(tune(spark), store, as_of)
+
+
+def retention(spark: SparkSession, store: Store, alerts_kept: int = RETAINED, stale_share: float = 0.2) -> dict[str, int]:
+    """Keep the newest alerts of each city, compact the tables and delete the files that no read needs; to be run alone.
+
+    Returns the number of buckets compacted per table.
+    """
+    tune(spark)
+    serving.trim_alerts(spark, store, alerts_kept)
+    done = {}
+    for name, path, keys in (("observations", store.observations, PRIMARY_KEY), ("features", store.features, PRIMARY_KEY),
+                             ("row_index", store.row_index, ingest.INDEX_KEY), ("state", store.state, S.KEYS)):
+        if versioned.exists(spark, path):
+            done[name] = versioned.compact(spark, path, keys, stale_share)
+            versioned.vacuum(spark, path)
+    return done
+
+
+def single_horizon(spark: SparkSession, store: Store, algorithms=FC.ALGORITHMS) -> DataFrame | None:
+    """Train the single-horizon forecaster on the stored features, all algorithms; its train and test metrics side by side."""
+    tune(spark)
+    rows, columns = training_frame(ingest.read_features(spark, store))
+    if rows.limit(FC.LEAST_ROWS).count() < FC.LEAST_ROWS:
+        return None
+    _, metrics = FC.fit_single(rows, random_split(rows), columns, algorithms)
+    return M.summary_by_model(metrics)

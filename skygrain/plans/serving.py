@@ -15,6 +15,7 @@ from skygrain.operators import forecast as FC
 from skygrain.plans import state
 from skygrain.plans.counts import Counts, written
 from skygrain.plans.ingest import read_features, row_index
+from skygrain.plans.model_report import attribution_summary
 from skygrain.plans.store import Store
 from skygrain.session import durable
 from skygrain.sources import registry, versioned
@@ -102,7 +103,7 @@ def explain(
 ) -> DataFrame | None:
     """Attribute the test forecasts of every registered model to its features.
 
-    All test rows are explained; ``sample`` asks for so many, picked by hash. Importances and the ten strongest features are stored.
+    All test rows are explained; ``sample`` asks for so many, picked by hash. Importances, the ten strongest features and a summary of the run are stored.
     """
     models = registry.load_models(spark, store.models)
     if not models:
@@ -127,8 +128,10 @@ def explain(
     contributions = parts[0]
     for part in parts[1:]:
         contributions = contributions.unionByName(part)
+    contributions = durable(contributions, "contributions")
     importance = durable(X.importance(contributions), "importance")
     run_id = registry.run_stamp(as_of)
     registry.write_section(importance, store.attributions, "importance", run_id)
+    registry.write_section(attribution_summary(contributions, carry, as_of), store.attributions, "summary", run_id)
     registry.write_section(X.top_features(importance), store.attributions, "top_features", run_id)
     return importance

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from skygrain import schema as S
-from skygrain.plans import ingest, jobs, report, serving
+from skygrain.plans import ingest, jobs, model_report, report, serving
+from skygrain.plans.counts import read_counts
 from skygrain.plans.store import Store, day_range
 from skygrain.sources import feature_table, payload, registry
 
@@ -156,7 +157,23 @@ def test_setup_update_and_the_rest(spark, landed, locations):
     by_horizon = top.filter("model = 'random_forest' and rank = 1").select("horizon", "importance").distinct()
     assert by_horizon.count() == 6  # each horizon by its own forest
 
+    summary = registry.read_section(spark, store.attributions, "summary")
+    assert summary.count() == 12 and {r.total_features for r in summary.collect()} <= {107, 106, 105, 104, 103, 102}
+    why = model_report.explain_latest(spark, store).collect()
+    assert len(why) == 2 * 12 and all(abs(r.prediction) < 1e4 and len(r.feature_values) == len(r.feature_contributions) for r in why)
+
     assert jobs.update(spark, store, air, weather, locations, datetime(2025, 2, 9, 18))
+    best = model_report.read_metric_report(spark, store, "best_model").first()
+    assert best.total_models == 12 and best.best_mae is not None  # the newest run only
+    assert model_report.read_metric_report(spark, store, "horizons").count() == 6
+    steps = read_counts(spark, store).filter("job = 'update'").orderBy("position").collect()
+    assert [r.step for r in steps] == ["batch", "observations", "features", "metrics", "models", "alerts"]
+    assert steps[0].rows == steps[1].rows and steps[2].rows >= steps[1].rows and steps[4].rows == 12
+    rows = ingest.read_features(spark, store).count()
+    assert set(jobs.retention(spark, store, 5)) == {"observations", "features", "row_index", "state"}
+    assert ingest.read_features(spark, store).count() == rows and serving.read_alerts(spark, store).groupBy("city").count().filter("count > 5").count() == 0
+    single = jobs.single_horizon(spark, store).collect()
+    assert {r.algorithm for r in single} == {"random_forest", "ridge_regression"} and all(r.test_n > 0 for r in single)
     assert registry.read_metrics(spark, store.metrics).filter("update_type = 'daily'").count() == 12
     assert registry.newest_versions(registry.registered(spark, store.models)).select(
         "version").distinct().count() == 1
