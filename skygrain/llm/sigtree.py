@@ -222,14 +222,32 @@ def _sets(docs: DataFrame, nodes: DataFrame, key: str, text: str, words: int) ->
     return durable(found.groupBy("node").agg(F.first("grams").alias("grams")), "sets")  # rows that repeat key and text
 
 
+def _stars(ids: list[int], pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Every id that ``pairs`` (of positions) join to a smaller one, and the smallest it is joined to."""
+    group = list(range(len(ids)))
+
+    def find(i: int) -> int:
+        while group[i] != i:
+            group[i] = i = group[group[i]]
+        return i
+
+    for i, j in pairs:
+        i, j = find(i), find(j)
+        if ids[i] > ids[j]:
+            i, j = j, i
+        group[j] = i  # the smallest id of a group is its root
+    return [(ids[i], ids[find(i)]) for i in range(len(ids)) if group[i] != i]
+
+
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _meetings(rows: DataFrame, alike: int, of: int) -> DataFrame:
-    """Links ``a, b`` within every chunk, or of its sets (``visits`` 0) with its visitors (1) if it has any.
+    """Of every chunk the components ``a`` that are joined to a smaller one, ``b``; if it has visitors, links ``a, b`` of its sets
+    (``visits`` 0) with them (1).
 
-    ``rows``: ``home, part, block, visits, node, component, grams``.
+    ``rows``: ``home, part, block, visits, node, component, grams``; within a chunk without visitors components are unique.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in grouped(batches, ["home", "part", "block"]):
@@ -242,7 +260,7 @@ def _meetings(rows: DataFrame, alike: int, of: int) -> DataFrame:
                 sets = [np.frombuffer(g, np.uint64) for g in grams.slice(a, b - a).to_pylist()]
                 own, names = int(np.count_nonzero(visits[a:b] == 0)), component[a:b].tolist()
                 if own == b - a:
-                    found = [(nodes[a + i], nodes[a + j]) for i, j in joins(sets, names, alike=alike, of=of)]
+                    found = _stars(names, joins(sets, names, alike=alike, of=of))
                 elif own:
                     found = [(nodes[a + i], nodes[a + own + j]) for i, j in joins(sets[:own], names[:own], sets[own:], names[own:], alike, of)]
                 if own and found:
@@ -258,20 +276,15 @@ def _parted(rows: DataFrame) -> DataFrame:
     return rows.join(count, "home").withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
 
 
-def _named(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, component`` of all nodes."""
-    found = components(links).withColumnRenamed("node", "n")
-    return durable(nodes.join(found, F.col("node") == F.col("n"), "left").select("node", F.coalesce("component", "node").alias("component")), "components")
-
-
 def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of: int) -> DataFrame:
     """Links that join all nodes that similar pairs join. ``shared``: ``bucket, node, size, n`` (the bucket's number of nodes)."""
     homes = durable(shared.groupBy("node", "size").agg(F.max(F.struct("n", "bucket")).alias("h")).select("node", "size", F.col("h.bucket").alias("home")), "homes")
     chunks = durable(_parted(homes), "chunks")
     plain = (F.lit(0).alias("block"), F.lit(0).alias("visits"))
-    # homes of one set have nobody to meet
-    links = durable(_meetings(sets.join(small_side(chunks), "node").select("home", "part", *plain, "node", F.col("node").alias("component"), "grams"), alike, of), "links")
-    named, cut, before = _named(homes.select("node"), links), chunks.select("home", "node", "size", "parts"), None
+    # every set is in one chunk, so what a chunk joins is all there is to join before the visits
+    found = _meetings(sets.join(small_side(chunks), "node").select("home", "part", *plain, "node", F.col("node").alias("component"), "grams"), alike, of)
+    named = durable(homes.select("node").join(found, F.col("node") == F.col("a"), "left").select("node", F.coalesce("b", "node").alias("component")), "components")
+    cut, before = chunks.select("home", "node", "size", "parts"), None
     while True:
         # one set for each component of a home that has several chunks
         many = cut.filter("parts > 1").join(named, "node").groupBy("home", "component").agg(F.min(F.struct("node", "size")).alias("s"))
@@ -279,9 +292,9 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
         seen = cut.count()
         if not seen or (before is not None and 2 * seen > before):
             break  # what is not joined by now meets as visitors
-        more = _meetings(sets.join(small_side(cut), "node").select("home", "part", *plain, "node", "component", "grams"), alike, of)
-        links, before = durable(links.union(more), "links"), seen
-        named, cut = _named(homes.select("node"), links), cut.select("home", "node", "size", "parts")
+        found = durable(_meetings(sets.join(small_side(cut), "node").select("home", "part", *plain, "node", "component", "grams"), alike, of), "joined")
+        named = durable(named.join(found, F.col("component") == F.col("a"), "left").select("node", F.coalesce("b", "component").alias("component")), "components")
+        cut, before = cut.select("home", "node", "size", "parts"), seen
 
     weights = named.groupBy("component").agg(F.count("*").alias("weight"))
     placed = durable(chunks.select("node", "home", "part").join(named, "node").join(weights, "component"), "placed")
@@ -306,7 +319,7 @@ def _links(nodes: DataFrame, shared: DataFrame, sets: DataFrame, alike: int, of:
         F.col("h").alias("home"), F.col("p").alias("part"), F.expr("cast(pmod(xxhash64(node, 5), blocks) as int)").alias("block"), F.lit(1).alias("visits"), "node", "component", "grams")
     hosts = sets.join(small_side(placed.join(blocks, (F.col("home") == F.col("h")) & (F.col("part") == F.col("p")))), "node").select(
         "home", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("visits"), "node", "component", "grams")
-    return links.union(durable(_meetings(hosts.union(guests), alike, of), "links"))
+    return named.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(durable(_meetings(hosts.union(guests), alike, of), "links"))
 
 
 def near_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, alike: int = ALIKE, of: int = OF) -> DataFrame:
