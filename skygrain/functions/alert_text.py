@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skygrain.functions.numbers import one_decimal_text
 
+# Fixed value: the index above which there is an alert.
 ALERT_ABOVE = 50
 
 # Fixed values: (severity, from index, threshold text, opening of the message).

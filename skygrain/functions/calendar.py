@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Hours of dense traffic.
+RUSH_HOURS = (7, 8, 17, 18)
+
+
 def calendar_columns(time: Column) -> dict[str, Column]:
     """Hour, weekday (Monday 0), month, weekend, rush hour, season, and their cycles."""
     hour, weekday, month = F.hour(time), F.weekday(time), F.month(time)
@@ -20,7 +24,7 @@ def calendar_columns(time: Column) -> dict[str, Column]:
         "day_of_week": weekday,
         "month": month,
         "is_weekend": weekday.isin(5, 6).cast("int"),
-        "is_rush_hour": hour.isin(7, 8, 17, 18).cast("int"),
+        "is_rush_hour": hour.isin(*RUSH_HOURS).cast("int"),
         # December to February 0, then one step per three months
         "season": F.floor((month % 12) / 3).cast("int"),
         "hour_sin": cycle(F.sin, hour, 24),

@@ -30,6 +30,7 @@ CO = [
     (0.0, 4.4, 0, 50), (4.5, 9.4, 51, 100), (9.5, 12.4, 101, 150),
     (12.5, 15.4, 151, 200), (15.5, 30.4, 201, 300), (30.5, 50.4, 301, 500),
 ]
+# Fixed value: the greatest index.
 TOP_INDEX = 500
 
 # Converted column -> (source column, divisor).

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 def wind_chill(temperature: Column, wind: Column) -> Column:
     """Wind-chill formula without a validity range; NULL for a negative wind speed."""
+    # fixed values: the factors of the formula
     gust = F.when(wind >= 0, F.pow(wind, F.lit(0.16)))
     return (F.lit(13.12) + F.lit(0.6215) * temperature
             - F.lit(11.37) * gust + F.lit(0.3965) * temperature * gust)

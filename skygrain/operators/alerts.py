@@ -17,6 +17,7 @@ from skygrain.functions.numbers import one_decimal
 from skygrain.operators.series import newest
 from skygrain.session import small_side
 
+# Fixed value: alerts a trimmed history keeps.
 RETAINED = 1000
 
 

@@ -27,6 +27,7 @@ from skygrain.session import durable, small_side
 # Model settings.
 FOREST = {"numTrees": 50, "maxDepth": 5, "minInstancesPerNode": 5, "seed": 42}
 RIDGE_ALPHA = 20.0
+# Fixed value: fewer rows train nothing.
 LEAST_ROWS = 100
 ALGORITHMS = ("random_forest", "ridge_regression")
 VECTOR = "features"
