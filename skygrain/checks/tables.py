@@ -18,7 +18,7 @@ from skygrain.operators.touched import POSITION, touched_ranges
 from skygrain.plans import ingest, state
 from skygrain.plans.counts import Counts
 from skygrain.session import scratch_root
-from skygrain.sources import versioned
+from skygrain.sources import payload, versioned
 
 ROW_KEY = ["city", "timestamp", "event_id"]
 AS_OF = "2024-02-01 00:00:00"
@@ -127,6 +127,30 @@ def snapshot(spark, sf):
     return state.snapshot_rows(current, predictions, models, counts)
 
 
+def _landed(spark, sf, variables):
+    """Landed payload files, one object each: a file per city and day, with an empty and a broken one beside them."""
+    path = f"{scratch_root(spark)}/landed-{uuid.uuid4().hex}"
+    rows = V.obs(spark, sf).withColumn("day", F.to_date("timestamp"))
+    entry = F.struct("timestamp", "event_id", *variables)
+    days = rows.groupBy("city", "day").agg(F.sort_array(F.collect_list(entry)).alias("h"))
+    stamps = F.transform("h", lambda x: F.date_format(x["timestamp"], payload.TIME_FORMAT))
+    hourly = F.struct(stamps.alias("time"), *[F.col(f"h.{v}").alias(v) for v in variables])
+    files = days.select(F.to_json(F.struct("city", hourly.alias("hourly"))).alias("value"), F.col("city").alias("c"), F.col("day").cast("string").alias("d"))
+    files.repartition("c", "d").write.partitionBy("c", "d").text(path)
+    odd = spark.createDataFrame([('{"city": "C1", "hourly": {"time": []}}', "empty"), ("{not json", "broken")], "value string, d string").withColumn("c", F.lit("x"))
+    odd.repartition("c", "d").write.mode("append").partitionBy("c", "d").text(path)
+    return path
+
+
+def payload_files(spark, sf):
+    """Pollutant files landed as JSON and read back, each city and minute once."""
+    return payload.read_air(spark, _landed(spark, sf, S.POLLUTANTS))
+
+
+def weather_files(spark, sf):
+    return payload.read_weather(spark, _landed(spark, sf, S.WEATHER))
+
+
 def run_counts(spark, sf):
     """Rows and columns of the steps of a run, counted by the writes they have anyway."""
     counts = Counts("check", datetime(2024, 2, 1))
@@ -140,7 +164,7 @@ def run_counts(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    run_counts, upsert_table, compacted_table, stale_buckets, update_touched_ranges, city_state, city_state_merged, alert_check, snapshot)}
+    payload_files, weather_files, run_counts, upsert_table, compacted_table, stale_buckets, update_touched_ranges, city_state, city_state_merged, alert_check, snapshot)}
 
 
 # --- SQL twins -------------------------------------------------------------------
@@ -174,7 +198,14 @@ _PREDICTED = 'case when s.inputs_at = s."at" then s.pm2_5 * f.wa + s.ozone * f.w
 _STEPS = [("observations", "(select count(*) from obs)", 21), ("features", "(select count(*) from r)", 7), ("complete", "(select count(*) from r where ok)", 7),
           ("errors", "(select count(*) from obs where event_type = 'error')", 2), ("nothing", "0", 21), ("models", str(len(MODELS)), 1)]
 
+def _files_sql(variables) -> str:
+    return f"""with {V.OBS_SQL} select city, date_trunc('minute', timestamp) as timestamp, {', '.join(variables)} from obs
+        qualify row_number() over (partition by city, date_trunc('minute', timestamp) order by timestamp desc, event_id desc) = 1"""
+
+
 ORACLES = {
+    "payload_files": _files_sql(S.POLLUTANTS),
+    "weather_files": _files_sql(S.WEATHER),
     "run_counts": f"{_ROWS} " + " union all ".join(
         f"select 'r20240201T000000000000' as run_id, 'check' as job, '{step}' as step, cast({i} as int) as position, cast({n} as bigint) as rows, cast({c} as int) as columns"
         for i, (step, n, c) in enumerate(_STEPS)),

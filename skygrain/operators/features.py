@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from skygrain import schema as S
 from skygrain.functions.calendar import with_calendar
 from skygrain.functions.index import with_aqi
+from skygrain.functions.numbers import nan_to_null
 from skygrain.functions.weather import derived_columns
 from skygrain.operators.ordered import GROUP_LIMIT, Ordered, ordered
 
@@ -183,6 +184,7 @@ def engineer(
     """
     if align not in ("rows", "time"):
         raise ValueError(f"unknown alignment {align!r}")
+    observations = nan_to_null(observations)
     ahead = max(target_hours, *horizons) if horizons else target_hours
     if align == "time":
         df, by = aligned_order(observations, order)

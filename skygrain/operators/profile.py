@@ -18,10 +18,10 @@ from skygrain.session import durable, small_side
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """``(keys, column, value)`` with missing values left out."""
+    """``(keys, column, value)`` with missing values, NaN among them, left out."""
     doubles = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     return doubles.unpivot(list(keys), list(columns), "column", "value").filter(
-        F.col("value").isNotNull())
+        F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def analysis_period(df: DataFrame, time: str = S.TIME) -> DataFrame:

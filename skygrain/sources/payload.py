@@ -11,6 +11,7 @@ from skygrain import schema as S
 from skygrain.functions.calendar import in_days
 from skygrain.functions.numbers import nan_to_null
 from skygrain.session import small_side
+from skygrain.sources.versioned import newest_of
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 
@@ -28,7 +29,7 @@ def read_payloads(
               .option("recursiveFileLookup", True))
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.json(path).withColumn("file", F.input_file_name())
+    return reader.json(path).withColumns({"file": F.input_file_name(), "modified": F.col("_metadata.file_modification_time")})
 
 
 def is_usable(variables: Sequence[str]) -> Column:
@@ -45,12 +46,27 @@ def is_usable(variables: Sequence[str]) -> Column:
 
 def payload_rows(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
     """One row per city and hour; unusable payloads yield none."""
+    return _exploded(payloads, variables).select("city", S.TIME, *variables)
+
+
+def _exploded(payloads: DataFrame, variables: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     arrays = F.arrays_zip(F.col("hourly.time").alias("time"), *[
         F.coalesce(F.col(f"hourly.{v}"), F.array().cast("array<double>")).alias(v) for v in variables])
-    rows = payloads.filter(is_usable(variables)).select("city", F.explode(arrays).alias("h"))
+    rows = payloads.filter(is_usable(variables)).select("city", *carry, F.posexplode(arrays).alias("_place", "h"))
     return nan_to_null(rows.select(
         "city", F.to_timestamp("h.time", TIME_FORMAT).alias(S.TIME),
-        *[F.col(f"h.{v}").alias(v) for v in variables]))
+        *[F.col(f"h.{v}").alias(v) for v in variables], *carry, "_place"))
+
+
+def newest_readings(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """One row per city and hour: of files that hold the same hour the one written last counts.
+
+    A correction that is landed beside the file it corrects therefore wins, whatever its values; of files written at the
+    same moment the greatest name, within a file the last entry.
+    """
+    rows = _exploded(payloads, variables, ["modified", "file"])
+    best = newest_of(rows, ["city", S.TIME], F.struct("modified", "file", "_place"))
+    return best.select("city", S.TIME, *variables)
 
 
 def rejected(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
@@ -59,15 +75,15 @@ def rejected(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
 
 
 def read_air(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    return payload_rows(read_payloads(spark, path, S.POLLUTANTS, modified_after), S.POLLUTANTS)
+    return newest_readings(read_payloads(spark, path, S.POLLUTANTS, modified_after), S.POLLUTANTS)
 
 
 def read_weather(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    return payload_rows(read_payloads(spark, path, S.WEATHER, modified_after), S.WEATHER)
+    return newest_readings(read_payloads(spark, path, S.WEATHER, modified_after), S.WEATHER)
 
 
 def join_inputs(air: DataFrame, weather: DataFrame, keys: Sequence[str] = ("city", S.TIME)) -> DataFrame:
-    """Hours that have both; repeated hours multiply."""
+    """Hours that have both. ``read_air`` and ``read_weather`` give each hour once; repeated ones would multiply."""
     return air.join(weather, list(keys), "inner")
 
 

@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 import tempfile
 from datetime import datetime, timedelta
 
@@ -70,6 +71,21 @@ def test_payloads(spark, landed, observations):
     assert names == {"empty.json", "missing.json", "broken.json", "uneven.json"}
 
 
+def test_a_correction_beside_the_file_it_corrects_wins(spark, tmp_path):
+    """Smaller values in a newer file count; hours of two files do not multiply in the join."""
+    air, weather = tmp_path / "air", tmp_path / "weather"
+    for folder, variables in ((air, S.POLLUTANTS), (weather, S.WEATHER)):
+        folder.mkdir()
+        for name, first, offset, at in (("b_old", 0, 0.0, 1_000_000_000), ("a_new", 5, -10.0, 1_000_000_100)):
+            _land(folder, name, _payload("Rome", variables, first, 20, offset))
+            os.utime(folder / f"{name}.json", (at, at))
+    cities = spark.createDataFrame([("Rome", 1.0, 2.0)], "city string, latitude double, longitude double")
+    rows = {r.timestamp: r for r in payload.observations(spark, str(air), str(weather), cities).collect()}
+    assert len(rows) == 25
+    for hour, r in ((int((t - START).total_seconds() // 3600), r) for t, r in rows.items()):
+        assert r.pm10 == _value("pm10", hour) - (10.0 if hour >= 5 else 0.0) and r.cloud_cover == _value("cloud_cover", hour) - (10.0 if hour >= 5 else 0.0)
+
+
 def _features(spark, store):
     df = feature_table.read_table(spark, store.features).drop("ingest_ts")
     rows = {}
