@@ -23,10 +23,9 @@ from skygrain.session import durable
 
 UNKNOWN = "und"
 BUCKETS = 4096
-# Labelled rows each language is learned from, about: those with the lowest hashes.
-SAMPLE = 1200
-# Most frequent labels that are learned.
-LANGUAGES = 512
+# Different labelled texts each language is learned from, about: those with the lowest hashes; fewer of each where there are very many
+# languages, so that all of them together are about this many, but never fewer than the last number.
+SAMPLE, SAMPLE_ALL, SAMPLE_LEAST = 1200, 120_000, 40
 ROUNDS, STEPS = 4, 30
 # A text is ambiguous if its best and second language are closer than this in probability.
 AMBIGUOUS = 0.1
@@ -136,21 +135,23 @@ def _matrix(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of the labels of ``labelled``; rows with a null label or text are left out.
 
-    Learns from about ``SAMPLE`` rows of each of the ``LANGUAGES`` most frequent labels, chosen by hash.
+    Every label is learned, from about ``SAMPLE`` of its texts chosen by hash; a text with copies is one text, however many they are.
     Without labels the model knows no language; with one it always answers that one.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # estimated, as they only say which share of the hashes to take; a row for each language
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("texts")).collect()
     languages = sorted(r.lang for r in counts)
+    each = min(SAMPLE, max(SAMPLE_LEAST, SAMPLE_ALL // max(1, len(languages))))
     code = codebook(len(languages))
     params = {"w": np.zeros((BUCKETS, code.shape[1] if languages else 0), np.float32), "b": np.zeros(code.shape[1] if languages else 0, np.float32)}
     even = np.full(code.shape, 1 / max(1, code.shape[1] if len(languages) > 1 else 1))
     if len(languages) < 2:
         return Model(languages, code, even, params)
     number = {name: k for k, name in enumerate(languages)}
-    keys = rows.sparkSession.createDataFrame([(r.lang, number[r.lang], min(1.0, SAMPLE / r["count"])) for r in counts], "lang string, label int, part double")
-    chosen = (rows.join(F.broadcast(keys), "lang").filter(share([F.col("text")], F.col("part"))).select("text", "label"))
-    chosen = durable(chosen.repartition(rows_for(sum(min(SAMPLE, r["count"]) for r in counts), SAMPLE)), "language-sample")
+    keys = rows.sparkSession.createDataFrame([(r.lang, number[r.lang], min(1.0, each / max(1, r.texts))) for r in counts], "lang string, label int, part double")
+    chosen = rows.join(F.broadcast(keys), "lang").filter(share([F.col("text")], F.col("part"))).select("text", "label").distinct()
+    chosen = durable(chosen.repartition(rows_for(sum(min(each, r.texts) for r in counts), SAMPLE)), "language-sample")
 
     def improve(part: pa.Table, params: Parameters, k: int) -> Parameters:
         x, label = _matrix(part)

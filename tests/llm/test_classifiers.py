@@ -118,3 +118,41 @@ def test_quality_odd_rows(spark):
     assert found.count() == 6 and got["Good text here. " * 50] > got["JUNK!! " * 50] and got[None] == got[""]
     assert {r.score for r in quality.score(docs, quality.learn(docs, labels.limit(0))).collect()} == {0.5}
     assert quality.score(docs.limit(0), quality.learn(docs, labels)).count() == 0
+
+
+def _labelled(n, copies, pick):
+    """``copies`` texts of each of ``n`` made-up languages, each with its own syllables."""
+    out = []
+    for k in range(n):
+        syllables = ["".join(pick.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(6)]
+        out += [(len(out) + i, " ".join("".join(pick.choice(syllables, 2)) for _ in range(40)), f"l{k:03d}") for i in range(copies)]
+    return out
+
+
+def test_decoding_equals_brute_force(spark):
+    pick = np.random.default_rng(3)
+    rows = _labelled(9, 12, pick)
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [t for _, t, _ in rows[::5]] + ["abc", "x"]
+    names, scores, flags = model.predict(texts)
+    margins = model.margins(langid.ngram_counts(texts)[0])
+    for m, name, score, flag in zip(margins, names, scores, flags):
+        # loss-weighted decoding: every bit costs log(1 + exp(-code * margin)) by its weight for the language
+        cost = [sum(np.log1p(np.exp(-b * c)) * w for b, c, w in zip(m, word, weight)) * len(m) for word, weight in zip(model.code, model.weights)]
+        chance = np.exp(min(cost) - np.array(cost)) / np.exp(min(cost) - np.array(cost)).sum()
+        first, second = np.sort(chance)[::-1][:2]
+        assert name == model.languages[int(np.argmin(cost))] and score == pytest.approx(first, rel=1e-4)
+        assert bool(flag) == (first - second < langid.AMBIGUOUS) or abs(first - second - langid.AMBIGUOUS) < 1e-4
+
+
+def test_every_label_is_learned_and_copies_do_not_fill_the_sample(spark, monkeypatch):
+    """600 languages, one of which is a single text a third of all rows repeat."""
+    rows = _labelled(600, 3, np.random.default_rng(4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hot = spark.createDataFrame([rows[0]] * 900, docs.schema)
+    written = {}
+    monkeypatch.setattr(langid, "durable", lambda df, label: written.setdefault(label, df.cache()))
+    model = langid.learn(docs.union(hot))
+    assert len(model.languages) == 600 and written["language-sample"].count() <= 1800
+    got = langid.identify(docs, model).collect()
+    assert len({r.lang_pred for r in got}) > 570 and np.mean([r.lang_pred == r.lang for r in got]) > 0.9
