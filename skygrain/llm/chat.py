@@ -4,7 +4,7 @@ States are a role and whether the line begins a turn or goes on with it. A line
 marker it opens with, its length, how it ends and how it begins. Transitions and emissions are smoothed
 counts over labelled transcripts; Viterbi finds the best states of a conversation.
 
-A long conversation is cut into blocks of line numbers, so that none is too large for a task. Each block becomes a matrix of best scores
+A long conversation is cut into blocks of counted lines, so that none is too large for a task. Each block becomes a matrix of best scores
 from the state before it to its last state; the products of these small matrices give the states at
 the borders, and each block is then solved between its own, which gives the same path as one run over all lines.
 """
@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skygrain.llm.common import bounds, grouped
-from skygrain.session import durable
+from skygrain.operators.selection import sorted_table
+from skygrain.session import durable, small_side
 
 ROLES = ["user", "assistant", "system"]
 STATES = 2 * len(ROLES)  # role * 2, plus 1 where the line goes on with a turn
-# Line numbers that are kept together; a transcript's lines are numbered turn * 2**20 + line.
-BLOCK_SPAN = 256 << 20
+# Lines of a conversation that are solved together.
+BLOCK_LINES = 4096
 _NO_KEY = -(1 << 63)
 _WORDS = {"user": 0, "human": 0, "customer": 0, "prompt": 0, "instruction": 0, "question": 0, "q": 0,
           "assistant": 1, "ai": 1, "bot": 1, "model": 1, "response": 1, "answer": 1, "a": 1, "system": 2, "context": 2}
@@ -110,12 +111,23 @@ def transcripts(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", (F.col("turn") * (1 << 20) + F.col("at")).alias("line_no"), "line", "role", (F.col("at") == 0).alias("begins"))
 
 
-def _dealt(lines: DataFrame, *more: str | Column) -> DataFrame:
-    """Lines in order within blocks; a block is in one partition."""
+def _numbered(lines: DataFrame, *more: str | Column) -> DataFrame:
+    """Lines with the block of ``BLOCK_LINES`` of their conversation that each is in: ``conv, line_no, line, place, block, blocks``.
+
+    Lines are put in order and counted (``sorted_table``), so a block has that many lines whatever their numbers are: a conversation that holds a third
+    of them, and lines of one number, fill as many blocks as others.
+    """
     rows = lines.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_KEY)).alias("conv"), F.coalesce("line_no", F.lit(-1)).cast("long").alias("line_no"),
                         F.coalesce("line", F.lit("")).alias("line"), *more)
-    rows = rows.withColumn("block", F.expr(f"line_no div {BLOCK_SPAN}L"))
-    return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", "line_no", "line")
+    placed = durable(sorted_table(rows, ["conv", "line_no", "line"], "place"), "lines")
+    ends = durable(placed.groupBy("conv").agg(F.min("place").alias("start"), F.count("*").alias("n")), "conversations")
+    whole = F.expr(f"(n - 1) div {BLOCK_LINES} + 1").alias("blocks")
+    return placed.join(small_side(ends.select("conv", "start", whole)), "conv").withColumn("block", F.expr(f"(place - start) div {BLOCK_LINES}")).drop("start")
+
+
+def _dealt(numbered: DataFrame) -> DataFrame:
+    """Lines in order within blocks; a block is in one partition."""
+    return numbered.repartition("conv", "block").sortWithinPartitions("conv", "block", "place")
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -149,7 +161,7 @@ def learn(lines: DataFrame) -> Model:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["cell", "n"])
 
-    counts = _dealt(known, state.cast("int").alias("state")).mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = _dealt(_numbered(known, state.cast("int").alias("state"))).mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n"))
     total = np.zeros(cells)
     for r in counts.collect():  # at most as many as there are cells
         total[r.cell] = r.n
@@ -164,24 +176,22 @@ def learn(lines: DataFrame) -> Model:
     return Model(logs(total[:STATES]), logs(total[STATES:STATES + STATES * STATES].reshape(STATES, STATES)), emit)
 
 
-def _borders(lines: DataFrame, model: Model) -> DataFrame | None:
+def _borders(numbered: DataFrame, model: Model) -> DataFrame | None:
     """``conv, block, before, last`` of the blocks of conversations that have more than one, or None.
 
-    ``before`` is null in a first block. A conversation's blocks meet in one task: 36 numbers for 256 turns.
+    ``before`` is null in a first block. A conversation's blocks meet in one task: 36 numbers for each block.
     """
-    spans = lines.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_KEY)).alias("conv"), F.expr(f"coalesce(cast(line_no as long), -1L) div {BLOCK_SPAN}L").alias("block"))
-    several = durable(spans.groupBy("conv").agg(F.min("block").alias("first"), F.max("block").alias("final")).filter("first < final"), "long")
-    if several.isEmpty():
+    mine = numbered.filter("blocks > 1")
+    if mine.isEmpty():
         return None
 
     def transfers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            block, first = table.column("block")[0].as_py(), table.column("first")[0].as_py()
-            matrix = model.transfer(table.column("line").to_pylist(), block == first)
+            block = table.column("block")[0].as_py()
+            matrix = model.transfer(table.column("line").to_pylist(), block == 0)
             yield pa.RecordBatch.from_arrays([pa.array([table.column("conv")[0].as_py()]), pa.array([block]), pa.array([matrix.tobytes()])], ["conv", "block", "matrix"])
 
-    mine = lines.withColumn("conv", F.coalesce(F.col("conv_id").cast("long"), F.lit(_NO_KEY))).join(several, "conv")
-    matrices = _dealt(mine, "first").mapInArrow(transfers, "conv long, block long, matrix binary")
+    matrices = _dealt(mine).mapInArrow(transfers, "conv long, block long, matrix binary")
 
     def solve(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
@@ -214,17 +224,17 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
     a null number comes before 0, lines without a ``conv_id`` are one conversation. The marker of a turn's
     first line is left out where it names the role found. An empty table has no turns.
     """
-    borders = _borders(lines, model)
-    rows = _dealt(lines)
+    numbered = durable(_numbered(lines), "numbered")
+    borders = _borders(numbered, model)
     if borders is None:
-        rows = rows.withColumn("before", F.lit(None).cast("int")).withColumn("last", F.lit(None).cast("int"))
+        rows = _dealt(numbered.withColumn("before", F.lit(None).cast("int")).withColumn("last", F.lit(None).cast("int")))
     else:
-        rows = rows.join(borders, ["conv", "block"], "left").repartition("conv", "block").sortWithinPartitions("conv", "block", "line_no", "line")
+        rows = _dealt(numbered.join(small_side(borders), ["conv", "block"], "left"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         for table in _groups(batches):
-            texts, numbers = table.column("line").to_pylist(), table.column("line_no").to_pylist()
+            texts, numbers, places = (table.column(c).to_pylist() for c in ("line", "line_no", "place"))
             before, last = table.column("before")[0].as_py(), table.column("last")[0].as_py()
             states = model.viterbi(texts, before, last)
             conv, block = table.column("conv")[0].as_py(), table.column("block")[0].as_py()
@@ -237,7 +247,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
                 if a in begins and named == role:
                     some[0] = some[0][end:]
                     some = some[1:] if not some[0] and len(some) > 1 else some
-                found.append((conv, block, numbers[a], numbers[a] if a in begins else None, ROLES[role], b - a, "\n".join(some), last is not None))
+                found.append((conv, block, places[a], places[a] if a in begins else None, numbers[a], ROLES[role], b - a, "\n".join(some), last is not None))
             if len(found) >= 2000:
                 yield _turns(found)
                 found = []
@@ -251,23 +261,24 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
     return parts.select(conv_id.alias("conv_id"), "turn_line", "role", "n_lines", render(F.col("role"), F.col("text")).alias("rendered"))
 
 
-_TURNS = "conv long, block long, part_line long, turn_line long, role string, n_lines int, text string, cut boolean"
+_TURNS = "conv long, block long, place long, begin long, turn_line long, role string, n_lines int, text string, cut boolean"
 
 
 def _turns(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.bool_()]
+    kinds = [*[pa.int64()] * 5, pa.string(), pa.int32(), pa.string(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [f.split()[0] for f in _TURNS.split(", ")])
 
 
 def _joined(parts: DataFrame) -> DataFrame:
     """Turns whose parts are in several blocks, put together; the others as they are."""
     whole, cut = parts.filter("not cut"), parts.filter("cut")
-    ends = cut.groupBy("conv", "block").agg(F.max("turn_line").alias("latest"))
+    ends = cut.groupBy("conv", "block").agg(F.max("begin").alias("latest"))
     earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = durable(ends.select("conv", "block", F.last("latest", ignorenulls=True).over(earlier).alias("carried")), "carried")
-    cut = cut.join(carried, ["conv", "block"]).withColumn("turn_line", F.coalesce("turn_line", "carried"))
-    ordered = F.sort_array(F.collect_list(F.struct("block", "part_line", "text", "n_lines", "role")))
-    cut = cut.groupBy("conv", "turn_line").agg(ordered.alias("p")).select(
-        "conv", "turn_line", F.expr("p[0].role").alias("role"), F.expr("aggregate(p, 0, (n, x) -> n + x.n_lines)").alias("n_lines"), F.array_join("p.text", "\n").alias("text"))
+    # a turn goes by the place of its first line, as numbers may repeat
+    cut = cut.join(carried, ["conv", "block"]).withColumn("begin", F.coalesce("begin", "carried"))
+    ordered = F.sort_array(F.collect_list(F.struct("block", "place", "text", "n_lines", "role", "turn_line")))
+    cut = cut.groupBy("conv", "begin").agg(ordered.alias("p")).select(
+        "conv", F.expr("p[0].turn_line").alias("turn_line"), F.expr("p[0].role").alias("role"), F.expr("aggregate(p, 0, (n, x) -> n + x.n_lines)").alias("n_lines"), F.array_join("p.text", "\n").alias("text"))
     columns = ["conv", "turn_line", "role", "n_lines", "text"]
     return whole.select(*columns).union(cut.select(*columns))

@@ -54,7 +54,21 @@ def test_blocks_give_the_same_turns(spark, monkeypatch, seed):
     rows = [(7, n << 20, pick.choice(texts)) for n in range(60)] + [(8, n, "x") for n in range(3)] + [(None, n << 20, pick.choice(texts)) for n in range(30)]
     lines, model = spark.createDataFrame(rows, "conv_id long, line_no long, line string"), _model(seed)
     whole = sorted(map(str, chat.parse(lines, model).collect()))
-    monkeypatch.setattr(chat, "BLOCK_SPAN", 7 << 20)
+    monkeypatch.setattr(chat, "BLOCK_LINES", 7)
+    assert sorted(map(str, chat.parse(lines, model).collect())) == whole
+
+
+def test_one_conversation_and_number_may_hold_a_third_of_the_lines(spark, monkeypatch):
+    """Blocks have a bounded number of lines whatever their numbers, and the turns are those of one run."""
+    pick, model = random.Random(5), _model(3)
+    texts = ["User: hi there?", "Assistant: Well.", "and so on", "", "Human: and?", "AI: no"]
+    rows = [(9, 0, pick.choice(texts)) for _ in range(200)] + [(None, None, pick.choice(texts)) for _ in range(60)] + [(k, n, pick.choice(texts)) for k in range(40) for n in range(9)]
+    lines = spark.createDataFrame(rows, "conv_id long, line_no long, line string").repartition(7)
+    whole = sorted(map(str, chat.parse(lines, model).collect()))
+    monkeypatch.setattr(chat, "BLOCK_LINES", 16)
+    numbered = chat._numbered(lines)
+    largest = numbered.groupBy("conv", "block").count().agg({"count": "max"}).first()[0]
+    assert largest == 16 and numbered.count() == len(rows)
     assert sorted(map(str, chat.parse(lines, model).collect())) == whole
 
 
