@@ -107,11 +107,11 @@ with vectors as (
   from embeddings
   where vec_id is not null and embedding is not null
     and list_count(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+asked as (select * from vectors where vec_id % 50 = 0 qualify row_number() over (partition by vec_id order by v) = 1),
 scored as (
   select q.vec_id as query_id, c.vec_id as vec_id,
     cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
-  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
-  where q.vec_id % 50 = 0),
+  from asked q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
 ranked as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5""",

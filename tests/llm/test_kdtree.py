@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -62,3 +63,15 @@ def test_quantised_and_large_values(spark):
         (50, 1, 5, 128 * 256 * 10**12), (50, 2, 100, -128 * 256 * 10**12 - 768),
         (100, 1, 50, -128 * 256 * 10**12 - 768), (100, 2, 5, -(1 << 63))]
     assert kdtree.top_k(frame.limit(0), frame.limit(0), 3).count() == 0
+
+
+def test_repeated_ids_as_in_sql(spark):
+    """A query id that repeats asks once, with its smallest vector; repeated candidates are points of their own."""
+    rows = [(50, [0.5, 0.25]), (50, [0.125, 1.0]), (1, [0.5, 0.5]), (1, [0.5, 0.5]), (2, [1.0, 0.0]), (100, [0.25, 0.75]), (100, [0.25, 0.75]), (3, [None, 1.0]), (4, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = kdtree.top_k(frame.select("vec_id", kdtree.quantised(frame["embedding"]).alias("vector")), frame.filter("vec_id % 50 = 0").select(
+        "vec_id", kdtree.quantised(frame["embedding"]).alias("vector")), 5)
+    con = duckdb.connect()
+    con.register("rows", frame.toPandas())
+    con.execute("create view embeddings as select vec_id, cast(embedding as float[]) as embedding from rows")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(con.execute(queries.ORACLES["op10_top_k"]).fetchall())
