@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,15 @@ def fold(key: Column, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(parts)), F.lit(-1)).cast("int")
 
 
+# Text that travels to a Python worker at a time; Spark's own bound is 64 MB, once in the executor and once in each worker.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark) -> None:
+    """Have whole texts handed to Python in batches of ``BATCH_BYTES``; a setting of the session, for speed and memory only."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,7 +82,3 @@ def bounds(key: np.ndarray) -> np.ndarray:
     if not len(key):
         return np.zeros(1, np.int64)
     return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
-
-
-def map_batches(df: DataFrame, make: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(make, schema)
