@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrain.llm import bpe, decontaminate, langid, quality, simhash
-from skygrain.llm.common import fold, table
+from skygrain.llm.common import fold, small_batches, table
 from skygrain.session import durable
 
 
@@ -23,6 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts, texts without a letter and ambiguous ones go. A language that differs from ``lang`` is no reason to go.
     """
+    small_batches(spark)
     model = langid.learn(docs.filter(fold(F.col("doc_id"), 4) != 2))
     names = ("_lang", "_score", "_ambiguous")
     return langid.identify(docs, model, names=names).filter(~F.col("_ambiguous")).drop(*names)
@@ -30,6 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the threshold; learned from the labels of four fifths of them."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), 5) != 0)
     model = quality.learn(docs, labels)
     return quality.score(docs, model, name="_score").filter(F.col("_score") >= quality.THRESHOLD).drop("_score")
@@ -37,16 +39,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents whose fingerprints of 3-word shingles differ in 3 bits or fewer the one with the smallest id."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every whole text: ``doc_id, n_tokens, ids``."""
+    small_batches(spark)
     rows = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
