@@ -5,8 +5,11 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from skygrain.operators import rolling
+from skygrain.operators.ordered import ordered
 
 MADE = [(f"{s}_{span}", "v", s, span) for span in (12, 24, 48) for s in ("mean", "std")]
 
@@ -65,3 +68,13 @@ def test_dense_frames_cost_little():
     begin = time.perf_counter()
     got = pa.Table.from_batches(rolling.spans(_batches(at, [True] + [False] * 99_999, [float(t % 10) for t in at], 10_000), "t", "b", made))
     assert got.num_rows == 100_000 and time.perf_counter() - begin < 20
+
+
+def test_chunks_follow_the_reach_of_dense_frames(spark):
+    """A frame of 1,000 rows and chunks of 25 would send every row 40 times."""
+    df = spark.range(4000).selectExpr("'A' as city", "id as t", "id as event_id")
+    o = ordered(df, ["city"], ["t", "event_id"], limit=50, back_range=1000.0)
+    assert o.split and 4000 < o.frame.count() <= 4 * 4000
+    w = Window.partitionBy("city", "_chunk").orderBy("t").rangeBetween(-1000, 0)
+    found = o.finish(o.frame.withColumn("n", F.count("*").over(w))).collect()
+    assert {r.t: r.n for r in found} == {t: min(t, 1000) + 1 for t in range(4000)}
