@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from skygrain import schema as S
 from skygrain.functions.numbers import clip
 from skygrain.operators.features import as_doubles, feature_columns, with_targets
-from skygrain.operators.gram import Linear, gram_of_vectors
+from skygrain.operators.gram import Linear, gram_of_vectors, with_linear
 from skygrain.operators.metrics import regression_metrics
 from skygrain.operators.ordered import GROUP_LIMIT
 from skygrain.operators.series import split_boundaries
@@ -146,11 +146,12 @@ def predict(
     bounded.
     """
     vectors = {tuple(names): VECTOR}
-    if any(isinstance(f.model, Linear) for f in fitted):
-        df = df.withColumn("_x", vector_to_array(VECTOR))
+    linear = {f"_p{i}": (f.model, f.features) for i, f in enumerate(fitted) if isinstance(f.model, Linear)}
+    if linear:
+        needed = [c for c in df.columns if c in {*carry, *(actual or {}).values()} or c == VECTOR and len(linear) < len(fitted)]
+        df = with_linear(df.select(*needed, vector_to_array(VECTOR).alias("_x")), "_x", names, linear)
     for i, f in enumerate(fitted):
-        if isinstance(f.model, Linear):
-            df = df.withColumn(f"_p{i}", f.model.prediction("_x", names, f.features))
+        if f"_p{i}" in linear:
             continue
         if f.features not in vectors:
             vectors[f.features] = f"_v{i}"

@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skygrain.session import durable
 
@@ -74,6 +75,30 @@ class Linear:
         return F.expr(f"aggregate(zip_with({values}, array({weights}), (x, w) -> x * w), {self.intercept!r}D, (total, x) -> total + x)")
 
 
+def with_linear(df: DataFrame, values: str, names: Sequence[str], models: dict[str, tuple[Linear, Sequence[str]]]) -> DataFrame:
+    """``df`` with a column of predictions for each model in place of ``values``, an array with a value for each of ``names``.
+
+    A matrix product for each batch; a feature that a model does not have counts 0.
+    """
+    weights = np.zeros((len(names), len(models)))
+    place = {n: i for i, n in enumerate(names)}
+    for k, (model, features) in enumerate(models.values()):
+        weights[[place[f] for f in features], k] = model.coefficients.toArray()
+    base = np.array([model.intercept for model, _ in models.values()])
+    rest, at = df.drop(values), df.columns.index(values)
+    columns, made = rest.columns, list(models)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column(at).flatten().to_numpy().reshape(batch.num_rows, len(names))
+                found = (x @ weights + base).T
+                others = [c for i, c in enumerate(batch.columns) if i != at]
+                yield pa.RecordBatch.from_arrays([*others, *[pa.array(p, pa.float64()) for p in found]], [*columns, *made])
+
+    return df.mapInArrow(run, T.StructType([*rest.schema.fields, *[T.StructField(name, T.DoubleType()) for name in models]]))
+
+
 def block(columns: Sequence[str], rows: np.ndarray) -> Gram:
     """The block of some rows (a row each, no missing values)."""
     n, p = rows.shape

@@ -78,3 +78,27 @@ def test_chunks_follow_the_reach_of_dense_frames(spark):
     w = Window.partitionBy("city", "_chunk").orderBy("t").rangeBetween(-1000, 0)
     found = o.finish(o.frame.withColumn("n", F.count("*").over(w))).collect()
     assert {r.t: r.n for r in found} == {t: min(t, 1000) + 1 for t in range(4000)}
+
+
+def test_rows_pass_once_in_the_feature_table(spark):
+    """The sums of rolling frames are no window expressions of Spark, which evaluates a frame anew for every row."""
+    from skygrain import schema as S
+    from skygrain.operators.features import engineer
+    columns = ", ".join(f"cast(id % 13 as double) as {c}" for c in S.POLLUTANTS + S.WEATHER)
+    df = spark.range(200).selectExpr("'A' as city", "timestamp_seconds(id * 3600) as timestamp", *columns.split(", "))
+    made = engineer(df)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe(rowframe, -11" not in plan.lower() and "MapInArrow" in plan
+    last = made.orderBy("timestamp").collect()[-1]
+    values = [float(k % 13) for k in range(200)]
+    assert last.pm10_rolling_mean_48h == pytest.approx(np.mean(values[-48:])) and last.pm10_rolling_std_12h == pytest.approx(np.std(values[-12:], ddof=1))
+
+
+def test_linear_predictions_are_one_product(spark):
+    from pyspark.ml.linalg import Vectors
+    from skygrain.operators.gram import Linear, with_linear
+    df = spark.range(50).selectExpr("id", "array(cast(id as double), 2D, id * 0.5D) as x")
+    models = {"p": (Linear(Vectors.dense([3.0, 1.0]), 0.25), ("c", "a")), "q": (Linear(Vectors.dense([]), 7.0), ())}
+    for r in with_linear(df, "x", ["a", "b", "c"], models).collect():
+        assert (r.p, r.q) == (r.id * 1.0 + 1.5 * r.id + 0.25, 7.0)
+    assert with_linear(df, "x", ["a", "b", "c"], models).columns == ["id", "p", "q"]
