@@ -137,22 +137,30 @@ def box_contributions(x: np.ndarray, boxes, features: int) -> tuple[np.ndarray,
     polynomial with factors ``share + inside * z`` collects the sets by size, and a
     set of size ``s`` out of ``d`` features has weight ``s! (d - s - 1)! / d!``.
     """
-    out = np.zeros((len(x), features))
+    out = np.zeros((len(x), features), order="F")
+    x = np.asfortranarray(x)  # a feature at a time
     base = 0.0
     for value, box in boxes:
         d = len(box)
         base += value * float(np.prod([b[3] for b in box]))
-        inside = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in box]
+        if not d:
+            continue
+        # which bounds hold is all a row brings: the form is worked out for each such pattern, not for each row
+        pattern = np.zeros(len(x), np.int64)
+        for j, (f, lo, hi, _) in enumerate(box):
+            pattern |= ((x[:, f] > lo) & (x[:, f] <= hi)).astype(np.int64) << j
+        patterns, place = (np.arange(1 << d), pattern) if d <= 6 else np.unique(pattern, return_inverse=True)
+        inside = [(patterns >> j & 1).astype(float) for j in range(d)]
+        weights = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
         for j, (feature, _, _, share) in enumerate(box):
-            sizes = np.zeros((d, len(x)))
+            sizes = np.zeros((d, len(patterns)))
             sizes[0] = 1.0
             for i, (_, _, _, other) in enumerate(box):
                 if i != j:
                     sizes[1:] = sizes[1:] * other + sizes[:-1] * inside[i]
                     sizes[0] *= other
-            weights = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
-            out[:, feature] += value * (inside[j] - share) * np.tensordot(weights, sizes, 1)
-    return out, base
+            out[:, feature] += (value * (inside[j] - share) * np.tensordot(weights, sizes, 1))[place]
+    return np.ascontiguousarray(out), base
 
 
 def tree_contributions(
