@@ -1,11 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval, then longest common subsequences and answers.
 
 Words are hashed to buckets whose inverse document frequencies come from all documents. A
-randomised SVD of TF-IDF passages, of a bounded sample of documents and of the benchmark, gives
+randomised SVD of TF-IDF passages, of all documents and of the whole benchmark, gives
 a space of few dimensions; its products are sums over the partitions. Every document is cut into blocks of 16
 words whose latent vectors are sums over their words; windows of blocks meet all benchmark passages by
 cosine. Passages also meet documents by their runs of three words, whatever the space holds: it
-is fitted on a sample and gets crowded as the benchmark grows. A candidate is a leak if the longest common subsequence of words holds nearly all of
+gets crowded as the benchmark grows. A candidate is a leak if the longest common subsequence of words holds nearly all of
 the passage, or, for a paraphrase, most of it together with nearly all of its answer, the last sentence.
 """
 
@@ -21,13 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import rows_for, slices
-from skygrain.llm.training import share, sums
+from skygrain.llm.common import SLICE_ROWS, rows_for, slices
+from skygrain.llm.training import totals
 from skygrain.session import durable
 
 BUCKETS, RANK = 1 << 14, 64
-# Documents the space is fitted on, about, and benchmark items at most: those with the lowest hashes.
-SAMPLE_DOCS, SAMPLE_ITEMS = 3000, 4096
+# What a passage of the benchmark counts in the basis, a passage of a document being 1.
+ITEM_WEIGHT = 8.0
 BLOCK_WORDS = 16
 # Blocks of a window for passages up to and above this length; longer items are cut into passages.
 SHORT_WORDS, PASSAGE_WORDS = 40, 64
@@ -154,21 +154,30 @@ class Space:
 
 def _cells(texts: list[bytes], weights: list[float], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, bucket and value of the TF-IDF matrix of all passages of 32 words, rows of the stated length."""
-    row, column, scale = [], [], []
-    for text, weight in zip(texts, weights):
-        found = buckets(words(text))
-        if len(found):
-            found = found[fresh(found)]
-            row.append(np.arange(len(found)) // (BLOCK_WORDS * SHORT_BLOCKS) + len(scale))
-            column.append(found)
-            scale += [weight] * (int(row[-1][-1]) + 1 - len(scale))
-    if not row:
+    found = [buckets(words(text)) for text in texts]
+    sizes = np.array([len(f) for f in found], np.int64)
+    row, column, value = _matrix(np.concatenate([*found, np.empty(0, np.int64)]), sizes, idf)
+    passages = -(-np.array([len(fresh(f)) if len(f) else 0 for f in found], np.int64) // (BLOCK_WORDS * SHORT_BLOCKS))
+    return row, column, value * np.repeat(np.array(weights, float), passages)[row]
+
+
+def _matrix(ids: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bucket and value of the TF-IDF matrix of texts of so many words, whose buckets follow one another; rows of length 1."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (text[1:] != text[:-1])
+    ids, text = ids[new], text[new]
+    if not len(ids):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    cells, count = np.unique(np.concatenate(row) * BUCKETS + np.concatenate(column), return_counts=True)
+    kept = np.bincount(text, minlength=len(sizes))
+    passages = -(-kept // (BLOCK_WORDS * SHORT_BLOCKS))
+    within = np.arange(len(ids)) - np.repeat(np.cumsum(kept) - kept, kept)
+    row = np.repeat(np.cumsum(passages) - passages, kept) + within // (BLOCK_WORDS * SHORT_BLOCKS)
+    cells, count = np.unique(row * BUCKETS + ids, return_counts=True)
     row, column = cells // BUCKETS, cells % BUCKETS
     value = count * idf[column]
     norm = np.sqrt(np.bincount(row, weights=value * value))
-    return row, column, value / np.maximum(norm, 1e-12)[row] * np.array(scale)[row]
+    return row, column, value / np.maximum(norm, 1e-12)[row]
 
 
 def _project(cells: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.ndarray) -> np.ndarray:
@@ -178,72 +187,85 @@ def _project(cells: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.ndarray
     return np.add.reduceat(value[:, None] * basis[column], starts, axis=0)
 
 
-def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """The transposed matrix times ``rows``."""
+def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> None:
+    """Add the transposed matrix times ``rows`` to ``out``."""
     row, column, value = cells
     order = np.argsort(column, kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], column[order][1:] != column[order][:-1]]))
-    out = np.zeros((BUCKETS, rows.shape[1]))
+    column = column[order]
+    starts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
     number = np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
-    out[column[order][starts]] = np.add.reduceat((value[:, None] * rows[number])[order], starts, axis=0)
+    out[column[starts]] += np.add.reduceat(value[order][:, None] * rows[number[order]], starts, axis=0)
+
+
+def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """The transposed matrix times ``rows``."""
+    out = np.zeros((BUCKETS, rows.shape[1]))
+    _add_back(out, cells, rows)
     return out
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
-    """Documents that hold a word of each bucket, over all documents, and their number."""
+def _numbered(rows: DataFrame, text: str) -> DataFrame:
+    """``ids`` of every text, the buckets of its words as 16-bit numbers; written, so that texts are cut into words once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(BUCKETS, np.int64), 0
         for batch in slices(batches):
-            for t in batch.column(0).to_pylist():
-                distinct = set(words(t))
-                # a bucket named twice gets one: the addition is done once for each place
-                total[np.fromiter(map(_buckets.__getitem__, distinct), np.int64, len(distinct))] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([buckets(words(t)).astype(np.uint16).tobytes() for t in batch.column(0).to_pylist()], pa.binary())], ["ids"])
+
+    return durable(rows.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "ids binary"), "bucket-numbers")
+
+
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words of some texts one after another, and the texts' numbers of words."""
+    found = batch.column(0).to_pylist()
+    return np.frombuffer(b"".join(found), np.uint16).astype(np.int64), np.array([len(f) // 2 for f in found], np.int64)
+
+
+def document_frequencies(numbered: DataFrame) -> tuple[np.ndarray, int]:
+    """Documents that hold a word of each bucket, over all documents, and their number."""
+    def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
+        total, rows = np.zeros(BUCKETS), 0
+        for batch in slices(batches):
+            ids, sizes = _read(batch)
+            total += np.bincount(np.unique(np.repeat(np.arange(len(sizes)), sizes) * BUCKETS + ids) % BUCKETS, minlength=BUCKETS)
             rows += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([total.tobytes()])], ["n", "p"])
+        return rows, total
+
+    rows, total = totals(numbered, count, BUCKETS)
+    return total, int(rows)
 
-    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
-            rows += sum(batch.column(0).to_pylist())
-            for p in batch.column(1).to_pylist():
-                total = total + np.frombuffer(p, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([total.tobytes()])], ["n", "p"])
 
-    found = (docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "n long, p binary")
-             .coalesce(16).mapInArrow(merge, "n long, p binary").collect())
-    return sum((np.frombuffer(r.p, np.int64) for r in found), np.zeros(BUCKETS, np.int64)), sum(r.n for r in found)
+def _product(numbered: DataFrame, basis: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The transposed TF-IDF matrix of all passages times that matrix times ``basis``."""
+    basis = basis.astype(np.float32)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
+        total, rows = np.zeros(basis.shape), 0
+        for batch in slices(batches, 4 * SLICE_ROWS):
+            row, column, value = _matrix(*_read(batch), idf)
+            if len(row):
+                cells = row, column, value.astype(np.float32)
+                _add_back(total, cells, _project(cells, basis))
+            rows += batch.num_rows
+        return rows, total.ravel()
+
+    return totals(numbered, count, basis.size)[1].reshape(basis.shape)
 
 
 def learn(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text") -> Space:
-    """The latent space of documents and benchmark; without either it is one of zeros, in which nothing is near."""
-    frequency, count = document_frequencies(docs, text)
-    idf = np.log((count + 1) / (frequency + 1)) + 0.1
-    item_count = max(1, items.count())
-    ours = (docs.select(F.col(text).cast("binary").alias("text")).filter(F.col("text").isNotNull() & share([F.col("text")], F.lit(min(1.0, SAMPLE_DOCS / max(1, count)))))
-            .withColumn("weight", F.lit(1.0)))
-    theirs = (items.select(F.col(item_text).cast("binary").alias("text"))
-              .filter(F.col("text").isNotNull() & share([F.col("text")], F.lit(min(1.0, SAMPLE_ITEMS / item_count)))).withColumn("weight", F.lit(8.0)))
-    rows = durable(ours.union(theirs).repartition(rows_for(min(count, SAMPLE_DOCS), 1000)), "passages")
-
-    def product(basis: np.ndarray, inner: bool) -> np.ndarray:
-        def run(part: pa.Table) -> np.ndarray:
-            total = np.zeros((RANK, RANK) if inner else (BUCKETS, RANK))
-            texts, weights = part.column("text").to_pylist(), part.column("weight").to_pylist()
-            weights = [1.0] * len(texts) if inner else weights
-            for at in range(0, len(texts), 200):
-                cells = _cells(texts[at:at + 200], weights[at:at + 200], idf)
-                if len(cells[0]):
-                    found = _project(cells, basis)
-                    total += found.T @ found if inner else _back(cells, found)
-            return total.ravel()
-
-        shape = (RANK, RANK) if inner else (BUCKETS, RANK)
-        return sums(rows, run, shape[0] * shape[1]).reshape(shape)
+    """The latent space of all documents and the whole benchmark; without either it is one of zeros, in which nothing is near.
 
+    Two passes over the words' numbers make the basis. The strength of its directions in the documents comes from what the second pass has
+    found (Nystroem), so that no third is needed; that in the benchmark is worked out again.
+    """
+    ours, theirs = _numbered(docs, text), _numbered(items, item_text)
+    frequency, count = document_frequencies(ours)
+    idf = np.log((count + 1) / (frequency + 1)) + 0.1
     basis = np.random.default_rng(5).normal(size=(BUCKETS, RANK))
     for _ in range(2):
-        basis = np.linalg.qr(product(basis, False))[0]
-    values, turn = np.linalg.eigh(product(basis, True))
+        before, found = basis, _product(ours, basis, idf)
+        basis = np.linalg.qr(found + ITEM_WEIGHT ** 2 * _product(theirs, basis, idf))[0]
+    reached = basis.T @ found
+    strength = reached @ np.linalg.pinv(before.T @ found, rcond=1e-9) @ reached.T + basis.T @ _product(theirs, basis, idf)
+    values, turn = np.linalg.eigh((strength + strength.T) / 2)
     # directions of frequent words are strong and would hide the others
     scale = np.where(values > 1e-9 * max(float(values.max()), 1e-300), np.maximum(values, 1e-300) ** -0.25, 0)
     return Space((idf[:, None] * (basis @ (turn * scale))).astype(np.float32))

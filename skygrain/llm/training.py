@@ -61,6 +61,39 @@ def sums(rows: DataFrame, count: Callable[[pa.Table], np.ndarray], size: int) ->
     return sum((np.frombuffer(r.p) for r in rows.mapInArrow(run, "p binary").collect()), np.zeros(size))
 
 
+# Tasks that add up what all others have found, so that the driver gets so few results, whatever the size of the table.
+MERGES = 4
+
+
+def totals(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], tuple[float, np.ndarray]], size: int) -> tuple[float, np.ndarray]:
+    """Sums over the partitions of a table of any size of the number and the array that ``count`` makes of the stream of each."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, found = count(b for b in batches if b.num_rows)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([float(n)]), pa.array([found.astype(np.float64).tobytes()], pa.binary())], ["n", "p"])
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, found = 0.0, np.zeros(size)
+        for batch in batches:
+            n += sum(batch.column(0).to_pylist())
+            for p in batch.column(1):
+                found += np.frombuffer(p.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([found.tobytes()], pa.binary())], ["n", "p"])
+
+    parts = rows.mapInArrow(run, "n double, p binary").repartition(MERGES).mapInArrow(merge, "n double, p binary").collect()
+    return sum(r.n for r in parts), sum((np.frombuffer(r.p) for r in parts), np.zeros(size))
+
+
+def sweep(rows: DataFrame, params: Parameters, improve: Callable[[Iterator[pa.RecordBatch], Parameters], tuple[float, Parameters]]) -> Parameters:
+    """``params`` after every partition has improved them along all of its rows, however many, averaged by the weight of the rows."""
+    def count(batches: Iterator[pa.RecordBatch]) -> tuple[float, np.ndarray]:
+        weight, found = improve(batches, params)
+        return weight, pack(found) * weight
+
+    weight, total = totals(rows, count, len(pack(params)))
+    return unpack(total / weight, params) if weight else params
+
+
 class Adam:
     def __init__(self, params: Parameters, rate: float):
         self.params, self.rate, self.step = {k: p.copy() for k, p in params.items()}, rate, 0

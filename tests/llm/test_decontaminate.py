@@ -139,3 +139,34 @@ def test_a_long_items_answer_counts_for_each_passage():
     assert not searcher.leaks((template + " other answer here").encode())
     assert [x["item_id"] for x in searcher.leaks((template + ". " + " ".join(answer)).encode())] == [7]
     assert [x["item_id"] for x in searcher.leaks(item)] == [7]
+
+
+def test_space_is_fitted_on_every_document(spark):
+    """A few documents with words of their own among 4,000 others: their directions are in the space, and equal a plain SVD's."""
+    pick = random.Random(8)
+    common_words = ["c%d" % k for k in range(60)]
+    texts = [" ".join(pick.choices(common_words, k=40)) for _ in range(4000)]
+    rare = [" ".join("r%dx%d" % (k, j) for j in range(32)) for k in range(3)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + rare * 4)], "doc_id long, text string").repartition(7)
+    items = spark.createDataFrame([(1, texts[0])], "item_id long, text string")
+    space = d.learn(docs, items)
+    assert all(np.linalg.norm(space.of(t.encode().split())) > 0.99 for t in rare)
+    own = [d.buckets(t.encode().split()) for t in rare]
+    # nothing else has their words, so all three, and each for itself, are directions
+    found = np.stack([space.vectors[ids].sum(axis=0) / np.linalg.norm(space.vectors[ids].sum(axis=0)) for ids in own])
+    assert np.allclose(found @ found.T, np.eye(3), atol=0.1)
+
+
+def test_products_equal_the_whole_matrix(spark):
+    pick = np.random.default_rng(4)
+    texts = [" ".join("w%d" % w for w in pick.integers(0, 300, pick.integers(0, 90))) for _ in range(500)] + [None, "", "a a a"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    numbered, idf = d._numbered(docs, "text"), pick.random(d.BUCKETS) + 0.5
+    frequency, rows = d.document_frequencies(numbered)
+    sets = [set(d.buckets(d.words((t or "").encode())).tolist()) for t in texts]
+    assert rows == len(texts) and all(frequency[b] == sum(b in s for s in sets) for b in range(0, d.BUCKETS, 97))
+    cells = d._cells([(t or "").encode() for t in texts], [1.0] * len(texts), idf)
+    matrix = np.zeros((cells[0].max() + 1, d.BUCKETS))
+    matrix[cells[0], cells[1]] = cells[2]
+    basis = pick.normal(size=(d.BUCKETS, 3))
+    assert np.allclose(d._product(numbered, basis, idf), matrix.T @ (matrix @ basis), rtol=1e-3, atol=1e-3)
