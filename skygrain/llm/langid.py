@@ -18,15 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrain.llm.common import rows_for, slices
-from skygrain.llm.training import Adam, Parameters, mix, share, sigmoid, sums
-from skygrain.session import durable
+from skygrain.llm.training import Adam, Parameters, mix, share, sigmoid, sums, sweep, totals
+from skygrain.session import durable, small_side
 
 UNKNOWN = "und"
 BUCKETS = 4096
-# Different labelled texts each language is learned from, about: those with the lowest hashes; fewer of each where there are very many
-# languages, so that all of them together are about this many, but never fewer than the last number.
+# Different labelled texts of each language the model starts from, about: those with the lowest hashes; fewer of each where there are very many
+# languages, so that all of them together are about this many, but never fewer than the last number. A language counts as much as so many texts.
 SAMPLE, SAMPLE_ALL, SAMPLE_LEAST = 1200, 120_000, 40
 ROUNDS, STEPS = 4, 30
+# Texts of a step, and the rate of the first one, where the model goes over all texts.
+STEP_TEXTS, RATE = 256, 0.01
 # A text is ambiguous if its best and second language are closer than this in probability.
 AMBIGUOUS = 0.1
 _PIECE = 1 << 18
@@ -132,10 +134,47 @@ def _matrix(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return vectors(counts), part.column("label").to_numpy()
 
 
+def _weighed(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``text, label, weight`` of every row: the copies of a text weigh as much as one, a language no more than its share of the sample."""
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    copies = small_side(durable(rows.groupBy("lang", "hash").agg(F.count("*").alias("copies")).filter("copies > 1"), "copies"))
+    found = rows.join(F.broadcast(keys), "lang").join(copies, ["lang", "hash"], "left")
+    return found.select("text", "label", (F.col("part") / F.coalesce("copies", F.lit(1))).alias("weight"))
+
+
+def _weights(part: pa.RecordBatch) -> np.ndarray:
+    return part.column("weight").to_numpy().astype(np.float32)
+
+
+def _descend(batches: Iterator[pa.RecordBatch], start: Parameters, code: np.ndarray) -> tuple[float, Parameters]:
+    """The weight of a stream of texts, and parameters after one step along the gradient of each ``STEP_TEXTS`` of them."""
+    adam, seen = Adam(start, RATE), 0.0
+    for part in slices(batches, STEP_TEXTS):
+        (x, label), weight = _matrix(part), _weights(part)
+        target = code[label]
+        adam.rate = RATE / (1 + adam.step / 10) ** 0.5
+        pull = -target * sigmoid(-target * (x @ adam.params["w"] + adam.params["b"])) * (weight / weight.sum())[:, None]
+        adam.update({"w": (x.T @ pull.astype(np.float32) + 1e-5 * adam.params["w"]).astype(np.float32), "b": pull.sum(axis=0).astype(np.float32)})
+        seen += float(weight.sum())
+    return seen, adam.params
+
+
+def _agreement(batches: Iterator[pa.RecordBatch], params: Parameters, code: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weight of the texts of each label that each bit is right about, and of all of them."""
+    total = np.zeros((len(code), code.shape[1] + 1))
+    for part in slices(batches):
+        (x, label), weight = _matrix(part), _weights(part)
+        agree = np.sign(x @ params["w"] + params["b"]) == code[label]
+        np.add.at(total, label, np.concatenate([agree, np.ones((len(x), 1))], axis=1) * weight[:, None])
+    return float(total[:, -1].sum()), total.ravel()
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model of the labels of ``labelled``; rows with a null label or text are left out.
 
-    Every label is learned, from about ``SAMPLE`` of its texts chosen by hash; a text with copies is one text, however many they are.
+    Every label is learned, from all of its texts: a model of about ``SAMPLE`` of each, chosen by hash, is where one pass over every text
+    starts, unless those are all there are. The weights of the bits come from all texts, too. A text with copies is one text, however many they
+    are, and languages with more than ``SAMPLE`` texts count alike.
     Without labels the model knows no language; with one it always answers that one.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
@@ -171,7 +210,14 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         np.add.at(total, label, np.concatenate([agree, np.ones((len(x), 1))], axis=1))
         return total.ravel()
 
-    total = sums(chosen, right, len(languages) * (code.shape[1] + 1)).reshape(len(languages), -1)
+    size = len(languages) * (code.shape[1] + 1)
+    if all(r.texts <= each for r in counts):
+        total = sums(chosen, right, size)
+    else:
+        every = _weighed(rows, keys)
+        params = sweep(every, params, lambda batches, start: _descend(batches, start, code))
+        total = totals(every, lambda batches: _agreement(batches, params, code), size)[1]
+    total = total.reshape(len(languages), -1)
     weights = (total[:, :-1] + 1) / (total[:, -1:] + 2)
     return Model(languages, code, weights / weights.sum(axis=1, keepdims=True), params)
 

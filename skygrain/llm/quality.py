@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skygrain.llm.common import rows_for, slices
-from skygrain.llm.training import Adam, Parameters, mix, share, sigmoid
-from skygrain.session import durable
+from skygrain.llm.training import Adam, Parameters, mix, share, sigmoid, sweep
+from skygrain.session import durable, small_side
 
 PASSAGE_WORDS = 64
-# Labelled documents of each label the model is fitted on, about: those with the lowest hashes.
+# Labelled documents of each label the model starts from, about: those with the lowest hashes.
 SAMPLE = 2500
 # Each round goes over a part's documents so often, and makes at least so many steps of so many documents.
 ROUNDS, EPOCHS, LEAST_STEPS, BAGS = 5, 3, 60, 32
+# Rate of the first step where the model goes over all labelled documents.
+RATE = 0.003
 THRESHOLD = 0.3
 _HIDDEN, _GATE = 24, 12
 _LENGTHS = 12
@@ -127,9 +129,9 @@ def _bags(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Parameters | None:
     """Parameters fitted to the labels (1 or not) of ``labels``; None if there is no labelled document.
 
-    Fitted on about ``SAMPLE`` documents of each label, chosen by the hash of
-    the key, weighted so that the labels count as often as they occur. Null keys and
-    labels are left out; a null text is an empty one.
+    Fitted on all labelled documents: a model of about ``SAMPLE`` of each label, chosen by the hash of the key and
+    weighted so that the labels count as often as they occur, is where one pass over all of them starts, unless those are all there
+    are. Null keys and labels are left out; a null text is an empty one.
     """
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).alias("_key"), (F.col(label) == 1).cast("int").alias("label"))
     counts = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
@@ -154,7 +156,21 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                 adam.update(Forward(adam.params, x, starts).gradient(label[some], weight[some]))
         return adam.params
 
-    return mix(rows, fresh_parameters(), ROUNDS, improve)
+    params = mix(rows, fresh_parameters(), ROUNDS, improve)
+    if min(part.values()) == 1:
+        return params
+    return sweep(texts.join(small_side(marked), "_key").select("text", "label"), params, _descend)
+
+
+def _descend(batches: Iterator[pa.RecordBatch], start: Parameters) -> tuple[float, Parameters]:
+    """The number of documents of a stream, and parameters after one step along the gradient of each ``BAGS`` of them."""
+    adam, seen = Adam(start, RATE), 0
+    for some in slices(batches, BAGS):
+        x, starts = _bags(some.column("text").to_pylist())
+        adam.rate = RATE / (1 + adam.step / 50) ** 0.5
+        adam.update(Forward(adam.params, x, starts).gradient(some.column("label").to_numpy().astype(float), np.ones(some.num_rows)))
+        seen += some.num_rows
+    return float(seen), adam.params
 
 
 def score(df: DataFrame, params: Parameters | None, text: str = "text", name: str = "score") -> DataFrame:

@@ -156,3 +156,40 @@ def test_every_label_is_learned_and_copies_do_not_fill_the_sample(spark, monkeyp
     assert len(model.languages) == 600 and written["language-sample"].count() <= 1800
     got = langid.identify(docs, model).collect()
     assert len({r.lang_pred for r in got}) > 570 and np.mean([r.lang_pred == r.lang for r in got]) > 0.9
+
+
+def test_rows_outside_the_sample_are_learned(spark, monkeypatch):
+    """Half of a language's texts have words of their own, and the sample holds none of them."""
+    pick = np.random.default_rng(6)
+    monkeypatch.setattr(langid, "SAMPLE", 30)
+    monkeypatch.setattr(langid, "share", lambda key, part: key[0].rlike("^(ka|mo)"))
+    made = lambda start, syllables: start + " " + " ".join("".join(pick.choice(syllables, 2)) for _ in range(30))
+    rows = [(made("ka", ["ka", "lu"]), "a") for _ in range(40)] + [(made("mo", ["mo", "se"]), "b") for _ in range(40)]
+    unseen = [made("zi", ["zi", "xo"]) for _ in range(1200)]
+    rows += [(t, "b") for t in unseen]
+    docs = spark.createDataFrame(rows + rows[:3] * 5, "text string, lang string").repartition(3)
+    alone = langid.learn(docs.filter("not text like 'zi%'").limit(0).union(docs.filter("text rlike '^(ka|mo)'")))
+    model = langid.learn(docs)
+    chance = lambda m: np.mean([s if n == "b" else 1 - s for n, s in zip(*m.predict(unseen[:50])[:2])])
+    assert chance(model) > chance(alone) + 0.05 and model.predict(["ka lu kalu lulu", "mo se mose"])[0] == ["a", "b"]
+
+
+def test_copies_weigh_as_one_text(spark):
+    rows = [("one two", "a")] * 9 + [("three", "a"), ("four", "b")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    keys = spark.createDataFrame([("a", 0, 0.5), ("b", 1, 1.0)], "lang string, label int, part double")
+    found = langid._weighed(docs, keys).groupBy("text").agg({"weight": "sum"}).collect()
+    assert {r[0]: pytest.approx(r[1]) for r in found} == {"one two": 0.5, "three": 0.5, "four": 1.0}
+
+
+def test_quality_learns_from_labels_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 40)
+    monkeypatch.setattr(quality, "share", lambda key, rate: key[0] < 80)
+    texts = {"Good text here. ": 1, "JUNK!! ": 0, "12 34 567 ": 0}
+    rows = [(k, ["Good text here. ", "JUNK!! "][k % 2] * 30) for k in range(80)] + [(k, "12 34 567 " * 30) for k in range(80, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(text like 'Good%' as int) as quality")
+    test = spark.createDataFrame([(t * 30,) for t in texts], "text string")
+    got = {r.text[:4]: r.score for r in quality.score(test, quality.learn(docs.repartition(3), labels)).collect()}
+    few = {r.text[:4]: r.score for r in quality.score(test, quality.learn(docs.filter("doc_id < 80"), labels.filter("doc_id < 80"))).collect()}
+    assert got["12 3"] < 0.1 and got["12 3"] < few["12 3"] and got["Good"] > 0.5
