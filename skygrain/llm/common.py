@@ -82,3 +82,13 @@ def bounds(key: np.ndarray) -> np.ndarray:
     if not len(key):
         return np.zeros(1, np.int64)
     return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
+
+
+def segment_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``starts``; for many short runs far faster than ``np.add.reduceat``."""
+    if not len(starts):
+        return np.zeros((0, rows.shape[1]))
+    total = np.cumsum(rows, axis=0, dtype=np.float64)
+    out = total[np.append(starts[1:], len(rows)) - 1]
+    out[1:] -= total[starts[1:] - 1]
+    return out

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import SLICE_ROWS, rows_for, slices
+from skygrain.llm.common import SLICE_ROWS, rows_for, segment_sums, slices
 from skygrain.llm.training import totals
 from skygrain.session import durable
 
@@ -184,7 +184,7 @@ def _project(cells: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.ndarray
     """The matrix times ``basis``; its rows are those of the passages."""
     row, column, value = cells
     starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    return np.add.reduceat(value[:, None] * basis[column], starts, axis=0)
+    return segment_sums(value[:, None] * basis[column], starts).astype(basis.dtype, copy=False)
 
 
 def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> None:
@@ -194,7 +194,7 @@ def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray],
     column = column[order]
     starts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
     number = np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
-    out[column[starts]] += np.add.reduceat(value[order][:, None] * rows[number[order]], starts, axis=0)
+    out[column[starts]] += segment_sums(value[order][:, None] * rows[number[order]], starts)
 
 
 def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
