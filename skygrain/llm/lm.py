@@ -3,14 +3,13 @@
 P(word | history) = P(class | history) * P(word | class). The most frequent words
 are classes of their own, so is the end of a document, and all other words fall into classes by hash.
 The class softmax has hashed features of the history: none, the word before (n-gram), the word
-before that (skip) and both (n-gram); a word of the history counts as its class. Within a class a word has its relative
+before that (skip) and both (n-gram), made from the words themselves. Within a class a word has its relative
 frequency, which is what a softmax with only a bias for each word learns, less the share that Good-Turing
 counting keeps for a word never seen.
 
-Because features see the history as classes, counts of (history, class) over all training
-tokens are all the gradient needs: they are gathered once from the whole corpus, and every step sums the
-exact gradient over their partitions. Documents are scored in blocks of stated size; a block brings only its own
-distinct words to their counts and takes the counts back.
+Weights come from iterative scaling over all training tokens: how often each feature is seen with each class, and how often
+the model expects it, are sums over the partitions. What the unigram start expects needs no pass. Documents are scored in blocks of stated size; a block
+brings only its own distinct words to their counts and takes the counts back.
 """
 
 from __future__ import annotations
@@ -24,15 +23,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import rows_for, slices
-from skygrain.llm.training import Adam, sums
+from skygrain.llm.common import rows_for, segment_sums, slices
+from skygrain.llm.training import totals
 from skygrain.session import durable
 
 OWN, SHARED = 47, 16
 CLASSES = 1 + OWN + SHARED  # the end of a document, frequent words, hashed classes
 START = CLASSES  # a class only histories have
-BUCKETS = 4096
-STEPS, RATE = 16, 0.5
+# Numbers of words in a history, by hash; the last one is the start of a document.
+WORDS = (1 << 24) + 1
+BUCKETS = 1 << 15
+# Passes over the training tokens for what the model expects, the step of each (features of a history that change) and what unseen cells count.
+PASSES, STEP, SMOOTH = 1, 1 / 3, 20.0
+_PIECE = 1 << 20
+_ROWS = 4096
 BLOCK_CHARS = 16 << 20
 END = b""
 _SEED = 42
@@ -43,42 +47,55 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
-def features(history: np.ndarray) -> np.ndarray:
-    """Buckets of the four features of each history (second word back * 65 + word before)."""
-    two, one = history // (CLASSES + 1), history % (CLASSES + 1)
-    keys = np.stack([np.zeros_like(one), 1 + one, 1000 + two, 10_000 + history], axis=1).astype(np.uint64)
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype(np.int64)
+def features(history: np.ndarray, size: int = CLASSES + 1) -> np.ndarray:
+    """Buckets of the four features of each history (second word back * ``size`` + word before)."""
+    two, one = history // size, history % size
+    keys = np.stack([np.zeros_like(one), 1 + one, 1 + size + two, 1 + 2 * size + history], axis=1).astype(np.uint64)
+    keys ^= keys >> np.uint64(29)
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(49)).astype(np.int64)
 
 
-def log_softmax(weights: np.ndarray, history: np.ndarray) -> np.ndarray:
-    logits = weights[features(history)].sum(axis=1, dtype=np.float64)
+def _logits(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
+    logits = weights[at[:, 0]]
+    for column in at.T[1:]:
+        logits += weights[column]
     logits -= logits.max(axis=1, keepdims=True)
     return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
 
-def histories(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """History of each token of documents that begin at ``starts``."""
-    one, two = np.full(len(classes), START), np.full(len(classes), START)
+def log_softmax(weights: np.ndarray, history: np.ndarray, size: int = CLASSES + 1) -> np.ndarray:
+    return _logits(weights, features(history, size))
+
+
+def histories(classes: np.ndarray, starts: np.ndarray, size: int = CLASSES + 1) -> np.ndarray:
+    """History of each token of documents that begin at ``starts``; tokens are numbers below ``size - 1``, which is the start."""
+    one, two = np.full(len(classes), size - 1), np.full(len(classes), size - 1)
     one[1:], two[2:] = classes[:-1], classes[:-2]
-    one[starts] = START
-    two[starts] = START
+    one[starts] = size - 1
+    two[starts] = size - 1
     second = starts + 1
-    two[second[second < len(classes)]] = START
-    return two * (CLASSES + 1) + one
+    two[second[second < len(classes)]] = size - 1
+    return two * size + one
+
+
+def _number(hashed: int) -> int:
+    """Number of a word in a history, from bits of its hash that say nothing of its class."""
+    return (hashed >> 20) % (WORDS - 1)
 
 
 class _Classes(dict):
-    """Class of a word; the dictionary starts anew when it is full."""
+    """Number in a history * ``CLASSES`` + class of a word; the dictionary starts anew when it is full."""
 
-    def __init__(self, frequent: dict[bytes, int]):
-        super().__init__(frequent)
-        self.frequent = frequent
+    def __init__(self, frequent: list[bytes]):
+        super().__init__()
+        self.frequent = {END: 0} | {w: 1 + k for k, w in enumerate(frequent)}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > 100_000:
             self.clear()
-            self.update(self.frequent)
-        self[word] = found = 1 + OWN + (xxhash.xxh64_intdigest(word, _SEED) & SHARED - 1)
+        hashed = xxhash.xxh64_intdigest(word, _SEED)
+        found = self.frequent.get(word)
+        self[word] = found = _number(hashed) * CLASSES + (1 + OWN + (hashed & SHARED - 1) if found is None else found)
         return found
 
 
@@ -137,54 +154,82 @@ def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["block", "word", "n"])
 
 
-def _gather(rows: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """``history, class, n`` over all training tokens; at most 65 * 65 * 64 rows."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes_of = _Classes({END: 0} | {w: 1 + k for k, w in enumerate(frequent)})
-        total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                classes = np.fromiter(map(classes_of.__getitem__, tokens(text)), np.int64)
-                cells = histories(classes, np.zeros(1, np.int64)) * CLASSES + classes
-                if len(cells) > 20_000:
-                    total += np.bincount(cells, minlength=len(total))
-                else:
-                    np.add.at(total, cells, 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at // CLASSES, pa.int64()), pa.array(at % CLASSES, pa.int32()), pa.array(total[at])], ["history", "class", "n"])
-
-    found = rows.filter("train").select("text").mapInArrow(run, "history long, class int, n long")
-    return durable(found.groupBy("history", "class").agg(F.sum("n").alias("n")).coalesce(4), "histories")
-
-
-def _train(gathered: DataFrame, class_tokens: np.ndarray) -> np.ndarray:
-    """Weights of every bucket for every class, after ``STEPS`` steps along the exact gradient of all training tokens."""
-    total = max(1.0, float(class_tokens.sum()))
-    params = {"w": np.zeros((BUCKETS, CLASSES))}
-    params["w"][features(np.zeros(1, np.int64))[0, 0]] = np.log((class_tokens + 1) / (total + CLASSES))
-    adam = Adam(params, RATE)
-    for k in range(STEPS if class_tokens.sum() else 0):
-        weights = adam.params["w"].astype(np.float32)
-
-        def gradient(part: pa.Table, weights=weights) -> np.ndarray:
-            history, n = part.column("history").to_numpy(), part.column("n").to_numpy().astype(float)
-            unique, inverse = np.unique(history, return_inverse=True)
-            expected = np.exp(log_softmax(weights, unique)) * np.bincount(inverse, weights=n)[:, None]
-            np.subtract.at(expected, (inverse, part.column("class").to_numpy()), n)
-            out, at = np.zeros((BUCKETS, CLASSES)), features(unique)
-            for column in at.T:
-                np.add.at(out, column, expected)
-            return out.ravel()
-
-        found = sums(gathered, gradient, BUCKETS * CLASSES).reshape(BUCKETS, CLASSES) / total
-        adam.rate = RATE / (1 + k / 4)
-        adam.update({"w": found + 1e-7 * adam.params["w"]})
-    return adam.params["w"].astype(np.float32)
+def _tokens(batches: Iterable[pa.RecordBatch], frequent: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and class of every token, in pieces of about ``_PIECE`` characters of whole texts."""
+    known = _Classes(frequent)
+
+    def piece(lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.array([len(t) for t in lists])
+        found = np.fromiter((known[w] for t in lists for w in t), np.int64, int(lengths.sum()))
+        return features(histories(found // CLASSES, np.cumsum(lengths) - lengths, WORDS), WORDS), found % CLASSES
+
+    lists, chars = [], 0
+    for batch in slices(batches):
+        for text in batch.column(0).to_pylist():
+            lists.append(tokens(text))
+            chars += len(text)
+            if chars > _PIECE:
+                yield piece(lists)
+                lists, chars = [], 0
+    if lists:
+        yield piece(lists)
+
+
+def _observed(rows: DataFrame, frequent: list[bytes]) -> np.ndarray:
+    """How often each bucket is seen with each class, over all training tokens."""
+    def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
+        total, n = np.zeros(BUCKETS * CLASSES), 0
+        for at, cls in _tokens(batches, frequent):
+            total += np.bincount((at * CLASSES + cls[:, None]).ravel(), minlength=len(total))
+            n += len(cls)
+        return n, total
+
+    return totals(rows, count, BUCKETS * CLASSES)[1].reshape(BUCKETS, CLASSES)
+
+
+def _expected(rows: DataFrame, frequent: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """How often the model expects each bucket with each class, over all training tokens."""
+    def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
+        total, n = np.zeros((BUCKETS, CLASSES)), 0
+        for at, _ in _tokens(batches, frequent):
+            for low in range(0, len(at), _ROWS):
+                some = at[low:low + _ROWS]
+                chance = np.exp(_logits(weights, some))
+                for column in some.T:
+                    order = np.argsort(column, kind="stable")
+                    column = column[order]
+                    starts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
+                    total[column[starts]] += segment_sums(chance[order], starts)
+            n += len(at)
+        return n, total.ravel()
+
+    return totals(rows, count, BUCKETS * CLASSES)[1].reshape(BUCKETS, CLASSES)
+
+
+def _train(rows: DataFrame, frequent: list[bytes], class_tokens: np.ndarray) -> np.ndarray:
+    """Weights of every bucket for every class, by iterative scaling over all training tokens."""
+    even = (class_tokens + 1) / (class_tokens.sum() + CLASSES)
+    weights, bias = np.zeros((BUCKETS, CLASSES)), features(np.zeros(1, np.int64))[0, 0]
+    weights[bias] = np.log(even)
+    if not class_tokens.sum():
+        return weights.astype(np.float32)
+    texts = rows.filter("train").select("text")
+    seen = _observed(texts, frequent)
+    expected = seen.sum(axis=1, keepdims=True) * even
+    for left in range(PASSES, -1, -1):
+        step = STEP * np.log((seen + SMOOTH * even) / (expected + SMOOTH * even))
+        step[bias] = 0
+        weights += step
+        if left:
+            expected = _expected(texts, frequent, weights.astype(np.float32))
+    return weights.astype(np.float32)
 
 
 def _score(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
     """Scores of one block's documents; ``words`` has each of its words, some more than once."""
     known = {w: k for k, w in enumerate(words.column("word").to_pylist())}
+    number = np.zeros(words.num_rows, np.int64)
+    number[list(known.values())] = [_number(xxhash.xxh64_intdigest(w, _SEED)) for w in known]
     count, cls = words.column("c").to_numpy().astype(float), words.column("class").to_numpy()
     base = np.log10(count + 1) - np.log10(model.train_tokens + model.distinct + 1)
     inner = model.inner(count, cls)
@@ -203,8 +248,11 @@ def _score(model: Model, docs: pa.Table, words: pa.Table) -> pa.Table:
         ids = np.fromiter((known[w] for t in lists for w in t), np.int64, int(lengths.sum()))
         starts = np.cumsum(lengths) - lengths
         classes = cls[ids].astype(np.int64)
-        unique, inverse = np.unique(histories(classes, starts), return_inverse=True)
-        logs = log_softmax(model.weights, unique)[inverse, classes] / np.log(10) + inner[ids]
+        history, logs = histories(number[ids], starts, WORDS), np.empty(len(ids))
+        for low in range(0, len(ids), _ROWS):
+            part = slice(low, low + _ROWS)
+            logs[part] = np.take_along_axis(log_softmax(model.weights, history[part], WORDS), classes[part, None], axis=1)[:, 0]
+        logs = logs / np.log(10) + inner[ids]
         out["n_tokens"][first:at] = lengths
         out["n_known"][first:at] = np.add.reduceat((count[ids] > 0).astype(np.int64), starts)
         out["base_score"][first:at] = np.add.reduceat(base[ids], starts)
@@ -229,7 +277,7 @@ def score(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text
                                                                                          F.count_if(F.col("c") == 1).alias("once")).collect()}
     class_tokens, class_words, class_once = (np.array([per_class[k][name] if k in per_class else 0 for k in range(CLASSES)], float)
                                              for name in ("tokens", "words", "once"))
-    model = Model(frequent, _train(_gather(rows, frequent), class_tokens), int(class_tokens.sum()), int(class_words.sum()), class_tokens, class_once)
+    model = Model(frequent, _train(rows, frequent, class_tokens), int(class_tokens.sum()), int(class_words.sum()), class_tokens, class_once)
     known = words.select("block", "word").join(counted, "word").select("block", "word", "c", _class("word", frequent).alias("class"))
 
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:

@@ -71,3 +71,37 @@ def test_softmax_adds_up_and_learns(spark):
     docs = spark.createDataFrame([(k, text) for k in range(5)], "doc_id long, text string")
     rows = lm.score(docs, docs["doc_id"] < 4).collect()
     assert all(r.score > 0.2 * r.base_score for r in rows)
+
+
+def test_words_of_a_history_are_told_apart(spark):
+    """What follows a word depends on that very word, however many others share its class."""
+    pick = np.random.default_rng(2)
+    left, right = ["l%d" % k for k in range(300)], ["r%d" % k for k in range(300)]
+    line = lambda: " ".join(w for k in range(200) for w in ((str(pick.choice(left)), "yes") if pick.random() < 0.5 else (str(pick.choice(right)), "no")))
+    rows = [(k, line()) for k in range(120)]
+    rows += [(1000, "l7 yes r9 no " * 50), (1001, "l7 no r9 yes " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.score for r in lm.score(docs, docs["doc_id"] < 120).collect()}
+    # 100 times the right word: more than 0.15 decimal digits each
+    assert found[1000] > found[1001] + 15
+
+
+def test_expected_counts_equal_a_plain_model(spark):
+    pick = np.random.default_rng(5)
+    texts = [" ".join("w%d" % w for w in pick.integers(0, 9, 30)) for _ in range(8)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("cast(text as binary) as text").repartition(3)
+    weights = pick.normal(size=(lm.BUCKETS, lm.CLASSES)).astype(np.float32)
+    frequent, known = [b"w1", b"w2"], lm._Classes([b"w1", b"w2"])
+    seen, expected = np.zeros((lm.BUCKETS, lm.CLASSES)), np.zeros((lm.BUCKETS, lm.CLASSES))
+    for t in texts:
+        two = one = lm.WORDS - 1
+        for w in lm.tokens(t.encode()):
+            word, cls = divmod(known[w], lm.CLASSES)
+            at = lm.features(np.array([two * lm.WORDS + one]), lm.WORDS)[0]
+            logits = weights[at].sum(axis=0, dtype=float)
+            for b in at:
+                seen[b, cls] += 1
+                expected[b] += np.exp(logits) / np.exp(logits).sum()
+            two, one = one, word
+    assert (lm._observed(docs, frequent) == seen).all()
+    assert np.allclose(lm._expected(docs, frequent, weights), expected, rtol=1e-4, atol=1e-4)
