@@ -61,7 +61,7 @@ def sums(rows: DataFrame, count: Callable[[pa.Table], np.ndarray], size: int) ->
     return sum((np.frombuffer(r.p) for r in rows.mapInArrow(run, "p binary").collect()), np.zeros(size))
 
 
-# Tasks that add up what all others have found, so that the driver gets so few results, whatever the size of the table.
+# Tasks that add up what all others have found; one more adds up theirs, so that the driver gets one result, whatever the size of the table.
 MERGES = 4
 
 
@@ -80,7 +80,10 @@ def totals(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], tuple[fl
                 found += np.frombuffer(p.as_py())
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([found.tobytes()], pa.binary())], ["n", "p"])
 
-    parts = rows.mapInArrow(run, "n double, p binary").repartition(MERGES).mapInArrow(merge, "n double, p binary").collect()
+    parts = rows.mapInArrow(run, "n double, p binary")
+    for tasks in (MERGES, 1):
+        parts = parts.repartition(tasks).mapInArrow(merge, "n double, p binary")
+    parts = parts.collect()
     return sum(r.n for r in parts), sum((np.frombuffer(r.p) for r in parts), np.zeros(size))
 
 
