@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def text_slices(batches: Iterable[pa.RecordBatch], column: int, size: int, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, each of one row or at most ``size`` bytes of the text or binary ``column``."""
+    for batch in slices(batches, rows):
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def rows_for(total: int, share: int, least: int = 1) -> int:
     """Number of parts of about ``share`` that make up ``total``."""
     return max(least, -(-int(total or 0) // share))

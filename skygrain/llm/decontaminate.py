@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import SLICE_ROWS, rows_for, segment_sums, slices
+from skygrain.llm.common import rows_for, slices, text_slices
 from skygrain.llm.training import totals
 from skygrain.session import durable
 
@@ -43,9 +43,15 @@ LEAST_WORDS = 8
 # Items that meet the documents in one pass.
 ITEM_BLOCK = 4096
 # Cosines that are computed at a time.
-_WORK = 1 << 21
+_WORK = 1 << 18
+# Words whose cells are in memory at a time, a multiple of those of a passage; and cells whose vectors are gathered at a time, as many as a core's cache holds.
+PIECE_WORDS, _GATHER = 1 << 17, 1 << 13
+# Bytes of text that meet the items at a time.
+SLICE_BYTES = 1 << 18
 
 _WORD = bytes((c + 32 if 65 <= c <= 90 else c) if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
+# Column of the numbers of a text's words.
+NUMBERS = "_bucket_numbers"
 LEAK = "struct<item_id:bigint,cosine:double,common:double,answer:double>"
 
 
@@ -180,21 +186,49 @@ def _matrix(ids: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     return row, column, value / np.maximum(norm, 1e-12)[row]
 
 
+def _weighted_sums(value: np.ndarray, index: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of ``value`` times the rows of ``index`` from each cut to the next.
+
+    Runs are filled up to the next power of two, so that those of about one length are one stack of products; long ones are added up piece by piece.
+    """
+    out = np.zeros((len(cuts) - 1, rows.shape[1]))
+    run, start, size = np.arange(len(cuts) - 1), cuts[:-1], np.diff(cuts)
+    while len(run):
+        here = np.minimum(size, _GATHER)
+        kind = np.ceil(np.log2(here)).astype(np.int64)
+        for k in np.unique(kind).tolist():
+            some = np.flatnonzero(kind == k)
+            step = max(1, _GATHER >> k)
+            for low in range(0, len(some), step):
+                part = some[low:low + step]
+                place = np.arange(1 << k)
+                inside = place < here[part][:, None]
+                cell = np.where(inside, start[part][:, None] + place, 0)
+                weight = np.where(inside, value[cell], 0)
+                out[run[part]] += np.matmul(weight[:, None, :], rows[index[cell]])[:, 0]
+        more = np.flatnonzero(size > _GATHER)
+        run, start, size = run[more], start[more] + _GATHER, size[more] - _GATHER
+    return out
+
+
+def _cuts(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Where runs of one number begin, and the end of the last."""
+    return np.flatnonzero(np.concatenate([[True], sorted_numbers[1:] != sorted_numbers[:-1], [True]])) if len(sorted_numbers) else np.zeros(1, np.int64)
+
+
 def _project(cells: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.ndarray) -> np.ndarray:
     """The matrix times ``basis``; its rows are those of the passages."""
     row, column, value = cells
-    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    return segment_sums(value[:, None] * basis[column], starts).astype(basis.dtype, copy=False)
+    return _weighted_sums(value, column, basis, _cuts(row))
 
 
 def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> None:
     """Add the transposed matrix times ``rows`` to ``out``."""
     row, column, value = cells
-    order = np.argsort(column, kind="stable")
-    column = column[order]
-    starts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-    number = np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
-    out[column[starts]] += segment_sums(value[order][:, None] * rows[number[order]], starts)
+    order = np.argsort(column.astype(np.uint16), kind="stable")  # 16-bit numbers are sorted by radix
+    column, number = column[order], np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
+    cuts = _cuts(column)
+    out[column[cuts[:-1]]] += _weighted_sums(value[order], number[order], rows, cuts)
 
 
 def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
@@ -204,6 +238,19 @@ def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) ->
     return out
 
 
+def _with_numbers(rows: DataFrame, text: str) -> DataFrame:
+    """All columns and ``NUMBERS``, the buckets of the text's words as 16-bit numbers; written, so that texts are cut into words once."""
+    at = rows.columns.index(text)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [buckets(words(t or b"")).astype(np.uint16).tobytes() for t in batch.column(at).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, NUMBERS])
+
+    return durable(rows.mapInArrow(run, f"{kinds}, {NUMBERS} binary"), "bucket-numbers")
+
+
 def _numbered(rows: DataFrame, text: str) -> DataFrame:
     """``ids`` of every text, the buckets of its words as 16-bit numbers; written, so that texts are cut into words once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,19 +260,36 @@ def _numbered(rows: DataFrame, text: str) -> DataFrame:
     return durable(rows.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).mapInArrow(run, "ids binary"), "bucket-numbers")
 
 
-def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the words of some texts one after another, and the texts' numbers of words."""
-    found = batch.column(0).to_pylist()
-    return np.frombuffer(b"".join(found), np.uint16).astype(np.int64), np.array([len(f) // 2 for f in found], np.int64)
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the words of some texts one after another, and the texts' numbers of words; about ``PIECE_WORDS`` at a time.
+
+    A longer text comes in several parts, without words that repeat the one before and cut between its passages.
+    """
+    ids: list[np.ndarray] = []
+    total = 0
+    for batch in batches:
+        for text in batch.column(0):
+            found = np.frombuffer(text.as_buffer(), np.uint16)
+            if len(found) > PIECE_WORDS:
+                found = found[fresh(found)]
+            for low in range(0, len(found), PIECE_WORDS):
+                part = found[low:low + PIECE_WORDS]
+                if ids and total + len(part) > PIECE_WORDS:
+                    yield np.concatenate(ids).astype(np.int64), np.array(list(map(len, ids)), np.int64)
+                    ids, total = [], 0
+                ids.append(part)
+                total += len(part)
+    if ids:
+        yield np.concatenate(ids).astype(np.int64), np.array(list(map(len, ids)), np.int64)
 
 
 def document_frequencies(numbered: DataFrame) -> tuple[np.ndarray, int]:
     """Documents that hold a word of each bucket, over all documents, and their number."""
     def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
         total, rows = np.zeros(BUCKETS), 0
-        for batch in slices(batches):
-            ids, sizes = _read(batch)
-            total += np.bincount(np.unique(np.repeat(np.arange(len(sizes)), sizes) * BUCKETS + ids) % BUCKETS, minlength=BUCKETS)
+        for batch in batches:
+            for text in batch.column(0):
+                total[np.unique(np.frombuffer(text.as_buffer(), np.uint16))] += 1
             rows += batch.num_rows
         return rows, total
 
@@ -235,17 +299,13 @@ def document_frequencies(numbered: DataFrame) -> tuple[np.ndarray, int]:
 
 def _product(numbered: DataFrame, basis: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """The transposed TF-IDF matrix of all passages times that matrix times ``basis``."""
-    basis = basis.astype(np.float32)
-
     def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
-        total, rows = np.zeros(basis.shape), 0
-        for batch in slices(batches, 4 * SLICE_ROWS):
-            row, column, value = _matrix(*_read(batch), idf)
-            if len(row):
-                cells = row, column, value.astype(np.float32)
-                _add_back(total, cells, _project(cells, basis))
-            rows += batch.num_rows
-        return rows, total.ravel()
+        total, pieces = np.zeros(basis.shape), 0
+        for ids, sizes in _pieces(batches):
+            cells = _matrix(ids, sizes, idf)
+            _add_back(total, cells, _project(cells, basis))
+            pieces += 1
+        return pieces, total.ravel()
 
     return totals(numbered, count, basis.size)[1].reshape(basis.shape)
 
@@ -256,7 +316,11 @@ def learn(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str
     Two passes over the words' numbers make the basis. The strength of its directions in the documents comes from what the second pass has
     found (Nystroem), so that no third is needed; that in the benchmark is worked out again.
     """
-    ours, theirs = _numbered(docs, text), _numbered(items, item_text)
+    return _fit(_numbered(docs, text), _numbered(items, item_text))
+
+
+def _fit(ours: DataFrame, theirs: DataFrame) -> Space:
+    """The space of ``learn`` from the numbers of the words of the documents and of the items."""
     frequency, count = document_frequencies(ours)
     idf = np.log((count + 1) / (frequency + 1)) + 0.1
     basis = np.random.default_rng(5).normal(size=(BUCKETS, RANK))
@@ -314,7 +378,10 @@ class Searcher:
         # a short block is filled up with a bucket of no weight
         cells = np.full((len(starts), BLOCK_WORDS), BUCKETS)
         cells[np.cumsum(number % BLOCK_WORDS == 0) - 1, number % BLOCK_WORDS] = batch.ids[at]
-        sums_ = self.vectors[cells].sum(axis=1)
+        sums_ = np.empty((len(cells), self.vectors.shape[1]), self.vectors.dtype)
+        step = _GATHER // BLOCK_WORDS
+        for low in range(0, len(cells), step):
+            self.vectors[cells[low:low + step]].sum(axis=1, out=sums_[low:low + step])
         for blocks, some, matrix in self.groups:
             window = sums_.copy()
             for k in range(1, blocks):
@@ -371,9 +438,9 @@ class Searcher:
     def leaks(self, text: bytes) -> list[dict]:
         return self.leaks_of([text])[0]
 
-    def leaks_of(self, texts: list[bytes]) -> list[list[dict]]:
-        """Items that each text holds, each once, with the best of its passages."""
-        batch = Batch(texts)
+    def leaks_of(self, texts: list[bytes], numbers: list[bytes] | None = None) -> list[list[dict]]:
+        """Items that each text holds, each once, with the best of its passages; ``numbers`` are the texts' own, if they are known."""
+        batch = Batch(texts, numbers)
         best: list[dict[int, tuple]] = [{} for _ in texts]
         if self.short:
             for at in np.flatnonzero(self.begins[batch.ids]).tolist():
@@ -401,14 +468,31 @@ class Searcher:
         return [[{"item_id": i, "cosine": c, "common": s, "answer": a} for i, (s, a, c) in sorted(one.items())] for one in best]
 
 
+class _Cut(dict):
+    """Words of the text of each number, cut when they are asked for."""
+
+    def __init__(self, texts: list[bytes]):
+        super().__init__()
+        self.texts = texts
+
+    def __missing__(self, i: int) -> list[bytes]:
+        self[i] = found = words(self.texts[i])
+        return found
+
+
 class Batch:
     """Words of some texts one after another: their buckets, the text of each and the fresh ones' places."""
 
-    def __init__(self, texts: list[bytes]):
-        self.words = [words(t) for t in texts]
-        sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
+    def __init__(self, texts: list[bytes], numbers: list[bytes] | None = None):
+        self.words = _Cut(texts)
+        if numbers is None:
+            found = [self.words[i] for i in range(len(texts))]
+            sizes = np.fromiter(map(len, found), np.int64, len(texts))
+            self.ids = np.fromiter(map(_buckets.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
+        else:
+            sizes = np.fromiter(map(len, numbers), np.int64, len(texts)) // 2
+            self.ids = np.frombuffer(b"".join(numbers), np.uint16).astype(np.int64)
         self.starts = np.cumsum(sizes) - sizes
-        self.ids = np.fromiter(map(_buckets.__getitem__, chain.from_iterable(self.words)), np.int64, int(sizes.sum()))
         self.text = np.repeat(np.arange(len(texts)), sizes)
         new = np.ones(len(self.ids), bool)
         new[1:] = (self.ids[1:] != self.ids[:-1]) | (self.text[1:] != self.text[:-1])
@@ -420,11 +504,14 @@ def annotate(docs: DataFrame, items: DataFrame, space: Space | None = None, text
 
     Null and empty texts are clean. Items without an id or a word are not searched, those of fewer than 8 words by their exact sequence; items that
     repeat an id are passages of one item. A column of that name is replaced; rows are kept as they are, repeats included.
-    Items come to the tasks in blocks of about 4096, one pass over the documents for each block.
+    Items come to the tasks in blocks of about 4096, one pass over the documents for each block. Without a space the documents are
+    written once with the numbers of their words: the space is fitted on these, and the search reads them.
     """
-    space = learn(docs, items, text, item_text) if space is None else space
     docs = docs.drop(name)
-    at = docs.columns.index(text)
+    at, columns, numbered = docs.columns.index(text), docs.columns, space is None
+    if numbered:
+        docs = _with_numbers(docs, text)
+        space = _fit(docs.select(NUMBERS), _numbered(items, item_text))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     wanted = items.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).cast("binary").alias("text")).dropna()
     blocks = rows_for(wanted.count(), ITEM_BLOCK)
@@ -436,15 +523,16 @@ def annotate(docs: DataFrame, items: DataFrame, space: Space | None = None, text
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared, last=block > 0) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(*shared.value)
-            for batch in slices(batches):
-                found = searcher.leaks_of([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()])
+            for batch in text_slices(batches, at, SLICE_BYTES):
+                numbers = batch.column(NUMBERS).to_pylist() if numbered else None
+                found = searcher.leaks_of([t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()], numbers)
                 if last:
                     found = [[*before, *new] for before, new in zip(batch.column(name).to_pylist(), found)]
                 yield pa.RecordBatch.from_arrays([*(batch.columns[:-1] if last else batch.columns), pa.array(found, leak)],
                                                  [*(batch.schema.names[:-1] if last else batch.schema.names), name])
 
         docs = docs.mapInArrow(run, f"{kinds}, `{name}` array<{LEAK}>")
-    return docs
+    return docs.select(*[F.col(f"`{c}`") for c in columns], name)
 
 
 def find(docs: DataFrame, items: DataFrame, space: Space | None = None, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> DataFrame:

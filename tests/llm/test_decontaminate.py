@@ -1,12 +1,15 @@
 """Leaks of benchmark passages: exact copies, paraphrases, recall of the candidate search, odd rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skygrain.llm import decontaminate as d
 from skygrain.llm import queries
+from skygrain.llm.common import text_slices
 
 SF = "/root/testdata/sf0.01"
 
@@ -170,3 +173,62 @@ def test_products_equal_the_whole_matrix(spark):
     matrix[cells[0], cells[1]] = cells[2]
     basis = pick.normal(size=(d.BUCKETS, 3))
     assert np.allclose(d._product(numbered, basis, idf), matrix.T @ (matrix @ basis), rtol=1e-3, atol=1e-3)
+
+
+def _batches(texts):
+    numbers = [d.buckets(d.words(t)).astype(np.uint16).tobytes() for t in texts]
+    return [pa.record_batch([pa.array(numbers[k:k + 7], pa.binary())], ["ids"]) for k in range(0, len(texts), 7)]
+
+
+def test_products_in_pieces_equal_the_whole_matrix(monkeypatch):
+    """Texts longer than a piece, runs longer than what is gathered, repeated words at the cuts."""
+    pick = np.random.default_rng(6)
+    texts = [b" ".join(b"w%d" % w for w in pick.integers(0, high, size)) for high, size in [(2, 700), (300, 500), (5, 33), (9, 64), (300, 10), (3, 0), (1, 90)] * 4]
+    idf, basis = pick.random(d.BUCKETS) + 0.5, pick.normal(size=(d.BUCKETS, 3))
+    cells = d._cells(texts, [1.0] * len(texts), idf)
+    matrix = np.zeros((cells[0].max() + 1, d.BUCKETS))
+    matrix[cells[0], cells[1]] = cells[2]
+    monkeypatch.setattr(d, "PIECE_WORDS", 64)
+    monkeypatch.setattr(d, "_GATHER", 16)
+    total = np.zeros(basis.shape)
+    for ids, sizes in d._pieces(_batches(texts)):
+        assert len(ids) <= 64 == d.PIECE_WORDS and sizes.sum() == len(ids)
+        part = d._matrix(ids, sizes, idf)
+        d._add_back(total, part, d._project(part, basis))
+    assert np.allclose(total, matrix.T @ (matrix @ basis))
+
+
+def test_long_texts_take_bounded_memory():
+    """The search and the products of many long texts hold the vectors of a part of their words only."""
+    pick = random.Random(9)
+    texts = [" ".join("w%d" % pick.randrange(3000) for _ in range(20_000)).encode() for _ in range(30)]
+    searcher = d.Searcher(d.Space(np.ones((d.BUCKETS, d.RANK), np.float32)), d.passages_of(1, b" ".join(b"q%d" % k for k in range(30))))
+    batch = d.Batch(texts)
+    tracemalloc.start()
+    next(searcher.candidates(batch), None)
+    search = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    total, basis = np.zeros((d.BUCKETS, d.RANK)), np.ones((d.BUCKETS, d.RANK))
+    for ids, sizes in d._pieces(_batches(texts)):
+        part = d._matrix(ids, sizes, np.ones(d.BUCKETS))
+        d._add_back(total, part, d._project(part, basis))
+    product = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert search < 120e6 and product < 150e6, (search, product)
+
+
+def test_slices_are_bounded_by_text():
+    texts = ["a" * 50, None, "b" * 300, "", "c" * 60, "d" * 30, "e" * 20]
+    batch = pa.record_batch([pa.array(texts), pa.array(range(7))], ["text", "k"])
+    found = [b.column(1).to_pylist() for b in text_slices([batch], 0, 100)]
+    assert [k for f in found for k in f] == list(range(7)) and [0, 1] in found
+    assert all(len(f) == 1 or sum(len(texts[k] or "") for k in f) <= 100 for f in found)
+
+
+def test_search_by_written_numbers_equals_search_by_text(spark, space):
+    """Without a space the search goes by the numbers that the fit has written; columns and rows stay as they are."""
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    one, two = d.annotate(docs, items), d.annotate(docs, items, space)
+    assert one.columns == two.columns == [*docs.columns, "leaks"]
+    found = [sorted((r.doc_id, r.text, [x.item_id for x in r.leaks]) for r in rows.collect()) for rows in (one, two)]
+    assert found[0] == found[1] and any(x[2] for x in found[0])
