@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Documents are handed to Python in pieces of so many rows, so that long texts do not add up.
 SLICE_ROWS = 128
+# Cells whose rows ``weighted_sums`` gathers at a time, as many as a core's cache holds.
+GATHER = 1 << 13
 
 
 def fold(key: Column, parts: int) -> Column:
@@ -96,11 +98,31 @@ def bounds(key: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
 
 
-def segment_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that begin at ``starts``; for many short runs far faster than ``np.add.reduceat``."""
-    if not len(starts):
-        return np.zeros((0, rows.shape[1]))
-    total = np.cumsum(rows, axis=0, dtype=np.float64)
-    out = total[np.append(starts[1:], len(rows)) - 1]
-    out[1:] -= total[starts[1:] - 1]
+def weighted_sums(value: np.ndarray, index: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of ``value`` times the rows of ``index`` from each cut to the next.
+
+    Runs are filled up to the next power of two, so that those of about one length are one stack of products; long ones are added up piece by piece.
+    """
+    out = np.zeros((len(cuts) - 1, rows.shape[1]))
+    run, start, size = np.arange(len(cuts) - 1), cuts[:-1], np.diff(cuts)
+    while len(run):
+        here = np.minimum(size, GATHER)
+        kind = np.ceil(np.log2(here)).astype(np.int64)
+        for k in np.unique(kind).tolist():
+            some = np.flatnonzero(kind == k)
+            step = max(1, GATHER >> k)
+            for low in range(0, len(some), step):
+                part = some[low:low + step]
+                place = np.arange(1 << k)
+                inside = place < here[part][:, None]
+                cell = np.where(inside, start[part][:, None] + place, 0)
+                weight = np.where(inside, value[cell], 0)
+                out[run[part]] += np.matmul(weight[:, None, :], rows[index[cell]])[:, 0]
+        more = np.flatnonzero(size > GATHER)
+        run, start, size = run[more], start[more] + GATHER, size[more] - GATHER
     return out
+
+
+def cuts_of(sorted_numbers: np.ndarray) -> np.ndarray:
+    """Where runs of one number begin, and the end of the last."""
+    return np.flatnonzero(np.concatenate([[True], sorted_numbers[1:] != sorted_numbers[:-1], [True]])) if len(sorted_numbers) else np.zeros(1, np.int64)

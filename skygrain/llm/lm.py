@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import rows_for, segment_sums, slices
+from skygrain.llm.common import cuts_of, rows_for, slices, weighted_sums
 from skygrain.llm.training import totals
 from skygrain.session import durable
 
@@ -194,12 +194,12 @@ def _expected(rows: DataFrame, frequent: list[bytes], weights: np.ndarray) -> np
         for at, _ in _tokens(batches, frequent):
             for low in range(0, len(at), _ROWS):
                 some = at[low:low + _ROWS]
-                chance = np.exp(_logits(weights, some))
-                for column in some.T:
-                    order = np.argsort(column, kind="stable")
-                    column = column[order]
-                    starts = np.flatnonzero(np.concatenate([[True], column[1:] != column[:-1]]))
-                    total[column[starts]] += segment_sums(chance[order], starts)
+                chance = np.exp(_logits(weights, some)).astype(np.float64)
+                column = some.ravel().astype(np.uint16)  # 16-bit numbers are sorted by radix
+                order = np.argsort(column, kind="stable")
+                column = column[order]
+                cuts = cuts_of(column)
+                total[column[cuts[:-1]]] += weighted_sums(np.ones(len(column)), order // some.shape[1], chance, cuts)
             n += len(at)
         return n, total.ravel()
 

@@ -1,13 +1,15 @@
 """Language-model scores against plain counting; the softmax is a distribution and learns."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from skygrain.llm import lm, queries
+from skygrain.llm import common, lm, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -105,3 +107,28 @@ def test_expected_counts_equal_a_plain_model(spark):
             two, one = one, word
     assert (lm._observed(docs, frequent) == seen).all()
     assert np.allclose(lm._expected(docs, frequent, weights), expected, rtol=1e-4, atol=1e-4)
+
+
+def test_expected_counts_equal_a_plain_softmax(spark):
+    """The sums over all tokens, added up bucket by bucket as doubles, equal those of one token after another."""
+    texts = ["a b c a b", "", "b " * 700, "x y z", "é a\tb"]
+    weights = np.random.default_rng(2).normal(size=(lm.BUCKETS, lm.CLASSES)).astype(np.float32)
+    plain = np.zeros((lm.BUCKETS, lm.CLASSES))
+    batch = pa.record_batch([pa.array([t.encode() for t in texts], pa.binary())], ["text"])
+    for at, _ in lm._tokens([batch], [b"a", b"b"]):
+        for row in at:
+            chance = np.exp(lm._logits(weights, row[None]))[0].astype(float)
+            for b in row:
+                plain[b] += chance
+    docs = spark.createDataFrame([(t.encode(),) for t in texts], "text binary")
+    assert np.allclose(lm._expected(docs, [b"a", b"b"], weights), plain, rtol=1e-6, atol=1e-9)
+
+
+def test_sums_take_bounded_memory():
+    """What is gathered at a time is bounded, however long the runs; running sums of all rows were as large as the rows."""
+    rows, cuts = np.ones((200, 64)), np.array([0, 3, 5, 400_000])
+    tracemalloc.start()
+    out = common.weighted_sums(np.ones(400_000), np.arange(400_000) % 200, rows, cuts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(out[:, 0], np.diff(cuts)) and peak < 40e6
