@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skygrain.llm.common import rows_for, slices, text_slices
+from skygrain.llm.common import GATHER, cuts_of, rows_for, slices, text_slices, weighted_sums
 from skygrain.llm.training import totals
 from skygrain.session import durable
 
@@ -44,8 +44,10 @@ LEAST_WORDS = 8
 ITEM_BLOCK = 4096
 # Cosines that are computed at a time.
 _WORK = 1 << 18
-# Words whose cells are in memory at a time, a multiple of those of a passage; and cells whose vectors are gathered at a time, as many as a core's cache holds.
-PIECE_WORDS, _GATHER = 1 << 17, 1 << 13
+# Words whose cells are in memory at a time, a multiple of those of a passage.
+PIECE_WORDS = 1 << 17
+# Words a task of the fit goes over at least, where there are more tasks than cores: each gives a matrix of the size of the basis.
+TASK_WORDS = 1 << 23
 # Bytes of text that meet the items at a time.
 SLICE_BYTES = 1 << 18
 
@@ -186,40 +188,10 @@ def _matrix(ids: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     return row, column, value / np.maximum(norm, 1e-12)[row]
 
 
-def _weighted_sums(value: np.ndarray, index: np.ndarray, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sums of ``value`` times the rows of ``index`` from each cut to the next.
-
-    Runs are filled up to the next power of two, so that those of about one length are one stack of products; long ones are added up piece by piece.
-    """
-    out = np.zeros((len(cuts) - 1, rows.shape[1]))
-    run, start, size = np.arange(len(cuts) - 1), cuts[:-1], np.diff(cuts)
-    while len(run):
-        here = np.minimum(size, _GATHER)
-        kind = np.ceil(np.log2(here)).astype(np.int64)
-        for k in np.unique(kind).tolist():
-            some = np.flatnonzero(kind == k)
-            step = max(1, _GATHER >> k)
-            for low in range(0, len(some), step):
-                part = some[low:low + step]
-                place = np.arange(1 << k)
-                inside = place < here[part][:, None]
-                cell = np.where(inside, start[part][:, None] + place, 0)
-                weight = np.where(inside, value[cell], 0)
-                out[run[part]] += np.matmul(weight[:, None, :], rows[index[cell]])[:, 0]
-        more = np.flatnonzero(size > _GATHER)
-        run, start, size = run[more], start[more] + _GATHER, size[more] - _GATHER
-    return out
-
-
-def _cuts(sorted_numbers: np.ndarray) -> np.ndarray:
-    """Where runs of one number begin, and the end of the last."""
-    return np.flatnonzero(np.concatenate([[True], sorted_numbers[1:] != sorted_numbers[:-1], [True]])) if len(sorted_numbers) else np.zeros(1, np.int64)
-
-
 def _project(cells: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.ndarray) -> np.ndarray:
     """The matrix times ``basis``; its rows are those of the passages."""
     row, column, value = cells
-    return _weighted_sums(value, column, basis, _cuts(row))
+    return weighted_sums(value, column, basis, cuts_of(row))
 
 
 def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> None:
@@ -227,8 +199,8 @@ def _add_back(out: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray],
     row, column, value = cells
     order = np.argsort(column.astype(np.uint16), kind="stable")  # 16-bit numbers are sorted by radix
     column, number = column[order], np.cumsum(np.concatenate([[0], row[1:] != row[:-1]]))
-    cuts = _cuts(column)
-    out[column[cuts[:-1]]] += _weighted_sums(value[order], number[order], rows, cuts)
+    cuts = cuts_of(column)
+    out[column[cuts[:-1]]] += weighted_sums(value[order], number[order], rows, cuts)
 
 
 def _back(cells: tuple[np.ndarray, np.ndarray, np.ndarray], rows: np.ndarray) -> np.ndarray:
@@ -283,6 +255,12 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield np.concatenate(ids).astype(np.int64), np.array(list(map(len, ids)), np.int64)
 
 
+def _dealt(numbered: DataFrame) -> DataFrame:
+    """The numbers in tasks that are worth a matrix each, whatever the files they lie in."""
+    size = numbered.agg(F.sum(F.octet_length(numbered.columns[0]).cast("long"))).first()[0]
+    return numbered.coalesce(max(numbered.sparkSession.sparkContext.defaultParallelism, rows_for(size, 2 * TASK_WORDS)))
+
+
 def document_frequencies(numbered: DataFrame) -> tuple[np.ndarray, int]:
     """Documents that hold a word of each bucket, over all documents, and their number."""
     def count(batches: Iterable[pa.RecordBatch]) -> tuple[int, np.ndarray]:
@@ -321,6 +299,7 @@ def learn(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str
 
 def _fit(ours: DataFrame, theirs: DataFrame) -> Space:
     """The space of ``learn`` from the numbers of the words of the documents and of the items."""
+    ours, theirs = _dealt(ours), _dealt(theirs)
     frequency, count = document_frequencies(ours)
     idf = np.log((count + 1) / (frequency + 1)) + 0.1
     basis = np.random.default_rng(5).normal(size=(BUCKETS, RANK))
@@ -379,7 +358,7 @@ class Searcher:
         cells = np.full((len(starts), BLOCK_WORDS), BUCKETS)
         cells[np.cumsum(number % BLOCK_WORDS == 0) - 1, number % BLOCK_WORDS] = batch.ids[at]
         sums_ = np.empty((len(cells), self.vectors.shape[1]), self.vectors.dtype)
-        step = _GATHER // BLOCK_WORDS
+        step = GATHER // BLOCK_WORDS
         for low in range(0, len(cells), step):
             self.vectors[cells[low:low + step]].sum(axis=1, out=sums_[low:low + step])
         for blocks, some, matrix in self.groups:

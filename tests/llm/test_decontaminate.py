@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from skygrain.llm import decontaminate as d
-from skygrain.llm import queries
+from skygrain.llm import common, queries
 from skygrain.llm.common import text_slices
 
 SF = "/root/testdata/sf0.01"
@@ -189,7 +189,7 @@ def test_products_in_pieces_equal_the_whole_matrix(monkeypatch):
     matrix = np.zeros((cells[0].max() + 1, d.BUCKETS))
     matrix[cells[0], cells[1]] = cells[2]
     monkeypatch.setattr(d, "PIECE_WORDS", 64)
-    monkeypatch.setattr(d, "_GATHER", 16)
+    monkeypatch.setattr(common, "GATHER", 16)
     total = np.zeros(basis.shape)
     for ids, sizes in d._pieces(_batches(texts)):
         assert len(ids) <= 64 == d.PIECE_WORDS and sizes.sum() == len(ids)
@@ -232,3 +232,11 @@ def test_search_by_written_numbers_equals_search_by_text(spark, space):
     assert one.columns == two.columns == [*docs.columns, "leaks"]
     found = [sorted((r.doc_id, r.text, [x.item_id for x in r.leaks]) for r in rows.collect()) for rows in (one, two)]
     assert found[0] == found[1] and any(x[2] for x in found[0])
+
+
+def test_fit_makes_few_matrices_whatever_the_files(spark):
+    """A matrix for each of a thousand small files would be 8 GB."""
+    numbered = d._numbered(spark.createDataFrame([("some words",)] * 300, "text string").repartition(100), "text")
+    tasks = d._dealt(numbered).rdd.getNumPartitions()
+    assert tasks <= spark.sparkContext.defaultParallelism and d._dealt(numbered).count() == 300
+    assert d.document_frequencies(d._dealt(numbered.limit(0)))[1] == 0
