@@ -87,3 +87,11 @@ def test_quantiles_with_infinities_do_not_depend_on_the_limit(spark):
     frame = spark.createDataFrame([("a", v) for v in values], "city string, v double")
     whole, cut = ([str(v) for v in quantiles(frame, ["city"], "v", [0.0, 0.25, 0.5, 0.99, 1.0], limit).first().quantiles] for limit in (10_000, 8))
     assert whole == cut
+
+
+def test_chunks_send_few_rows_twice_and_fill_many_tasks(spark):
+    rows = spark.range(20_000).select(F.lit("hot").alias("city"), F.timestamp_micros("id").alias("timestamp"), "id")
+    o = ordered(rows, ["city"], ["timestamp", "id"], back=5, ahead=7, limit=2_000)
+    assert o.frame.count() <= 1.2 * 20_000  # whole slots of neighbours come along
+    assert o.frame.select(F.spark_partition_id()).distinct().count() > 16
+    assert o.finish(o.frame).count() == 20_000
