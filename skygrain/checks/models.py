@@ -252,11 +252,11 @@ def forest_forecast(spark, sf):
 
 
 def single_horizon_forecast(spark, sf):
-    features = durable(FE.complete_rows(FE.engineer(
-        V.obs(spark, sf).drop("event_type"), ["city"], V.ORDER)), "features")
+    keys = ["city", "timestamp", "event_id"]
+    features = FE.complete_rows(FE.engineer(V.obs(spark, sf).drop("event_type"), ["city"], V.ORDER))
     rows, columns = feature_table.training_frame(features)
     columns = [c for c in columns if c != "event_id"]
-    split = feature_table.random_split(rows, ["city", "timestamp", "event_id"])
+    split = feature_table.random_split(FC.vectors(rows, keys, columns), keys)
     _, metrics = FC.fit_single(features, split, columns, ["ridge_regression"])
     return M.summary_by_model(metrics)
 

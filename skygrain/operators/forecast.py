@@ -181,15 +181,28 @@ def evaluate(fitted: Sequence[Fitted], training: TrainingSet) -> DataFrame:
     return regression_metrics(scored, ["model", "horizon", "split"]).withColumnRenamed("model", "algorithm")
 
 
+def vectors(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``keys``, vector and target of the rows that have all ``columns``, written once: the columns themselves are not."""
+    narrow = assemble(rows.na.drop("any", subset=list(columns)), columns)
+    return durable(narrow.select(*keys, VECTOR, F.col(S.TARGET).cast("double").alias(S.TARGET)), "vectors")
+
+
 def fit_single(
     features: DataFrame, split: DataFrame, columns: Sequence[str],
     algorithms: Sequence[str] = ALGORITHMS,
 ) -> tuple[list[Fitted], DataFrame]:
-    """The single-horizon forecaster on rows already marked "train" or "test"."""
+    """The single-horizon forecaster on rows already marked "train" or "test".
+
+    Rows that ``vectors`` has written have their vectors already and are read as they are.
+    """
     target = {S.TARGET_HOURS: S.TARGET}
-    narrow = assemble(split.na.drop("any", subset=list(columns)), columns).select(
-        "split", VECTOR, F.col(S.TARGET).cast("double").alias(S.TARGET))
-    training = TrainingSet(durable(narrow, "single"), tuple(columns), target)
+    if VECTOR in split.columns:
+        rows = split.select("split", VECTOR, S.TARGET)
+    else:
+        narrow = assemble(split.na.drop("any", subset=list(columns)), columns).select(
+            "split", VECTOR, F.col(S.TARGET).cast("double").alias(S.TARGET))
+        rows = durable(narrow, "single")
+    training = TrainingSet(rows, tuple(columns), target)
     fitted = fit(training, algorithms)
     return fitted, evaluate(fitted, training)
 

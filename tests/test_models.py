@@ -179,3 +179,15 @@ def test_gram_blocks_merge_in_any_order(spark):
 def test_constant_columns_do_not_vary():
     rows = np.column_stack([np.full(1000, 0.1), np.full(1000, 1e9 + 0.3), np.zeros(1000), np.arange(1000) * 1e-9 + 1.0])
     assert G.block(("a", "b", "c", "d"), rows).varying(("a", "b", "c", "d")) == ["d"]
+
+
+def test_written_vectors_train_as_their_columns_do(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, "train" if i % 5 else "test", *map(float, rng.normal(size=2)), float(i % 7)) for i in range(300)]
+    wide = spark.createDataFrame(rows, f"id int, split string, a double, b double, {FC.S.TARGET} double")
+    wide = wide.withColumn("a", F.when(F.col("id") != 4, F.col("a")))
+    narrow = FC.vectors(wide, ["id", "split"], ["a", "b"])
+    assert narrow.columns == ["id", "split", FC.VECTOR, FC.S.TARGET] and narrow.count() == 299
+    one, other = (FC.fit_single(wide, rows, ["a", "b"], ["ridge_regression"])[1].orderBy("split").collect() for rows in (wide, narrow))
+    assert [r.n for r in one] == [r.n for r in other] == [60, 239]
+    assert [x for r in one for x in (r.mse, r.mae, r.r2)] == pytest.approx([x for r in other for x in (r.mse, r.mae, r.r2)])
