@@ -31,6 +31,8 @@ RIDGE_ALPHA = 20.0
 LEAST_ROWS = 100
 ALGORITHMS = ("random_forest", "ridge_regression")
 VECTOR = "features"
+# Tasks a core that fits side by side have in all: each holds its rows in memory from the first to the last level.
+WAVES = 4
 
 
 @dataclass(frozen=True)
@@ -112,10 +114,18 @@ def fit_ridge(training: TrainingSet, alpha: float = RIDGE_ALPHA) -> list[Fitted]
     return out
 
 
+def side_by_side(parts: int, cores: int, parallel: int) -> int:
+    """Fits to run at a time: enough for ``WAVES`` tasks a core, at most ``parallel``."""
+    return max(1, min(parallel, -(-WAVES * cores // max(1, parts))))
+
+
 def fit(
     training: TrainingSet, algorithms: Sequence[str] = ALGORITHMS, parallel: int = 4
 ) -> list[Fitted]:
-    """One model per algorithm and horizon; forests are fitted side by side on the cluster."""
+    """One model per algorithm and horizon; forests are fitted side by side on the cluster.
+
+    At most ``parallel`` at a time, and fewer where the tasks of one keep all cores busy: each holds its training rows in memory.
+    """
     if unknown := set(algorithms) - set(ALGORITHMS):
         raise ValueError(f"unknown algorithm {sorted(unknown)[0]!r}")
     train = training.rows.filter(F.col("split") == "train")
@@ -131,7 +141,8 @@ def fit(
     if "ridge_regression" in algorithms:
         fitted["ridge_regression"] = fit_ridge(training)
     if "random_forest" in algorithms:
-        with ThreadPool(max(1, parallel)) as pool:
+        parts = train.select(F.spark_partition_id()).distinct().count()
+        with ThreadPool(side_by_side(parts, train.sparkSession.sparkContext.defaultParallelism, parallel)) as pool:
             fitted["random_forest"] = pool.map(inheritable_thread_target(train.sparkSession)(forest), list(training.targets))
     return [f for a in algorithms for f in fitted[a]]
 

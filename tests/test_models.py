@@ -191,3 +191,9 @@ def test_written_vectors_train_as_their_columns_do(spark):
     one, other = (FC.fit_single(wide, rows, ["a", "b"], ["ridge_regression"])[1].orderBy("split").collect() for rows in (wide, narrow))
     assert [r.n for r in one] == [r.n for r in other] == [60, 239]
     assert [x for r in one for x in (r.mse, r.mae, r.r2)] == pytest.approx([x for r in other for x in (r.mse, r.mae, r.r2)])
+
+
+def test_fits_run_side_by_side_only_to_fill_the_cores():
+    assert FC.side_by_side(parts=2, cores=12, parallel=4) == 4
+    assert FC.side_by_side(parts=24, cores=12, parallel=4) == 2
+    assert FC.side_by_side(parts=500, cores=12, parallel=4) == 1
