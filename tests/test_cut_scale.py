@@ -28,7 +28,7 @@ def _same_rows(a, b):
     return hashed[0] == hashed[1] and hashed[0][0] > 0
 
 
-@pytest.mark.parametrize("name", ["rolling_std", "targets_multi", "lag_features"])
+@pytest.mark.parametrize("name", ["rolling_std", "targets_multi", "lag_features", "chrono_split"])
 def test_cut_takes_few_tasks_and_equals_the_plain_query(spark, many, name):
     cut = QUERIES[f"{name}_cut"](spark, many)
     assert cut.rdd.getNumPartitions() <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
